@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,47 +12,55 @@ from ..functions import best_rank_filter, iso_date, plus_days, route
 
 LEG_COLUMNS = ["Origin", "Dest", "UniqueCarrier", "FlightNum", "DepTime", "ArrDelay",
                "FlightDate", "Yeard", "Monthd", "DayofMonth", "Cancelled"]
-_GROUP = ["Origin", "Dest", "Yeard", "Monthd", "DayofMonth"]
+ROUTE_DAY = ["Origin", "Dest", "Yeard", "Monthd", "DayofMonth"]
 
 
-def best_flights(legs: DataFrame) -> DataFrame:
-    """Flights with ``rank() = 1`` by ``ArrDelay`` per route and day, ties kept.
+def best_flights(rows: DataFrame, keys: Sequence[str] = ROUTE_DAY,
+                 value: str = "ArrDelay") -> DataFrame:
+    """Rows with ``rank() = 1`` by ``value`` within each group of ``keys``, ties kept.
 
     Expressed as group minimum + join back instead of a window: the aggregate is
-    partial before its shuffle (one row per route-day and map task) and the join back
-    is an equi-join that AQE can split when one route-day is hot, so no single task
-    ever has to hold a whole group. NULL delays sort first, as ``rank()`` does.
+    partial before its shuffle (one row per group and map task) and the join back is
+    an equi-join that AQE's skew handling can split when one group is hot, so no task
+    ever has to hold a whole group. NULL values sort first, as ``rank()`` ASC does.
     """
-    best = (legs.groupBy(*_GROUP)
-                .agg(F.min("ArrDelay").alias("_best"),
-                     F.max(F.col("ArrDelay").isNull()).alias("_has_null")))
-    cond = [legs[c].eqNullSafe(best[c]) for c in _GROUP]
-    joined = legs.join(best, cond).select(legs["*"], best["_best"], best["_has_null"])
-    return (joined.where(best_rank_filter("ArrDelay", "_best", "_has_null"))
+    best = (rows.groupBy(*keys)
+                .agg(F.min(value).alias("_best"),
+                     F.max(F.col(value).isNull()).alias("_has_null")))
+    cond = [rows[c].eqNullSafe(best[c]) for c in keys]
+    joined = rows.join(best, cond).select(rows["*"], best["_best"], best["_has_null"])
+    return (joined.where(best_rank_filter(value, "_best", "_has_null"))
                   .drop("_best", "_has_null"))
 
 
-def itineraries(flights: DataFrame, year: int, gap_days: int = 2,
-                require_delay: bool = False) -> DataFrame:
-    """Best morning flight X->Y on day d joined with best afternoon flight Y->Z on d+2.
+def best_legs(flights: DataFrame, year: int, require_delay: bool = False) -> DataFrame:
+    """Best flight per route, day and half-day (``_am``: before noon) of one year.
 
-    Both legs come from one year (a partition filter on ``Yeard``) and are reduced to
-    their best flights per route and day before the join, so the join input is bounded
-    by routes x days. The join itself is a two-key equi-join on (Y, date); the answer
-    fans out at hub airports by definition, and AQE's skew-join splits hot keys.
+    Both halves share one aggregate and one join back; ``DepTime`` of exactly
+    ``'1200'`` (or NULL) belongs to neither half, as the text compare implies.
     """
     base = flights.select(*LEG_COLUMNS).where(
-        (F.col("Yeard") == year) & (F.col("Cancelled") == 0))
+        (F.col("Yeard") == year) & (F.col("Cancelled") == 0)
+        & ((F.col("DepTime") < NOON) | (F.col("DepTime") > NOON)))
     if require_delay:
         base = base.where(F.col("ArrDelay").isNotNull())
+    base = base.withColumn("_am", F.col("DepTime") < NOON)
+    return best_flights(base, ["_am", *ROUTE_DAY])
+
 
-    leg1 = best_flights(base.where(F.col("DepTime") < NOON)).select(
+def join_legs(legs: DataFrame, gap_days: int = 2) -> DataFrame:
+    """Morning X->Y on day d joined with afternoon Y->Z on day d + ``gap_days``.
+
+    A two-key equi-join on (Y, date) over the reduced legs (bounded by routes x days);
+    the answer fans out at hub airports by definition and AQE splits hot keys.
+    """
+    leg1 = legs.where(F.col("_am")).select(
         F.col("Origin").alias("x"), F.col("Dest").alias("y"),
         F.col("UniqueCarrier").alias("airline1"), F.col("FlightNum").alias("flightnum1"),
         F.col("FlightDate").alias("flightdate1"), F.col("DepTime").alias("departure1"),
         F.col("ArrDelay").cast("double").alias("delay1"),
         plus_days("FlightDate", gap_days).alias("_meet"))
-    leg2 = best_flights(base.where(F.col("DepTime") > NOON)).select(
+    leg2 = legs.where(~F.col("_am")).select(
         F.col("Origin").alias("_y2"), F.col("Dest").alias("z"),
         F.col("UniqueCarrier").alias("airline2"), F.col("FlightNum").alias("flightnum2"),
         F.col("FlightDate").alias("flightdate2"), F.col("DepTime").alias("departure2"),
@@ -63,3 +73,19 @@ def itineraries(flights: DataFrame, year: int, gap_days: int = 2,
         "z", "airline2", "flightnum2", "flightdate2", "departure2", "delay2",
         (F.col("delay1") + F.col("delay2")).alias("total_delay"),
         route("x", "y", "z").alias("itinerary"))
+
+
+def itineraries(flights: DataFrame, year: int, gap_days: int = 2,
+                require_delay: bool = False, stage_path: str | None = None) -> DataFrame:
+    """Best morning flight X->Y on day d with best afternoon flight Y->Z on d+2.
+
+    With ``stage_path`` the reduced legs are written there once (a Parquet table in
+    the shared checkpoint folder) and the final join reads them back: the year's
+    flights are scanned and reduced once instead of once per join side, and a lost
+    executor recomputes from the staged table instead of from the raw scan.
+    """
+    legs = best_legs(flights, year, require_delay)
+    if stage_path is not None:
+        legs.write.mode("overwrite").parquet(stage_path)
+        legs = flights.sparkSession.read.parquet(stage_path)
+    return join_legs(legs, gap_days)

@@ -82,9 +82,11 @@ def airport_popularity(flights: DataFrame) -> DataFrame:
         .orderBy("rnk", "airport")
 
 
-def two_leg_itineraries(flights: DataFrame, year: int, require_delay: bool = False) -> DataFrame:
+def two_leg_itineraries(flights: DataFrame, year: int, require_delay: bool = False,
+                        stage_path: str | None = None) -> DataFrame:
     """3.2 X->Y (before noon) then Y->Z (after noon) two days later, best flight per leg."""
-    return itineraries(flights, year, gap_days=2, require_delay=require_delay)
+    return itineraries(flights, year, gap_days=2, require_delay=require_delay,
+                       stage_path=stage_path)
 
 
 JOBS = {

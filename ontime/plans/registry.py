@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..config import scratch_path
 from ..sources.testdata import flights
 from . import batch
 from .oracle import ITINERARY_YEAR, batch_oracles
@@ -25,7 +26,7 @@ def _batch(name: str) -> Job:
 
 def _itineraries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.two_leg_itineraries(flights(spark, sf_dir, batch.COLUMNS["q3_2"]),
-                                     ITINERARY_YEAR)
+                                     ITINERARY_YEAR, stage_path=scratch_path(spark, "legs"))
 
 
 def registered() -> dict[str, Job]:
