@@ -105,3 +105,19 @@ SELECT airport, total_flights, rank() OVER (ORDER BY total_flights DESC) AS rnk
 FROM ({traffic_sql('WHERE Cancelled = 0')}) t ORDER BY rnk, airport""",
         "q3_2": f + q3_2_sql(),
     }
+
+
+def _in_list(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+def lookup_oracles(airports, routes, pairs) -> dict[str, str]:
+    f = _flights()
+    cond = " OR ".join(f"(itinerary = '{i}' AND flightdate1 = '{d}')" for i, d in pairs)
+    return {
+        "q_l1": f + f"SELECT * FROM ({q2_1_sql()}) t WHERE airport IN ({_in_list(airports)})",
+        "q_l2": f + f"SELECT * FROM ({q2_2_sql()}) t WHERE origin IN ({_in_list(airports)})",
+        "q_l3": f + f"SELECT * FROM ({q2_3_sql()}) t WHERE flight IN ({_in_list(routes)})",
+        "q_l4": f + f"SELECT * FROM ({q2_4_sql()}) t WHERE flight IN ({_in_list(routes)})",
+        "q_l5": f + f"SELECT * FROM ({q3_2_sql()}) t WHERE {cond} ORDER BY itinerary",
+    }

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import scratch_path
 from ..sources.testdata import flights
 from . import batch
-from .oracle import ITINERARY_YEAR, batch_oracles
+from .lookups import AIRPORTS, ITINERARY_DATES, ROUTES, stored_itinerary_lookup, stored_lookup
+from .oracle import ITINERARY_YEAR, batch_oracles, lookup_oracles
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -29,11 +30,30 @@ def _itineraries(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      ITINERARY_YEAR, stage_path=scratch_path(spark, "legs"))
 
 
+def _lookup(name: str, table: str, values: list[str]) -> Job:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        result = _batch(name)(spark, sf_dir)
+        return stored_lookup(result, table, scratch_path(spark, f"result_{table}"), values)
+
+    run.__name__ = f"lookup_{table}"
+    return run
+
+
+def _itinerary_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_itinerary_lookup(spark, _itineraries(spark, sf_dir),
+                                   scratch_path(spark, "result_3_2"), ITINERARY_DATES)
+
+
 def registered() -> dict[str, Job]:
     jobs: dict[str, Job] = {name: _batch(name) for name in batch.JOBS}
     jobs["q3_2"] = _itineraries
+    jobs["q_l1"] = _lookup("q2_1", "2_1", AIRPORTS)
+    jobs["q_l2"] = _lookup("q2_2", "2_2", AIRPORTS)
+    jobs["q_l3"] = _lookup("q2_3", "2_3", ROUTES)
+    jobs["q_l4"] = _lookup("q2_4", "2_4", ROUTES)
+    jobs["q_l5"] = _itinerary_lookup
     return dict(sorted(jobs.items()))
 
 
 def oracles() -> dict[str, str]:
-    return batch_oracles()
+    return {**batch_oracles(), **lookup_oracles(AIRPORTS, ROUTES, ITINERARY_DATES)}
