@@ -49,5 +49,6 @@ def airport_activity(flights: DataFrame) -> DataFrame:
 
     The streaming definition: all airports, no join, every row counted.
     """
-    return (airport_sides(flights).where(F.col("airport").isNotNull())
+    airports = flights.select(F.explode(F.array(F.col("Origin"), F.col("Dest"))).alias("airport"))
+    return (airports.where(F.col("airport").isNotNull())
             .groupBy("airport").agg(F.count(F.lit(1)).alias("total_flights")))

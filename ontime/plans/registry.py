@@ -10,7 +10,8 @@ from ..config import scratch_path
 from ..sources.testdata import flights
 from . import batch
 from .lookups import AIRPORTS, ITINERARY_DATES, ROUTES, stored_itinerary_lookup, stored_lookup
-from .oracle import ITINERARY_YEAR, batch_oracles, lookup_oracles
+from .oracle import ITINERARY_YEAR, _flights, batch_oracles, lookup_oracles
+from .streams import stream_jobs, stream_oracles
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -52,8 +53,10 @@ def registered() -> dict[str, Job]:
     jobs["q_l3"] = _lookup("q2_3", "2_3", ROUTES)
     jobs["q_l4"] = _lookup("q2_4", "2_4", ROUTES)
     jobs["q_l5"] = _itinerary_lookup
+    jobs.update(stream_jobs())
     return dict(sorted(jobs.items()))
 
 
 def oracles() -> dict[str, str]:
-    return {**batch_oracles(), **lookup_oracles(AIRPORTS, ROUTES, ITINERARY_DATES)}
+    return {**batch_oracles(), **lookup_oracles(AIRPORTS, ROUTES, ITINERARY_DATES),
+            **stream_oracles(_flights())}
