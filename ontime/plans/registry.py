@@ -11,6 +11,7 @@ from ..sources.testdata import flights
 from . import batch
 from .lookups import AIRPORTS, ITINERARY_DATES, ROUTES, stored_itinerary_lookup, stored_lookup
 from .oracle import ITINERARY_YEAR, _flights, batch_oracles, lookup_oracles
+from .pipeline import pipeline_jobs, pipeline_oracles
 from .streams import stream_jobs, stream_oracles
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -54,9 +55,10 @@ def registered() -> dict[str, Job]:
     jobs["q_l4"] = _lookup("q2_4", "2_4", ROUTES)
     jobs["q_l5"] = _itinerary_lookup
     jobs.update(stream_jobs())
+    jobs.update(pipeline_jobs())
     return dict(sorted(jobs.items()))
 
 
 def oracles() -> dict[str, str]:
     return {**batch_oracles(), **lookup_oracles(AIRPORTS, ROUTES, ITINERARY_DATES),
-            **stream_oracles(_flights())}
+            **stream_oracles(_flights()), **pipeline_oracles(_flights())}
