@@ -72,12 +72,24 @@ def replay_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(spark, lake, TOPICS, out_path=scratch_path(spark, "messages"))
 
 
+_MESSAGES: dict[tuple[str, str], str] = {}
+
+
+def replayed_messages(spark: SparkSession, sf_dir: str) -> str:
+    """Replay the lake to message files once per application; their folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MESSAGES:
+        path = scratch_path(spark, "messages")
+        replay(spark, build_lake(spark, sf_dir), TOPICS, out_path=path)
+        _MESSAGES[key] = path
+    return _MESSAGES[key]
+
+
 def message_stream_job(name: str):
     fn = AGGREGATES[name][0]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        messages = scratch_path(spark, "messages")
-        replay(spark, build_lake(spark, sf_dir), TOPICS, out_path=messages)
+        messages = replayed_messages(spark, sf_dir)
         agg = fn(parse_messages(message_stream(spark, messages)))
         base = scratch_path(spark, f"messages_{name}")
         return run_available(agg, f"message_stream_{name}", f"{base}/checkpoint",
