@@ -25,7 +25,11 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "ingest")
-    write_archives(raw_rows(spark, sf_dir), f"{base}/RAW").count()
+    # Round robin over several archives: even archive sizes, and the ingest then
+    # unpacks them in parallel (Spark sorts before a round robin, so a retried task
+    # rebuilds the same archive).
+    n_archives = max(8, spark.sparkContext.defaultParallelism)
+    write_archives(raw_rows(spark, sf_dir).repartition(n_archives), f"{base}/RAW").count()
     result = ingest(spark, f"{base}/RAW", f"{base}/lake", f"{base}/quarantine", f"{base}/stage")
     return lake_day_summary(spark, result.lake_path)
 
