@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..config import INT_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS
+from ..config import INT_FIELDS, LAKE_PARTITIONS, SELECTED_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS
 from ..functions import keep_string, pad_hhmm, to_int
 from ..schema import FLIGHTS_SCHEMA, LAKE_PARTITIONED_SCHEMA, LAKE_SCHEMA
 
@@ -21,8 +21,11 @@ def read_lake(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     instead of silently reading them by position.
     """
     if fmt == "csv":
-        return (spark.read.schema(LAKE_PARTITIONED_SCHEMA).option("header", True)
-                .option("enforceSchema", False).csv(path))
+        df = (spark.read.schema(LAKE_PARTITIONED_SCHEMA).option("header", True)
+              .option("enforceSchema", False).csv(path))
+        # The CSV reader turns an empty field into NULL; the lake keeps ''.
+        return df.select(*[keep_string(c).alias(c) for c in SELECTED_FIELDS],
+                         *LAKE_PARTITIONS)
     return spark.read.schema(LAKE_PARTITIONED_SCHEMA).format(fmt).load(path)
 
 
