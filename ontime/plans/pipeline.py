@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import INT_FIELDS, SELECTED_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS, scratch_path
 from ..sinks.lake import lake_rows
 from ..sources.archives import write_archives
-from ..sources.testdata import flights
+from ..sources.testdata import stored_flights
 from .ingest import ingest, lake_day_summary
 from .load import load, profile
 from .streams import build_lake
@@ -18,7 +18,7 @@ from .streams import build_lake
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Driver-table flights as raw on-time records: text, wider than the 18 kept columns."""
-    text = lake_rows(flights(spark, sf_dir)).select(*SELECTED_FIELDS)
+    text = lake_rows(stored_flights(spark, sf_dir)).select(*SELECTED_FIELDS)
     return text.select(*SELECTED_FIELDS, F.concat(F.lit("N"), F.col("FlightNum")).alias("TailNum"),
                        F.lit("").alias("Distance"))
 

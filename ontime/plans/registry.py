@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import scratch_path
-from ..sources.testdata import flights
+from ..sources.testdata import flights, stored_flights
 from . import batch
 from .lookups import AIRPORTS, ITINERARY_DATES, ROUTES, stored_itinerary_lookup, stored_lookup
 from .oracle import ITINERARY_YEAR, _flights, batch_oracles, lookup_oracles
@@ -21,15 +21,15 @@ def _batch(name: str) -> Job:
     fn = batch.JOBS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(flights(spark, sf_dir, batch.COLUMNS[name]))
+        return fn(stored_flights(spark, sf_dir).select(*batch.COLUMNS[name]))
 
     run.__name__ = name
     return run
 
 
 def _itineraries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch.two_leg_itineraries(flights(spark, sf_dir, batch.COLUMNS["q3_2"]),
-                                     ITINERARY_YEAR, stage_path=scratch_path(spark, "legs"))
+    table = stored_flights(spark, sf_dir).select(*batch.COLUMNS["q3_2"])
+    return batch.two_leg_itineraries(table, ITINERARY_YEAR, stage_path=scratch_path(spark, "legs"))
 
 
 def _lookup(name: str, table: str, values: list[str]) -> Job:

@@ -15,7 +15,7 @@ from ..config import scratch_path
 from ..sinks.lake import lake_rows, write_lake
 from ..sinks.replay import replay
 from ..sources.streams import file_stream, message_stream, parse_messages
-from ..sources.testdata import flights
+from ..sources.testdata import flights, stored_flights
 from ..streaming.aggregates import AGGREGATES
 from ..streaming.runner import run_available
 
@@ -62,7 +62,7 @@ def build_lake(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAKES:
         path = scratch_path(spark, "lake")
-        write_lake(lake_rows(flights(spark, sf_dir)), path)
+        write_lake(lake_rows(stored_flights(spark, sf_dir)), path)
         _LAKES[key] = path
     return _LAKES[key]
 
