@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import INT_FIELDS, SELECTED_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS, scratch_path
 from ..sinks.lake import lake_rows
 from ..sources.archives import write_archives
-from ..sources.testdata import stored_flights
+from ..sources.testdata import spread, stored_flights
 from .ingest import ingest, lake_day_summary
 from .load import load, profile
 from .streams import build_lake
@@ -25,11 +25,9 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "ingest")
-    # Round robin over several archives: even archive sizes, and the ingest then
-    # unpacks them in parallel (Spark sorts before a round robin, so a retried task
-    # rebuilds the same archive).
-    n_archives = max(8, spark.sparkContext.defaultParallelism)
-    write_archives(raw_rows(spark, sf_dir).repartition(n_archives), f"{base}/RAW").count()
+    # One archive per input split (archive size follows split size); a table read
+    # as fewer splits than cores is spread first so archives unpack in parallel.
+    write_archives(spread(raw_rows(spark, sf_dir)), f"{base}/RAW").count()
     result = ingest(spark, f"{base}/RAW", f"{base}/lake", f"{base}/quarantine", f"{base}/stage")
     return lake_day_summary(spark, result.lake_path)
 

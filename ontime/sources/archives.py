@@ -151,9 +151,11 @@ def _local_or_uri(path: str):
 def write_archives(rows: DataFrame, dest: str, prefix: str = "flights") -> DataFrame:
     """Write each partition of ``rows`` (text columns) as one zip with one CSV member.
 
-    The header order is rotated per partition, so archives disagree on column order
-    as real raw files do. Runs on the executors (files go straight to ``dest``, which
-    must be shared storage); a retried task rewrites the same archive name. Returns
+    The CSV is streamed into the zip one Arrow batch at a time, so a task holds one
+    batch, not its partition; an archive is as large as its input split. The header
+    order is rotated per partition, so archives disagree on column order as real raw
+    files do. Runs on the executors (files go straight to ``dest``, which must be
+    shared storage); a retried task rewrites the same archive name. Returns
     ``(archive, rows)`` per written archive.
     """
     import pandas as pd
@@ -164,21 +166,21 @@ def write_archives(rows: DataFrame, dest: str, prefix: str = "flights") -> DataF
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
         k = pid % len(columns)
         order = columns[k:] + columns[:k]
-        text = pdf[order].to_csv(index=False, lineterminator="\n")
-        buf = io.BytesIO()
-        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-            zf.writestr(f"{prefix}_{pid:05d}.csv", text)
         fs, base = _local_or_uri(dest)
         fs.create_dir(base, recursive=True)
         name = f"{base.rstrip('/')}/{prefix}_{pid:05d}.zip"
-        with fs.open_output_stream(name) as out:
-            out.write(buf.getvalue())
-        yield pd.DataFrame({"archive": [name], "rows": [len(pdf)]})
+        n = 0
+        with fs.open_output_stream(name) as out, \
+                zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf, \
+                zf.open(f"{prefix}_{pid:05d}.csv", "w", force_zip64=True) as member:
+            member.write((",".join(order) + "\n").encode())
+            for b in batches:
+                if len(b):
+                    member.write(b[order].to_csv(index=False, header=False,
+                                                 lineterminator="\n").encode())
+                    n += len(b)
+        yield pd.DataFrame({"archive": [name], "rows": [n]})
 
     return rows.mapInPandas(write, "archive string, rows long")
