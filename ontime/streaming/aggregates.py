@@ -31,10 +31,23 @@ def weekday_delay(flights: DataFrame) -> DataFrame:
     return running_mean_delay(flights, "weekday", "DayOfWeek")
 
 
+def rejected(flights: DataFrame) -> DataFrame:
+    """Rows the three aggregates skip because a key is missing (malformed messages,
+    short lines), counted instead of being grouped under a NULL key."""
+    bad = F.col("Origin").isNull() | F.col("Dest").isNull() \
+        | F.col("UniqueCarrier").isNull() | F.col("DayOfWeek").isNull()
+    return (flights.where(bad)
+            .groupBy(F.when(F.col("UniqueCarrier").isNull() & F.col("Origin").isNull(),
+                            "malformed").otherwise("missing key").alias("reason"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
 def report_order(name: str) -> list[Column]:
     """Report order of an aggregate; the key breaks ties so the top 10 is stable."""
     if name == "1_1":
         return [F.col("total_flights").desc(), F.col("airport")]
+    if name == "rejected":
+        return [F.col("reason")]
     key = "airline" if name == "1_2" else "weekday"
     return [F.col("avg_delay").asc(), F.col(key)]
 

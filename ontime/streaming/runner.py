@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import logging
+import time
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from .aggregates import AGGREGATES, report_order
+from .aggregates import AGGREGATES, rejected, report_order
 
 log = logging.getLogger(__name__)
 
@@ -41,12 +43,14 @@ def start(agg: DataFrame, name: str, checkpoint: str, result_path: str | None =
             if result_path:
                 batch.write.mode("overwrite").parquet(result_path)
             if show and order is not None:
-                report(batch, order, f"{name} batch {epoch_id}")
+                stamp = time.strftime("%Y-%m-%d %H:%M:%S")
+                report(batch, order, f"{stamp} :: {name} :: batch {epoch_id}")
         finally:
             batch.unpersist()
 
     writer = (agg.writeStream.outputMode("complete").foreachBatch(sink)
-              .option("checkpointLocation", checkpoint).queryName(name))
+              .option("checkpointLocation", checkpoint)
+              .queryName(f"{name}_{uuid.uuid4().hex[:8]}"))
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     return writer.start()
 
@@ -64,11 +68,13 @@ def run_available(agg: DataFrame, name: str, checkpoint: str, result_path: str)
 
 def start_all(flights: DataFrame, base_path: str, show: bool = True,
               triggers: dict[str, str] | None = None) -> list[StreamingQuery]:
-    """The three aggregates over one input, started together (one checkpoint each).
-
-    Wait with ``spark.streams.awaitAnyTermination()``.
+    """The three aggregates over one input, started together (one checkpoint each),
+    plus a count of the rows they reject. Wait with
+    ``spark.streams.awaitAnyTermination()``.
     """
-    queries = []
+    queries = [start(rejected(flights), "rejected", f"{base_path}/checkpoint_rejected",
+                     f"{base_path}/state_rejected", report_order("rejected"), show,
+                     {"processingTime": (triggers or {}).get("rejected", "5 seconds")})]
     for name, (fn, interval) in AGGREGATES.items():
         every = (triggers or {}).get(name, interval)
         queries.append(start(fn(flights), f"running_{name}", f"{base_path}/checkpoint_{name}",

@@ -71,3 +71,12 @@ def test_report_prints_top_ten_in_order(spark):
     top = report(AGGREGATES["1_1"][0](f), report_order("1_1"), "t", out=lines.append)
     assert len(top) == 10 and top[0] == ("HUB", 12) and top[1] == ("A00", 1)
     assert lines[0] == "--- t ---" and lines[1] == "HUB,12"
+
+
+def test_rejected_rows_are_counted(spark):
+    from ontime.streaming.aggregates import rejected
+    ok = spark.createDataFrame([('{"Origin": "A", "Dest": "B", "UniqueCarrier": "X", "DayOfWeek": "1"}',),
+                                ("garbage",), ('{"Origin": "A", "Dest": "B", "DayOfWeek": "1"}',)],
+                               "value string")
+    got = {r.reason: r.rows for r in rejected(parse_messages(ok)).collect()}
+    assert got == {"malformed": 1, "missing key": 1}
