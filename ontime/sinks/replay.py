@@ -44,8 +44,14 @@ def write_messages(messages: DataFrame, path: str | None = None,
     (it needs the spark-sql-kafka connector on the classpath).
     """
     if brokers:
-        (messages.write.format("kafka")
-         .option("kafka.bootstrap.servers", brokers).save())
+        try:
+            (messages.write.format("kafka")
+             .option("kafka.bootstrap.servers", brokers).save())
+        except Exception as exc:
+            if "kafka" in str(exc).lower() and "data source" in str(exc).lower():
+                from ..sources.streams import KAFKA_MISSING
+                raise RuntimeError(KAFKA_MISSING) from exc
+            raise
     elif path:
         messages.write.mode("overwrite").parquet(path)
     else:

@@ -45,7 +45,17 @@ def kafka_stream(spark: SparkSession, brokers: str, topics: Sequence[str] | str,
               .option("startingOffsets", "earliest"))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return reader.load().select(F.col("topic"), F.col("value").cast("string").alias("value"))
+    try:
+        raw = reader.load()
+    except Exception as exc:
+        if "kafka" in str(exc).lower() and "data source" in str(exc).lower():
+            raise RuntimeError(KAFKA_MISSING) from exc
+        raise
+    return raw.select(F.col("topic"), F.col("value").cast("string").alias("value"))
+
+
+KAFKA_MISSING = ("the Kafka connector (org.apache.spark:spark-sql-kafka-0-10) is not on the "
+                 "classpath; add it with --packages or spark.jars.packages")
 
 
 def message_stream(spark: SparkSession, path: str,

@@ -80,3 +80,18 @@ def test_rejected_rows_are_counted(spark):
                                "value string")
     got = {r.reason: r.rows for r in rejected(parse_messages(ok)).collect()}
     assert got == {"malformed": 1, "missing key": 1}
+
+
+def test_kafka_without_connector_says_so(spark):
+    import pytest
+    from ontime.sources.streams import kafka_stream
+    from ontime.sinks.replay import write_messages
+    try:
+        kafka_stream(spark, "localhost:1", ["t"])
+    except RuntimeError as exc:
+        assert "spark-sql-kafka" in str(exc)
+    else:  # connector present: nothing to check here
+        pytest.skip("kafka connector available")
+    msgs = spark.createDataFrame([("t", "{}")], "topic string, value string")
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        write_messages(msgs, brokers="localhost:1")
