@@ -29,11 +29,23 @@ def read_lake(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     return spark.read.schema(LAKE_PARTITIONED_SCHEMA).format(fmt).load(path)
 
 
+MONTH_FOLDER = r"/([0-9]{4})/([0-9]{1,2})/[^/]+$"
+
+
 def read_delimited_flights(spark: SparkSession, path: str) -> DataFrame:
-    """Headered CSV files in table column order (the fact-table text layout), typed."""
+    """Headered CSV files in table column order (the fact-table text layout), typed.
+
+    Files sit in ``.../YYYY/MM/`` folders; as with a registered partition, ``Yeard`` and
+    ``Monthd`` are the folder's values (from ``_metadata.file_path``), falling back to
+    the Year/Month columns for files outside such folders.
+    """
     df = (spark.read.schema(StructType([LAKE_SCHEMA[c] for c in TABLE_FIELDS]))
           .option("header", True).option("recursiveFileLookup", True).csv(path))
-    return type_flights(df.withColumn("Yeard", F.col("Year")).withColumn("Monthd", F.col("Month")))
+    file_path = F.col("_metadata.file_path")
+    year = F.nullif(F.regexp_extract(file_path, MONTH_FOLDER, 1), F.lit(""))
+    month = F.nullif(F.regexp_extract(file_path, MONTH_FOLDER, 2), F.lit(""))
+    return type_flights(df.withColumn("Yeard", F.coalesce(year, F.col("Year")))
+                          .withColumn("Monthd", F.coalesce(month, F.col("Month"))))
 
 
 def type_flights(lake: DataFrame) -> DataFrame:

@@ -44,8 +44,16 @@ def test_delimited_fact_files_in_table_order(spark, workdir):
            "DayofMonth": "4"}
     with open(os.path.join(path, "2008_03_04.csv"), "w") as fh:
         fh.write(",".join(TABLE_FIELDS) + "\n" + ",".join(row[c] for c in TABLE_FIELDS) + "\n")
-    got = read_delimited_flights(spark, os.path.join(workdir, "INPUT")).collect()[0]
-    assert (got.ArrDelay, got.Cancelled, got.DepTime, got.Yeard, got.Monthd) == (-14, 0, "0005", 2008, 3)
+    # a file filed under another month folder takes the folder's partition values
+    other = os.path.join(workdir, "INPUT", "2008", "04")
+    os.makedirs(other)
+    with open(os.path.join(other, "late.csv"), "w") as fh:
+        fh.write(",".join(TABLE_FIELDS) + "\n" + ",".join(row[c] for c in TABLE_FIELDS) + "\n")
+    got = sorted(read_delimited_flights(spark, os.path.join(workdir, "INPUT")).collect(),
+                 key=lambda r: r.Monthd)
+    assert (got[0].ArrDelay, got[0].Cancelled, got[0].DepTime, got[0].Yeard, got[0].Monthd) == \
+        (-14, 0, "0005", 2008, 3)
+    assert (got[1].Month, got[1].Monthd) == (3, 4)
 
 
 def test_catalog_table_partitions_and_statistics(spark, workdir):
