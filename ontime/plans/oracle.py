@@ -13,7 +13,7 @@ from ..sources.testdata import flights_sql
 ITINERARY_YEAR = 2000
 
 
-def _flights() -> str:
+def flights_cte() -> str:
     return f"WITH flights AS ({flights_sql()})\n"
 
 
@@ -86,7 +86,7 @@ JOIN ({leg('>')}) leg2
 
 
 def batch_oracles() -> dict[str, str]:
-    f = _flights()
+    f = flights_cte()
     return {
         "q1_1": f + traffic_sql() + "\nORDER BY total_flights DESC, airport LIMIT 10",
         "q1_2": f + f"""
@@ -112,7 +112,7 @@ def _in_list(values) -> str:
 
 
 def lookup_oracles(airports, routes, pairs) -> dict[str, str]:
-    f = _flights()
+    f = flights_cte()
     cond = " OR ".join(f"(itinerary = '{i}' AND flightdate1 = '{d}')" for i, d in pairs)
     return {
         "q_l1": f + f"SELECT * FROM ({q2_1_sql()}) t WHERE airport IN ({_in_list(airports)})",

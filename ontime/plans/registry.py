@@ -10,7 +10,7 @@ from ..config import scratch_path
 from ..sources.testdata import stored_flights
 from . import batch
 from .lookups import AIRPORTS, ITINERARY_DATES, ROUTES, stored_itinerary_lookup, stored_lookup
-from .oracle import ITINERARY_YEAR, _flights, batch_oracles, lookup_oracles
+from .oracle import ITINERARY_YEAR, batch_oracles, flights_cte, lookup_oracles
 from .pipeline import pipeline_jobs, pipeline_oracles
 from .streams import stream_jobs, stream_oracles
 
@@ -61,4 +61,4 @@ def registered() -> dict[str, Job]:
 
 def oracles() -> dict[str, str]:
     return {**batch_oracles(), **lookup_oracles(AIRPORTS, ROUTES, ITINERARY_DATES),
-            **stream_oracles(_flights()), **pipeline_oracles(_flights())}
+            **stream_oracles(flights_cte()), **pipeline_oracles(flights_cte())}

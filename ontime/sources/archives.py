@@ -145,6 +145,8 @@ def _local_or_uri(path: str):
         return pafs.LocalFileSystem(), local
     if "://" not in path:
         return pafs.LocalFileSystem(), path
+    if path.startswith("s3a://"):  # Hadoop's S3 scheme; pyarrow calls it s3
+        path = "s3://" + path[len("s3a://"):]
     return pafs.FileSystem.from_uri(path)
 
 
