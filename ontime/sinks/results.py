@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -68,7 +69,7 @@ def write_result(df: DataFrame, table: str, path: str, mode: str = "overwrite",
     spark = df.sparkSession
     try:
         old = spark.read.parquet(path)
-    except Exception:  # first write: nothing to keep
+    except AnalysisException:  # first write: nothing to keep
         new.write.mode("overwrite").parquet(path)
         return
     key_ext = [columns[k] for k in (keys or spec["keys"])]

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import logging
 import time
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .aggregates import AGGREGATES, rejected, report_order
 
-log = logging.getLogger(__name__)
-
 REPORT_ROWS = 10
 
 
@@ -62,7 +60,7 @@ def run_available(agg: DataFrame, name: str, checkpoint: str, result_path: str)
     spark: SparkSession = agg.sparkSession
     try:
         return spark.read.parquet(result_path)
-    except Exception:  # no input at all: empty state
+    except AnalysisException:  # no input at all: no state was ever written
         return spark.createDataFrame([], agg.schema)
 
 
