@@ -60,6 +60,32 @@ def _batch(archive: str, member: str | None, kind: str, records: Sequence[int |
     return pa.RecordBatch.from_arrays(cols, schema=_ARROW_SCHEMA)
 
 
+class _LineCounter(io.RawIOBase):
+    """Pass-through reader that counts physical lines as the CSV reader consumes them."""
+
+    def __init__(self, raw) -> None:
+        self._raw = raw
+        self.newlines = 0
+        self.last = b""
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        data = self._raw.read(len(buffer))
+        n = len(data)
+        buffer[:n] = data
+        if n:
+            self.newlines += data.count(b"\n")
+            self.last = data[-1:]
+        return n
+
+    @property
+    def lines(self) -> int:
+        """Physical lines, a last line without a newline included."""
+        return self.newlines + (1 if self.last not in (b"", b"\n") else 0)
+
+
 def _member_records(archive: str, member: str, stream) -> Iterator[pa.RecordBatch]:
     import pyarrow.csv as pacsv
 
@@ -77,8 +103,10 @@ def _member_records(archive: str, member: str, stream) -> Iterator[pa.RecordBatc
         include_columns=SELECTED_FIELDS, include_missing_columns=False,
         strings_can_be_null=False, quoted_strings_can_be_null=False)
     n_rows = 0
+    counted = _LineCounter(stream)
     try:
-        reader = pacsv.open_csv(stream, read_options=read_opts, parse_options=parse_opts,
+        reader = pacsv.open_csv(io.BufferedReader(counted, CSV_BLOCK_BYTES),
+                                read_options=read_opts, parse_options=parse_opts,
                                 convert_options=conv_opts)
         for block in reader:
             table = pa.Table.from_batches([block])
@@ -100,7 +128,9 @@ def _member_records(archive: str, member: str, stream) -> Iterator[pa.RecordBatc
         yield _batch(archive, member, "bad", [b[0] for b in bad],
                      ["malformed record"] * len(bad), [b[1] for b in bad])
         n_rows += len(bad)
-    yield _batch(archive, member, "member", [n_rows], [error], [None])
+    # The member row carries the physical line count (header excluded) as its text:
+    # blank lines and quoted newlines show up as a difference to the record count.
+    yield _batch(archive, member, "member", [n_rows], [error], [str(max(counted.lines - 1, 0))])
 
 
 def _archive_records(archive: str, content: bytes) -> Iterator[pa.RecordBatch]:
@@ -129,7 +159,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_records(archives: DataFrame) -> DataFrame:
     """Archives -> records: ``kind`` 'row' (18 text columns bound by name), 'bad'
     (malformed record, raw text kept) and one 'member' row per CSV member with the
-    number of records read and an error, if the member could not be read."""
+    number of records read, its physical line count (in ``text``) and an error, if
+    the member could not be read."""
     return archives.select("path", "content").mapInArrow(_extract, RECORD_SCHEMA)
 
 

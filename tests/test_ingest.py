@@ -44,7 +44,7 @@ def test_ingest_end_to_end(spark, workdir):
     order_b = list(reversed(SELECTED_FIELDS))
     # archive 1: two members with different column orders, a quoted comma, a short row
     m1 = csv_text([record(4), record(5, carrier="A,B")], order_a)
-    m2 = csv_text([record(4, carrier="UA")], order_b) + "2008,3\n"
+    m2 = csv_text([record(4, carrier="UA")], order_b) + "\n2008,3\n"
     make_zip(os.path.join(raw, "a_1.zip"), {"a1.csv": m1, "a2.csv": m2, "readme.txt": "x"})
     # archive 2: same day 4 again (both kept), a record with a bad day
     bad_day = record(4)
@@ -75,6 +75,7 @@ def test_ingest_end_to_end(spark, workdir):
     assert (a1.read, a1.kept, a1.skipped, a1.written, a1.status) == (2, 2, 0, 2, "OK")
     a2 = m[("a_1.zip", "a2.csv")]
     assert (a2.read, a2.kept, a2.skipped, a2.written, a2.status) == (2, 1, 1, 1, "OK")
+    assert (a1.lines, a2.lines) == (2, 3)   # a2 has a blank line: 3 lines, 2 records
     b = m[("b_2.zip", "b.csv")]
     assert (b.read, b.kept, b.skipped, b.written, b.status) == (2, 1, 1, 1, "OK")
     c = m[("c_3.zip", None)]
