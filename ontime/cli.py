@@ -19,7 +19,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from .config import scratch_path
+from .config import cluster_defaults, scratch_path
 from .operators.lookups import lookup, lookup_pairs
 from .plans import batch
 from .plans.ingest import ingest
@@ -36,8 +36,11 @@ RESULT_JOBS = {"2_1": "q2_1", "2_2": "q2_2", "2_3": "q2_3", "2_4": "q2_4"}
 LOOKUP_COLUMN = {"2_1": "airport", "2_2": "origin", "2_3": "flight", "2_4": "flight"}
 
 
-def _spark() -> SparkSession:
-    return SparkSession.builder.appName("ontime").getOrCreate()
+def _spark(scale_defaults: bool) -> SparkSession:
+    spark = SparkSession.builder.appName("ontime").getOrCreate()
+    if scale_defaults:
+        cluster_defaults(spark)
+    return spark
 
 
 def cmd_ingest(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -99,6 +102,8 @@ def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="ontime")
+    p.add_argument("--no-scale-defaults", action="store_true",
+                   help="do not apply the large-cluster sizing to unset settings")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     s = sub.add_parser("ingest")
@@ -143,7 +148,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--partitions", type=int, default=10)
 
     a = p.parse_args(argv)
-    spark = _spark()
+    spark = _spark(not a.no_scale_defaults)
     {"ingest": cmd_ingest, "load": cmd_load, "batch": cmd_batch, "lookup": cmd_lookup,
      "replay": cmd_replay, "stream": cmd_stream}[a.cmd](spark, a)
 

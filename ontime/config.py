@@ -57,6 +57,33 @@ def default_session(master: str = "local[*]", shuffle_partitions: int = 8,
     )
 
 
+# Sizing for a large cluster (hundreds of TB, ~1000 executors). The biggest shuffle is a
+# year of flights re-partitioned for the best-flight join back (~5 TB of pruned rows at
+# 100 TB): 20,000 initial partitions keep it near 250 MB per task, and AQE coalesces
+# the many small shuffles (aggregates) down to the advisory size. AQE cannot split a
+# large partition that is not skewed, hence the high initial number.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+}
+
+
+def cluster_defaults(spark: SparkSession) -> dict[str, str]:
+    """Apply ``CLUSTER_DEFAULTS`` for every setting the user did not set; returns those set."""
+    given = spark.sparkContext.getConf()
+    applied = {}
+    for key, value in CLUSTER_DEFAULTS.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
