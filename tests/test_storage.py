@@ -110,3 +110,14 @@ def test_ingest_of_empty_listing(spark, workdir):
     res = ingest(spark, raw, os.path.join(workdir, "lake"), os.path.join(workdir, "q"),
                  os.path.join(workdir, "s"))
     assert res.manifest.count() == 0 and res.runs.count() == 0
+
+
+def test_column_profile_with_approx_distinct(spark):
+    from ontime.operators.quality import column_profile
+    f = flights_df(spark, [{"UniqueCarrier": c, "ArrDelay": d} for c, d in
+                           [("A", 1), ("B", None), ("A", 5), ("C", -2)]])
+    prof = {r.column: r for r in column_profile(f.select("UniqueCarrier", "ArrDelay"),
+                                                approx_distinct=True).collect()}
+    assert (prof["UniqueCarrier"].n_rows, prof["UniqueCarrier"].approx_distinct) == (4, 3)
+    a = prof["ArrDelay"]
+    assert (a.n_nulls, a.min_value, a.max_value, a.approx_distinct) == (1, "-2", "5", 3)
