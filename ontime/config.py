@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -104,3 +107,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for one job's outputs."""
     return f"{checkpoint_dir(spark)}/ontime/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers (once per application).
+
+    Functions given to ``mapInArrow`` / ``mapInPandas`` are imported by module name on
+    the executors; ``addPyFile`` distributes a zip of the package with the job, so it
+    works whatever the workers' path (the same as ``--py-files`` on ``spark-submit``).
+    """
+    app = spark.sparkContext.applicationId
+    with _SHIP_LOCK:
+        if app in _SHIPPED:
+            return
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg_dir)
+        zip_path = os.path.join(tempfile.mkdtemp(prefix="ontime-pkg-"), "ontime.zip")
+        with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as zf:
+            for folder, _, files in os.walk(pkg_dir):
+                for name in files:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        zf.write(full, os.path.relpath(full, root))
+        spark.sparkContext.addPyFile(zip_path)
+        _SHIPPED.add(app)

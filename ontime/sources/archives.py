@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..config import SELECTED_FIELDS
+from ..config import SELECTED_FIELDS, ship_package
 
 # binaryFile holds a whole archive in one value; larger archives are reported, not read.
 MAX_ARCHIVE_BYTES = 2**31 - 1 - 1024 * 1024
@@ -161,6 +161,7 @@ def extract_records(archives: DataFrame) -> DataFrame:
     (malformed record, raw text kept) and one 'member' row per CSV member with the
     number of records read, its physical line count (in ``text``) and an error, if
     the member could not be read."""
+    ship_package(archives.sparkSession)
     return archives.select("path", "content").mapInArrow(_extract, RECORD_SCHEMA)
 
 
@@ -216,4 +217,5 @@ def write_archives(rows: DataFrame, dest: str, prefix: str = "flights") -> DataF
                     n += len(b)
         yield pd.DataFrame({"archive": [name], "rows": [n]})
 
+    ship_package(rows.sparkSession)
     return rows.mapInPandas(write, "archive string, rows long")
