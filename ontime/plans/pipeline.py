@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import INT_FIELDS, SELECTED_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS, scratch_path
 from ..sinks.lake import lake_rows
 from ..sources.archives import write_archives
-from ..sources.testdata import spread, stored_flights
+from ..sources.testdata import stored_flights
 from .ingest import ingest, lake_day_summary
 from .load import load, profile
 from .streams import build_lake
@@ -25,9 +25,14 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "ingest")
-    # One archive per input split (archive size follows split size); a table read
-    # as fewer splits than cores is spread first so archives unpack in parallel.
-    write_archives(spread(raw_rows(spark, sf_dir)), f"{base}/RAW").count()
+    # Archives cover contiguous periods, as monthly raw archives do: the rows are range
+    # partitioned by date (a huge month is split over several archives by day), one
+    # archive per partition, at least one per core.
+    raw = raw_rows(spark, sf_dir)
+    n = max(spark.sparkContext.defaultParallelism, raw.rdd.getNumPartitions())
+    by_period = raw.repartitionByRange(n, *[F.col(c).try_cast("int")
+                                            for c in ("Year", "Month", "DayofMonth")])
+    write_archives(by_period, f"{base}/RAW").count()
     result = ingest(spark, f"{base}/RAW", f"{base}/lake", f"{base}/quarantine", f"{base}/stage")
     return lake_day_summary(spark, result.lake_path)
 

@@ -28,18 +28,23 @@ def lake_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def write_lake(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_lake(rows: DataFrame, path: str, fmt: str = "parquet", shuffle: bool = True) -> None:
     """Write lake rows partitioned by day; a day written again replaces only that day.
 
-    ``REBALANCE`` on the day keys groups each day into one task -- so a normal day is
-    one file, as in a day-file lake -- while AQE splits a hot day over several tasks
-    and packs small days together. Dynamic partition overwrite replaces exactly the
-    days present in ``rows`` (a later run of the same day wins) and leaves the rest.
+    ``shuffle=True``: ``REBALANCE`` on the day keys groups each day into one task -- so
+    a normal day is one file, as in a day-file lake -- while AQE splits a hot day over
+    several tasks and packs small days together. ``shuffle=False``: each task writes
+    the days it holds (the writer sorts by day inside the task), no exchange at all;
+    a day then has one file per task that held it -- the right choice when the input
+    is already grouped by period, as rows unpacked from monthly archives are.
+    Dynamic partition overwrite replaces exactly the days present in ``rows`` (a later
+    run of the same day wins) and leaves the rest.
     """
     if "Dayd" not in rows.columns:
         rows = lake_rows(rows)
-    writer = (rows.hint("rebalance", *LAKE_PARTITIONS)
-                  .write.mode("overwrite")
+    if shuffle:
+        rows = rows.hint("rebalance", *LAKE_PARTITIONS)
+    writer = (rows.write.mode("overwrite")
                   .option("partitionOverwriteMode", "dynamic")
                   .partitionBy(*LAKE_PARTITIONS))
     if fmt == "csv":
