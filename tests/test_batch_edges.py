@@ -96,3 +96,17 @@ def test_itinerary_null_delay_takes_rank_one(spark):
     strict = [(r["flightnum1"], r["total_delay"])
               for r in batch.two_leg_itineraries(f, 2008, require_delay=True).collect()]
     assert strict == [("2", -1.0)]
+
+
+def test_itinerary_bad_date_never_matches(spark):
+    f = flights_df(spark, [
+        {"Origin": "X", "Dest": "Y", "FlightDate": "2008-05-01", "DepTime": "", "ArrDelay": 1, "FlightNum": "1"},
+        {"Origin": "X", "Dest": "Y", "FlightDate": "2008-13-45", "Year": 2008, "Month": 5, "DayofMonth": 2,
+         "DepTime": "0800", "ArrDelay": 0, "FlightNum": "2"},
+        {"Origin": "Y", "Dest": "Z", "FlightDate": "2008-05-03", "DepTime": "1300", "ArrDelay": 4, "FlightNum": "3"},
+        {"Origin": "Y", "Dest": "Z", "FlightDate": "not a date", "Year": 2008, "Month": 5, "DayofMonth": 4,
+         "DepTime": "1300", "ArrDelay": 0, "FlightNum": "4"},
+    ])
+    got = sorted((r.flightnum1, r.flightnum2) for r in batch.two_leg_itineraries(f, 2008).collect())
+    # '' sorts before '1200' (a morning leg); bad dates raise nothing and match nothing
+    assert got == [("1", "3")]
