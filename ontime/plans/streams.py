@@ -53,6 +53,17 @@ def file_stream_job(name: str):
 _LAKES: dict[tuple[str, str], str] = {}
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet folder written earlier is still there (a listing, no scan)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.schema("_x string").parquet(path)
+        return True
+    except AnalysisException:
+        return False
+
+
 def build_lake(spark: SparkSession, sf_dir: str) -> str:
     """Write the driver-table flights as a clean lake once per application; its path.
 
@@ -60,7 +71,7 @@ def build_lake(spark: SparkSession, sf_dir: str) -> str:
     message streams and the load all read the same copy.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAKES:
+    if key not in _LAKES or not _exists(spark, _LAKES[key]):
         path = scratch_path(spark, "lake")
         write_lake(lake_rows(stored_flights(spark, sf_dir)), path)
         _LAKES[key] = path
@@ -78,7 +89,7 @@ _MESSAGES: dict[tuple[str, str], str] = {}
 def replayed_messages(spark: SparkSession, sf_dir: str) -> str:
     """Replay the lake to message files once per application; their folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MESSAGES:
+    if key not in _MESSAGES or not _exists(spark, _MESSAGES[key]):
         path = scratch_path(spark, "messages")
         replay(spark, build_lake(spark, sf_dir), TOPICS, out_path=path)
         _MESSAGES[key] = path

@@ -169,13 +169,19 @@ def stored_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..config import scratch_path
     from .lake import read_flights_table, write_flights_table
 
+    from pyspark.errors import AnalysisException
+
     key = (spark.sparkContext.applicationId, sf_dir)
     with _STORED_LOCK:
-        if key not in _STORED:
-            path = scratch_path(spark, "flights_table")
-            write_flights_table(flights(spark, sf_dir), path)
-            _STORED[key] = path
-    return read_flights_table(spark, _STORED[key])
+        if key in _STORED:
+            try:
+                return read_flights_table(spark, _STORED[key])
+            except AnalysisException:  # the scratch copy was removed: build it again
+                del _STORED[key]
+        path = scratch_path(spark, "flights_table")
+        write_flights_table(flights(spark, sf_dir), path)
+        _STORED[key] = path
+    return read_flights_table(spark, path)
 
 
 def flights_sql() -> str:
