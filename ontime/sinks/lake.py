@@ -9,6 +9,13 @@ from ..config import LAKE_PARTITIONS, SELECTED_FIELDS
 from ..functions import keep_string
 
 
+def day_keys() -> list:
+    """``Yeard``, ``Monthd``, ``Dayd``: zero-padded text of Year/Month/DayofMonth."""
+    return [F.lpad(F.col(c).try_cast("int").cast("string"), w, "0").alias(k)
+            for c, w, k in (("Year", 4, "Yeard"), ("Month", 2, "Monthd"),
+                            ("DayofMonth", 2, "Dayd"))]
+
+
 def lake_rows(df: DataFrame) -> DataFrame:
     """Any flights-shaped rows (typed or text) -> lake rows.
 
@@ -16,16 +23,7 @@ def lake_rows(df: DataFrame) -> DataFrame:
     typed load is where numbers are parsed). The day partitions are zero-padded *copies*
     of Year/Month/DayofMonth, so the data columns stay inside the files.
     """
-    cols = [keep_string(c).alias(c) for c in SELECTED_FIELDS]
-    year = F.col("Year").try_cast("int")
-    month = F.col("Month").try_cast("int")
-    day = F.col("DayofMonth").try_cast("int")
-    return df.select(
-        *cols,
-        F.lpad(year.cast("string"), 4, "0").alias("Yeard"),
-        F.lpad(month.cast("string"), 2, "0").alias("Monthd"),
-        F.lpad(day.cast("string"), 2, "0").alias("Dayd"),
-    )
+    return df.select(*[keep_string(c).alias(c) for c in SELECTED_FIELDS], *day_keys())
 
 
 def write_lake(rows: DataFrame, path: str, fmt: str = "parquet", shuffle: bool = True) -> None:
