@@ -6,7 +6,8 @@
     python -m ontime.cli lookup  --results RESULTS/ --table-id 2_1 --keys CMI,BWI
     python -m ontime.cli lookup  --results RESULTS/ --table-id 3_2 --pairs CMI-ORD-LAX@2008-03-04
     python -m ontime.cli replay  --lake CLEAN/ --topics t1,t2 (--out MSGS/ | --brokers host:9092)
-    python -m ontime.cli stream  --checkpoints CK/ (--files DIR [--csv] | --brokers B --topics T)
+    python -m ontime.cli stream  --checkpoints CK/ (--files DIR [--csv] | --messages DIR
+                                                    | --brokers B --topics T)
 
 The session comes from the launcher (``spark-submit`` settings); scratch and staging
 data go under the session's checkpoint folder unless ``--work`` is given.
@@ -27,7 +28,7 @@ from .plans.load import load
 from .sinks.replay import replay
 from .sinks.results import read_itineraries, read_result, write_itineraries, write_result
 from .sources.lake import read_flights_table
-from .sources.streams import file_stream, kafka_stream, parse_messages, rate_cap
+from .sources.streams import file_stream, kafka_stream, message_stream, parse_messages, rate_cap
 from .streaming.runner import start_all
 
 log = logging.getLogger("ontime")
@@ -93,6 +94,8 @@ def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.brokers:
         cap = rate_cap(a.rate, a.partitions, 2) if a.rate else None
         flights = parse_messages(kafka_stream(spark, a.brokers, a.topics.split(","), cap))
+    elif a.messages:
+        flights = parse_messages(message_stream(spark, a.messages, a.max_files))
     else:
         flights = file_stream(spark, a.files, "csv" if a.csv else "parquet",
                               max_files_per_trigger=a.max_files)
@@ -140,6 +143,7 @@ def main(argv: list[str] | None = None) -> None:
     s = sub.add_parser("stream")
     s.add_argument("--checkpoints", required=True)
     s.add_argument("--files")
+    s.add_argument("--messages", help="folder of replayed (topic, value) message files")
     s.add_argument("--csv", action="store_true")
     s.add_argument("--max-files", type=int)
     s.add_argument("--brokers")

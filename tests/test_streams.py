@@ -95,3 +95,9 @@ def test_kafka_without_connector_says_so(spark):
     msgs = spark.createDataFrame([("t", "{}")], "topic string, value string")
     with pytest.raises(RuntimeError, match="spark-sql-kafka"):
         write_messages(msgs, brokers="localhost:1")
+
+
+def test_rate_cap_per_trigger():
+    from ontime.sources.streams import rate_cap
+    # 50,000 records/s per partition, 10 partitions, 2 s batches
+    assert rate_cap(50_000, 10, 2) == 1_000_000
