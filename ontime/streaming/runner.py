@@ -13,6 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 from .aggregates import AGGREGATES, rejected, report_order
 
 REPORT_ROWS = 10
+# Shuffle partitions of a running aggregate = its state-store partitions, fixed when the
+# query first starts. The state holds one row per airport / carrier / weekday and only
+# partial aggregates reach it, so a small number fits any input volume.
+STATE_PARTITIONS = 16
 
 
 def report(batch: DataFrame, order: Sequence[Column], title: str,
@@ -50,7 +54,13 @@ def start(agg: DataFrame, name: str, checkpoint: str, result_path: str | None =
               .option("checkpointLocation", checkpoint)
               .queryName(f"{name}_{uuid.uuid4().hex[:8]}"))
     writer = writer.trigger(**(trigger or {"availableNow": True}))
-    return writer.start()
+    spark = agg.sparkSession
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(STATE_PARTITIONS))
+    try:
+        return writer.start()   # the query keeps the setting it started with
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
 def run_available(agg: DataFrame, name: str, checkpoint: str, result_path: str) -> DataFrame:
