@@ -15,7 +15,8 @@ from .aggregates import AGGREGATES, rejected, report_order
 REPORT_ROWS = 10
 # Shuffle partitions of a running aggregate = its state-store partitions, fixed when the
 # query first starts. The state holds one row per airport / carrier / weekday and only
-# partial aggregates reach it, so a small number fits any input volume.
+# partial aggregates reach it, so a small number fits any input volume: the session's
+# setting is capped at this value.
 STATE_PARTITIONS = 16
 
 
@@ -56,7 +57,8 @@ def start(agg: DataFrame, name: str, checkpoint: str, result_path: str | None =
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     spark = agg.sparkSession
     previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(STATE_PARTITIONS))
+    state = min(int(previous), STATE_PARTITIONS)   # a cap: never more than the session's
+    spark.conf.set("spark.sql.shuffle.partitions", str(state))
     try:
         return writer.start()   # the query keeps the setting it started with
     finally:
