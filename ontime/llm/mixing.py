@@ -35,7 +35,7 @@ WEIGHTS = {"good": 0.85, "low": 0.13, "toxic": 0.02}
 SAMPLE_ROWS = 30_000
 #: Word beginnings that speak for the toxic domain, at most.
 MAX_BEGINNINGS = 64
-STEPS, RATE, RIDGE, TOLERANCE = 60, 0.9, 1e-3, 1e-7
+STEPS, RATE, RIDGE, TOLERANCE = 30, 0.9, 1e-3, 1e-6
 #: Buckets of every feature of the classifier.
 FEATURES = {"length": 12, "symbols": 6, "capitals": 4, "distinct": 8, "lines": 4, "beginnings": 3}
 BLANKS = r"[\x20\x09-\x0D]+"

@@ -11,6 +11,7 @@ from .byte_bpe import byte_bpe
 from .common import documents, labels
 from .exact_dedup import exact_dedup
 from .hmm_lm import hmm_lm
+from .jaccard_join import jaccard_join
 from .license_scan import license_scan
 from .mixing import mixing
 from .pii_crf import pii_crf
@@ -47,6 +48,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir)).drop("matches")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(documents(spark, sf_dir))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).drop("n_rules_failed", "host_docs", "host_rate", "host_rejected")
 
@@ -61,7 +66,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     every = (op1_exact_dedup, op2_toxicity, op3_hmm_lm, op4_suffix_dedup, op5_pii_crf, op6_license_scan,
-             op8_quality_rules, op9_byte_bpe, op10_mixing)
+             op7_jaccard_join, op8_quality_rules, op9_byte_bpe, op10_mixing)
     return {f.__name__: f for f in every}
 
 
