@@ -113,7 +113,7 @@ def cut(pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Record
             counts, places = [], []
             for text in table.column("text").to_pylist():
                 words = words_of(text)
-                for word in set(words) - vocabulary.keys():
+                for word in set(words).difference(vocabulary):
                     vocabulary[word] = len(vocabulary)
                 counts.append(len(words))
                 places.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))

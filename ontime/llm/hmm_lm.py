@@ -62,7 +62,7 @@ def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths, places = [], []
         for text in utf8(table):
             words = text.translate(LOWER).split()
-            for word in set(words) - vocabulary.keys():
+            for word in set(words).difference(vocabulary):
                 vocabulary[word] = len(vocabulary)
             lengths.append(len(words))
             places.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))

@@ -66,7 +66,7 @@ def shingle_sets(raw: list[bytes]) -> Iterator[np.ndarray]:
     known: dict[bytes, int] = {}
     for text in raw:
         words = text.translate(LOWER).split()
-        for word in set(words) - known.keys():
+        for word in set(words).difference(known):
             known[word] = xxhash.xxh3_64_intdigest(word)
         h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         n = min(SHINGLE, len(words))
