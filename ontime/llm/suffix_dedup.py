@@ -261,7 +261,7 @@ def spans(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     cut = np.ones(len(doc), bool)
     cut[1:] = (doc[1:] != doc[:-1]) | (place[1:] > place[:-1] + MATCH)
     at = np.flatnonzero(cut)
-    last = np.append(at[1:], len(doc)) - 1
+    last = np.append(at, len(doc))[1:] - 1
     return doc[at], place[at], place[last] + MATCH
 
 

@@ -283,3 +283,10 @@ def test_mixing_matches_numpy_and_targets(spark, small, small_labels):
     reached = (rate * t) @ p / t.sum()
     assert np.abs(reached - weights).sum() < np.abs(t @ p / t.sum() - weights).sum() / 3
     assert all(r.copies in (math.floor(r.rate), math.floor(r.rate) + 1) for r in out)
+
+
+def test_spans_of_windows():
+    none = np.empty(0, int)
+    assert all(len(x) == 0 for x in suffix_dedup.spans(none, none))
+    doc, start, end = suffix_dedup.spans(np.array([2, 1, 1, 1]), np.array([0, 6, 5, 300]))
+    assert list(zip(doc, start, end)) == [(1, 5, 106), (1, 300, 400), (2, 0, 100)]
