@@ -38,6 +38,10 @@ from .common import blocks, ragged, ready, texts, utf8
 
 BUCKETS = 1 << 15
 NO_RANK = 2 ** 31 - 1
+#: A block ends when it has this many distinct words, or words.
+BLOCK_DISTINCT, BLOCK_WORDS = 400_000, 8_000_000
+#: Bytes of text that are cut at once.
+SLICE_BYTES = 2 << 20
 BLOCK = "doc_ids array<long>, counts array<int>, places binary, words array<binary>"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"
 
@@ -98,7 +102,8 @@ def encode_word(word: Column, literal: Column) -> Column:
     pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1),
                                       lambda i: rank(F.substring(word, i, F.lit(2))))
                    ).otherwise(F.array().cast("array<int>"))
-    folded = F.aggregate(F.sequence(F.lit(1), n), F.struct(single.alias("p"), pairs.alias("r")),
+    steps = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
+    folded = F.aggregate(steps, F.struct(single.alias("p"), pairs.alias("r")),
                          lambda state, _: merge(state), lambda state: F.transform(state["p"], rank))
     return _let(rank(word), lambda whole: F.when(whole < NO_RANK, F.array(whole)).otherwise(folded))
 
@@ -108,21 +113,31 @@ def cut(pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Record
         import regex
 
         words_of = regex.compile(pattern).findall
-        for table in blocks(batches):
-            vocabulary: dict[str, int] = {}
-            counts, places = [], []
-            for text in table.column("text").to_pylist():
+        vocabulary: dict[str, int] = {}
+        ids, counts, places, size = [], [], [], 0
+
+        def block() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([ids], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int32())),
+                 pa.array([b"".join(places)], pa.binary()),
+                 pa.array([[w.encode() for w in vocabulary]], pa.list_(pa.binary()))],
+                names=["doc_ids", "counts", "places", "words"])
+
+        for table in blocks(batches, limit=SLICE_BYTES):
+            for doc, text in zip(table.column("doc_id").to_pylist(), table.column("text").to_pylist()):
                 words = words_of(text)
                 for word in set(words).difference(vocabulary):
                     vocabulary[word] = len(vocabulary)
+                ids.append(doc)
                 counts.append(len(words))
-                places.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([table.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                 pa.array([counts], pa.list_(pa.int32())),
-                 pa.array([np.concatenate(places).tobytes()], pa.binary()),
-                 pa.array([[w.encode() for w in vocabulary]], pa.list_(pa.binary()))],
-                names=["doc_ids", "counts", "places", "words"])
+                places.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)).tobytes())
+                size += len(words)
+            if len(vocabulary) >= BLOCK_DISTINCT or size >= BLOCK_WORDS:
+                yield block()
+                vocabulary = {}
+                ids, counts, places, size = [], [], [], 0
+        if ids:
+            yield block()
     return run
 
 

@@ -66,6 +66,7 @@ def blocks(batches: Iterable[pa.RecordBatch], sizes_of: str = "text",
             if size >= limit:
                 yield pa.Table.from_batches(held).combine_chunks()
                 held, size = [], 0
+                pa.default_memory_pool().release_unused()
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
 

@@ -43,9 +43,11 @@ MATCH = 100
 GRAM = 32
 WINDOW = MATCH - GRAM + 1
 #: Strings in one collection, at most, unless one anchor alone has more.
-COLLECTION = 12_000
+COLLECTION = 8_000
 #: Bytes that are hashed at once.
 PIECE = 1 << 20
+#: Bytes of text that a task works on at once.
+SLICE_BYTES = 4 << 20
 NULL_ID = -(1 << 63)
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                               0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
@@ -127,7 +129,7 @@ def pieces(ids: list[int], raw: list[bytes]) -> Iterator[tuple[list[int], list[i
 
 def find_segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Segments of all texts; of equal ones in a block, all but the first are repeats."""
-    for table in blocks(batches):
+    for table in blocks(batches, limit=SLICE_BYTES):
         table = table.sort_by("doc_id")
         found, owner = [], []
         for docs, offsets, parts in pieces(table.column("doc_id").to_pylist(),
@@ -288,9 +290,16 @@ def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found(held)
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def cut_strings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of wanted segments."""
-    for batch in batches:
+    for batch in slices(batches):
         for text, doc, wanted in zip(batch.column("text").cast(pa.binary()).to_pylist(),
                                      batch.column("doc_id").to_pylist(), batch.column("wanted").to_pylist()):
             yield pa.RecordBatch.from_arrays(
@@ -317,7 +326,7 @@ def cut_out(text: bytes, pieces: list[dict]) -> tuple[bytes, int, int]:
 
 
 def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         gone, runs, digests = [], [], []
         for text, digest, pieces in zip(batch.column("text").cast(pa.binary()).to_pylist(),
                                         batch.column("sha256").to_pylist(), batch.column("pieces").to_pylist()):
@@ -336,7 +345,7 @@ def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def within(bitmap: bytes) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows whose id may be in the filter."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array(in_filter(bitmap, batch.column("slot").to_numpy()))).drop_columns(["slot"])
     return run
 
@@ -344,7 +353,7 @@ def within(bitmap: bytes) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Re
 def without_texts(bitmap: bytes) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Texts that surely lose nothing are replaced by their size and digest."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = in_filter(bitmap, batch.column("slot").to_numpy()).tolist()
             raw = batch.column("text").cast(pa.binary()).to_pylist()
             yield pa.RecordBatch.from_arrays(
