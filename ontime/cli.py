@@ -25,16 +25,17 @@ from .operators.lookups import lookup, lookup_pairs
 from .plans import batch
 from .plans.ingest import ingest
 from .plans.load import load
+from .plans.lookups import LOOKUP_COLUMN
 from .sinks.replay import replay
 from .sinks.results import read_itineraries, read_result, write_itineraries, write_result
 from .sources.lake import read_flights_table
 from .sources.streams import file_stream, kafka_stream, message_stream, parse_messages, rate_cap
+from .streaming.aggregates import MESSAGE_TRIGGERS
 from .streaming.runner import start_all
 
 log = logging.getLogger("ontime")
 
 RESULT_JOBS = {"2_1": "q2_1", "2_2": "q2_2", "2_3": "q2_3", "2_4": "q2_4"}
-LOOKUP_COLUMN = {"2_1": "airport", "2_2": "origin", "2_3": "flight", "2_4": "flight"}
 
 
 def _spark(scale_defaults: bool) -> SparkSession:
@@ -61,10 +62,11 @@ def cmd_load(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def cmd_batch(spark: SparkSession, a: argparse.Namespace) -> None:
     flights = read_flights_table(spark, a.table)
-    for name in ("q1_1", "q1_2", "q1_3", "q3_1"):
+    for name in ("q1_1", "q1_2", "q1_3"):
         print(f"--- {name} ---")
-        for r in batch.JOBS[name](flights).collect():   # bounded: top 10 / 7 days / airports
+        for r in batch.JOBS[name](flights).collect():   # bounded: top 10 / 7 days
             print(",".join(str(v) for v in r))
+    batch.JOBS["q3_1"](flights).write.mode("overwrite").parquet(f"{a.results}/3_1")
     for table, name in RESULT_JOBS.items():
         write_result(batch.JOBS[name](flights), table, f"{a.results}/{table}", a.mode)
     write_itineraries(batch.two_leg_itineraries(flights, a.year,
@@ -81,25 +83,33 @@ def cmd_lookup(spark: SparkSession, a: argparse.Namespace) -> None:
     else:
         df = lookup(read_result(spark, a.table_id, f"{a.results}/{a.table_id}"),
                     LOOKUP_COLUMN[a.table_id], a.keys.split(","))
-    df.show(a.rows, truncate=False)
+    if a.out:
+        df.write.mode("overwrite").option("header", True).csv(a.out)
+        print(f"rows written to {a.out}")
+        return
+    print(",".join(df.columns))
+    for r in df.toLocalIterator():   # all rows, a partition at a time
+        print(",".join("" if v is None else str(v) for v in r))
 
 
 def cmd_replay(spark: SparkSession, a: argparse.Namespace) -> None:
-    counts = replay(spark, a.lake, a.topics.split(","), a.out, a.brokers)
+    counts = replay(spark, a.lake, a.topics.split(","), a.out, a.brokers, a.format)
     for r in counts.collect():
         print(f"{r.topic}: {r.n_messages}")
 
 
 def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> None:
+    triggers = MESSAGE_TRIGGERS if a.brokers or a.messages else None
     if a.brokers:
-        cap = rate_cap(a.rate, a.partitions, 2) if a.rate else None
-        flights = parse_messages(kafka_stream(spark, a.brokers, a.topics.split(","), cap))
+        def flights(interval: float):  # noqa: ANN202
+            cap = rate_cap(a.rate, a.partitions, interval) if a.rate else None
+            return parse_messages(kafka_stream(spark, a.brokers, a.topics.split(","), cap))
     elif a.messages:
         flights = parse_messages(message_stream(spark, a.messages, a.max_files))
     else:
         flights = file_stream(spark, a.files, "csv" if a.csv else "parquet",
                               max_files_per_trigger=a.max_files)
-    start_all(flights, a.checkpoints, show=True)
+    start_all(flights, a.checkpoints, show=True, triggers=triggers)
     spark.streams.awaitAnyTermination()
 
 
@@ -132,13 +142,14 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--table-id", required=True, choices=["2_1", "2_2", "2_3", "2_4", "3_2"])
     s.add_argument("--keys", default="")
     s.add_argument("--pairs", default="")
-    s.add_argument("--rows", type=int, default=100)
+    s.add_argument("--out", help="folder for the rows (CSV); without it they are printed")
 
     s = sub.add_parser("replay")
     s.add_argument("--lake", required=True)
     s.add_argument("--topics", required=True)
     s.add_argument("--out")
     s.add_argument("--brokers")
+    s.add_argument("--format", default="parquet", choices=["parquet", "csv"])
 
     s = sub.add_parser("stream")
     s.add_argument("--checkpoints", required=True)
@@ -148,10 +159,12 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--max-files", type=int)
     s.add_argument("--brokers")
     s.add_argument("--topics", default="")
-    s.add_argument("--rate", type=int, default=50000, help="records/s per partition")
-    s.add_argument("--partitions", type=int, default=10)
+    s.add_argument("--rate", type=int, help="cap, in records/s per partition (default: none)")
+    s.add_argument("--partitions", type=int, help="partitions of all topics together, for --rate")
 
     a = p.parse_args(argv)
+    if a.cmd == "stream" and a.rate and not a.partitions:
+        p.error("--rate needs --partitions (of all topics together)")
     spark = _spark(not a.no_scale_defaults)
     {"ingest": cmd_ingest, "load": cmd_load, "batch": cmd_batch, "lookup": cmd_lookup,
      "replay": cmd_replay, "stream": cmd_stream}[a.cmd](spark, a)

@@ -7,7 +7,9 @@ import tempfile
 import threading
 import uuid
 import zipfile
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # --- Fixed values (must equal the on-time-performance data layout) -----------------
@@ -90,14 +92,17 @@ def cluster_defaults(spark: SparkSession) -> dict[str, str]:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
-    Read from the session; only when it is unset (tests, local runs) a private temporary
-    folder is created and registered, so ``DataFrame.checkpoint()`` works everywhere.
+    Read from the session; only when it is unset and the master is local (tests, local
+    runs) a private temporary folder is created and registered; on a cluster that raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
+            if not sc.master.split("[")[0] == "local":
+                raise RuntimeError("set spark.checkpoint.dir to shared storage: a temporary folder of one "
+                                   f"machine cannot serve the executors of {sc.master}")
             current = tempfile.mkdtemp(prefix="ontime-checkpoints-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
@@ -109,6 +114,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/ontime/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_BUILT: dict[tuple[str, str, str], str] = {}
+_BUILD_LOCK = threading.RLock()
+
+
+def built_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], object]) -> str:
+    """The scratch folder that ``build`` filled, built once per application and input, and
+    built again when the folder is gone."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    with _BUILD_LOCK:
+        path = _BUILT.get(key)
+        if path:
+            try:
+                spark.read.parquet(f"{path}/_built_marker/done")
+                return path
+            except AnalysisException:
+                pass
+        path = scratch_path(spark, name)
+        build(path)
+        spark.range(1).coalesce(1).write.parquet(f"{path}/_built_marker/done")
+        _BUILT[key] = path
+        return path
+
+
 _SHIPPED: set[str] = set()
 _SHIP_LOCK = threading.Lock()
 

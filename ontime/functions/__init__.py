@@ -2,7 +2,6 @@
 
 from .casting import float_or_zero, keep_string, pad_hhmm, to_int
 from .expressions import (
-    best_rank_filter,
     iso_date,
     mean2,
     plus_days,
@@ -10,7 +9,6 @@ from .expressions import (
 )
 
 __all__ = [
-    "best_rank_filter",
     "float_or_zero",
     "iso_date",
     "keep_string",

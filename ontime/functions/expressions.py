@@ -33,13 +33,3 @@ def iso_date(c: str | Column) -> Column:
 def plus_days(c: str | Column, days: int) -> Column:
     """``date_add`` on a text date; NULL for a bad date, so it never matches anything."""
     return F.date_add(iso_date(c), days)
-
-
-def best_rank_filter(value: str | Column, best: str | Column, has_null: str | Column) -> Column:
-    """Rows that ``rank() OVER (... ORDER BY value)`` puts first (ASC, NULLS FIRST).
-
-    ``best`` is the group minimum and ``has_null`` whether the group holds a NULL: if it
-    does, the NULL rows share rank 1, otherwise every row equal to the minimum does.
-    """
-    value, best, has_null = _col(value), _col(best), _col(has_null)
-    return F.when(has_null, value.isNull()).otherwise(value == best)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import NOON
-from ..functions import best_rank_filter, iso_date, plus_days, route
+from ..functions import iso_date, plus_days, route
 
 LEG_COLUMNS = ["Origin", "Dest", "UniqueCarrier", "FlightNum", "DepTime", "ArrDelay",
                "FlightDate", "Yeard", "Monthd", "DayofMonth", "Cancelled"]
@@ -19,24 +19,18 @@ def best_flights(rows: DataFrame, keys: Sequence[str] = ROUTE_DAY,
                  value: str = "ArrDelay") -> DataFrame:
     """Rows with ``rank() = 1`` by ``value`` within each group of ``keys``, ties kept.
 
-    Expressed as group minimum + join back instead of a window: the aggregate is
-    partial before its shuffle (one row per group and map task) and the join back is
-    an equi-join that AQE's skew handling can split when one group is hot, so no task
-    ever has to hold a whole group. NULL values sort first, as ``rank()`` ASC does.
+    One scan and one exchange: Catalyst puts a ``WindowGroupLimit`` before and after the
+    exchange, so a map task sends on only its best rows of a group and a hot route-day
+    crosses the network as its ties. NULL values sort first, as ``rank()`` ASC does.
     """
-    best = (rows.groupBy(*keys)
-                .agg(F.min(value).alias("_best"),
-                     F.max(F.col(value).isNull()).alias("_has_null")))
-    cond = [rows[c].eqNullSafe(best[c]) for c in keys]
-    joined = rows.join(best, cond).select(rows["*"], best["_best"], best["_has_null"])
-    return (joined.where(best_rank_filter(value, "_best", "_has_null"))
-                  .drop("_best", "_has_null"))
+    order = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_first())
+    return rows.withColumn("_rank", F.rank().over(order)).where("_rank = 1").drop("_rank")
 
 
 def best_legs(flights: DataFrame, year: int, require_delay: bool = False) -> DataFrame:
     """Best flight per route, day and half-day (``_am``: before noon) of one year.
 
-    Both halves share one aggregate and one join back; ``DepTime`` of exactly
+    Both halves share one window; ``DepTime`` of exactly
     ``'1200'`` (or NULL) belongs to neither half, as the text compare implies.
     """
     base = flights.select(*LEG_COLUMNS).where(

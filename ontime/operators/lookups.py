@@ -3,37 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lists up to this length become a pushed-down ``IN`` / OR predicate; longer lists
-# become a broadcast semi join against a table built from the list (its size is the
-# list's length, known on the driver before anything runs).
-INLINE_LIMIT = 1000
-
 
 def lookup(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """Rows whose ``column`` is one of ``values`` (``WHERE column IN (...)``)."""
-    values = list(dict.fromkeys(values))
-    if len(values) <= INLINE_LIMIT:
-        return df.where(F.col(column).isin(values))
-    keys = df.sparkSession.createDataFrame([(v,) for v in values], f"{column} string")
-    return df.join(F.broadcast(keys), column, "left_semi")
+    return lookup_pairs(df, [column], [(v,) for v in values])
 
 
 def lookup_pairs(df: DataFrame, columns: Sequence[str],
                  pairs: Sequence[Sequence[str]]) -> DataFrame:
-    """Rows matching any of the value tuples on ``columns`` (OR of ANDs)."""
-    pairs = [tuple(p) for p in dict.fromkeys(tuple(p) for p in pairs)]
-    if not pairs:
-        return df.where(F.lit(False))
-    if len(pairs) <= INLINE_LIMIT:
-        cond = reduce(lambda a, b: a | b, [
-            reduce(lambda a, b: a & b, [F.col(c) == F.lit(v) for c, v in zip(columns, p)])
-            for p in pairs])
-        return df.where(cond)
-    schema = ", ".join(f"{c} string" for c in columns)
-    keys = df.sparkSession.createDataFrame(pairs, schema)
-    return df.join(F.broadcast(keys), list(columns), "left_semi")
+    """Rows matching any of the value tuples on ``columns`` (OR of ANDs).
+
+    One form for every length: a semi join with a table of the keys, typed as the columns
+    are; Catalyst chooses the join from the measured sizes. Rows keep ``df``'s columns.
+    """
+    spark = df.sparkSession
+    texts = dict.fromkeys(tuple(None if v is None else str(v) for v in p) for p in pairs)
+    keys = spark.createDataFrame(list(texts), ", ".join(f"`{c}` string" for c in columns))
+    keys = keys.select(*[F.col(c).try_cast(df.schema[c].dataType).alias(c) for c in columns])
+    return df.join(keys, list(columns), "left_semi").select(*df.columns)

@@ -16,7 +16,7 @@ def load(spark: SparkSession, lake_path: str, table_path: str, table_name: str |
     With ``table_name`` the table is also declared in the catalog with its partitions
     and statistics (``ANALYZE TABLE``), so SQL users can query it by name.
     """
-    write_flights_table(type_flights(read_lake(spark, lake_path, fmt)), table_path)
+    write_flights_table(type_flights(read_lake(spark, lake_path, fmt)), table_path, shuffle=False)
     if table_name:
         return register_flights_table(spark, table_name, table_path, compute_stats)
     return read_flights_table(spark, table_path)

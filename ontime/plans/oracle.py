@@ -32,12 +32,12 @@ JOIN (SELECT Dest AS dest, count(FlightNum) AS arr FROM flights {where} GROUP BY
   ON o.origin = d.dest"""
 
 
-def q2_1_sql() -> str:
+def q2_1_sql(source: str = "flights") -> str:
     return f"""
 SELECT airport, airline, avg_delay, "rank" FROM (
   SELECT *, rank() OVER (PARTITION BY airport ORDER BY avg_delay NULLS FIRST, airline NULLS FIRST) AS "rank"
   FROM (SELECT Origin AS airport, UniqueCarrier AS airline, {r2('DepDelay')} AS avg_delay
-        FROM flights WHERE Cancelled = 0 GROUP BY Origin, UniqueCarrier) u
+        FROM {source} f WHERE Cancelled = 0 GROUP BY Origin, UniqueCarrier) u
 ) r WHERE "rank" <= 10"""
 
 
@@ -67,22 +67,22 @@ FROM flights WHERE Cancelled = 0 AND ArrDelay IS NOT NULL GROUP BY Origin, Dest"
 
 
 def q3_2_sql(year: int = ITINERARY_YEAR) -> str:
-    def leg(cmp: str) -> str:
-        return f"""SELECT Origin, Dest, UniqueCarrier, FlightNum, DepTime, ArrDelay, FlightDate,
-    rank() OVER (PARTITION BY Origin, Dest, Yeard, Monthd, DayofMonth ORDER BY ArrDelay NULLS FIRST) AS rnk
-  FROM flights WHERE DepTime {cmp} '1200' AND Yeard = {year} AND Cancelled = 0"""
+    """Best flights as the minimum per route, day and half-day; a missing delay is best."""
     return f"""
-SELECT leg1.Origin AS x, leg1.Dest AS y, leg1.UniqueCarrier AS airline1,
-  leg1.FlightNum AS flightnum1, leg1.FlightDate AS flightdate1, leg1.DepTime AS departure1,
-  CAST(leg1.ArrDelay AS DOUBLE) AS delay1, leg2.Dest AS z, leg2.UniqueCarrier AS airline2,
-  leg2.FlightNum AS flightnum2, leg2.FlightDate AS flightdate2, leg2.DepTime AS departure2,
-  CAST(leg2.ArrDelay AS DOUBLE) AS delay2,
-  CAST(leg1.ArrDelay + leg2.ArrDelay AS DOUBLE) AS total_delay,
-  leg1.Origin || '-' || leg1.Dest || '-' || leg2.Dest AS itinerary
-FROM ({leg('<')}) leg1
-JOIN ({leg('>')}) leg2
-  ON leg1.rnk = 1 AND leg2.rnk = 1 AND leg1.Dest = leg2.Origin
- AND try_cast(leg1.FlightDate AS DATE) + 2 = try_cast(leg2.FlightDate AS DATE)"""
+SELECT a.Origin AS x, a.Dest AS y, a.UniqueCarrier AS airline1, a.FlightNum AS flightnum1, a.FlightDate AS flightdate1,
+  a.DepTime AS departure1, CAST(a.ArrDelay AS DOUBLE) AS delay1, b.Dest AS z, b.UniqueCarrier AS airline2,
+  b.FlightNum AS flightnum2, b.FlightDate AS flightdate2, b.DepTime AS departure2, CAST(b.ArrDelay AS DOUBLE) AS delay2,
+  CAST(a.ArrDelay + b.ArrDelay AS DOUBLE) AS total_delay, concat(a.Origin, '-', a.Dest, '-', b.Dest) AS itinerary
+FROM ({_best_sql("<", year)}) a JOIN ({_best_sql(">", year)}) b
+  ON a.Dest = b.Origin AND try_cast(b.FlightDate AS DATE) - try_cast(a.FlightDate AS DATE) = 2"""
+
+
+def _best_sql(half: str, year: int) -> str:
+    flown = f"SELECT * FROM flights WHERE Yeard = {year} AND Cancelled = 0 AND DepTime {half} '1200'"
+    return f"""SELECT f.* FROM ({flown}) f JOIN (
+    SELECT Origin, Dest, Monthd, DayofMonth, min(ArrDelay) AS least, bool_or(ArrDelay IS NULL) AS unknown
+    FROM ({flown}) g GROUP BY Origin, Dest, Monthd, DayofMonth) m
+  USING (Origin, Dest, Monthd, DayofMonth) WHERE CASE WHEN unknown THEN ArrDelay IS NULL ELSE ArrDelay = least END"""
 
 
 def batch_oracles() -> dict[str, str]:
@@ -104,6 +104,10 @@ FROM flights WHERE Cancelled = 0 GROUP BY DayOfWeek ORDER BY avg_delay NULLS FIR
 SELECT airport, total_flights, rank() OVER (ORDER BY total_flights DESC) AS rnk
 FROM ({traffic_sql('WHERE Cancelled = 0')}) t ORDER BY rnk, airport""",
         "q3_2": f + q3_2_sql(),
+        "upsert": f + f"""
+, n AS ({q2_1_sql(f"(SELECT * FROM flights WHERE Yeard = {ITINERARY_YEAR})")}), o AS ({q2_1_sql()})
+SELECT * FROM n UNION ALL SELECT * FROM o WHERE NOT EXISTS (
+  SELECT 1 FROM n WHERE n.airport = o.airport AND n.airline = o.airline)""",
     }
 
 

@@ -7,13 +7,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import INT_FIELDS, SELECTED_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS, scratch_path
-from ..sinks.lake import lake_rows
-from ..sources.archives import write_archives
+from ..config import INT_FIELDS, SELECTED_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS, built_once, scratch_path
+from ..sinks.lake import lake_rows, write_lake
+from ..sinks.replay import replay
+from ..sources.archives import BAD_BYTE, CUT_SHORT, write_archives, write_broken_archives
+from ..sources.lake import month_statistics, read_delimited_flights
+from ..sources.streams import file_stream
 from ..sources.testdata import stored_flights
+from ..streaming.aggregates import AGGREGATES
+from ..streaming.runner import run_available
 from .ingest import ingest, lake_day_summary
 from .load import load, profile
-from .streams import build_lake
+from .streams import TOPICS, build_lake, stream_oracles
 
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,28 +28,106 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit("").alias("Distance"))
 
 
+def by_period(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """Rows dealt to archives of contiguous periods, as raw archives are; a day with many
+    rows spans several."""
+    n = max(spark.sparkContext.defaultParallelism, raw.rdd.getNumPartitions())
+    day = [F.col(c).try_cast("int") for c in ("Year", "Month", "DayofMonth")]
+    return raw.repartitionByRange(n, *day, F.xxhash64("FlightNum", "FlightDate", "DepTime"))
+
+
 def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "ingest")
-    # Archives cover contiguous periods, as monthly raw archives do: the rows are range
-    # partitioned by date (a huge month is split over several archives by day), one
-    # archive per partition, at least one per core.
-    raw = raw_rows(spark, sf_dir)
-    n = max(spark.sparkContext.defaultParallelism, raw.rdd.getNumPartitions())
-    by_period = raw.repartitionByRange(n, *[F.col(c).try_cast("int")
-                                            for c in ("Year", "Month", "DayofMonth")])
-    write_archives(by_period, f"{base}/RAW").count()
+    write_archives(by_period(spark, raw_rows(spark, sf_dir)), f"{base}/RAW").count()
     result = ingest(spark, f"{base}/RAW", f"{base}/lake", f"{base}/quarantine", f"{base}/stage")
     return lake_day_summary(spark, result.lake_path)
 
 
+# Which records of the defective archives are cut short, hold a bad byte or a bad day.
+SHORT, BAD, NO_DAY = "FlightNum % 107 = 3", "FlightNum % 103 = 5", "FlightNum % 101 = 7"
+
+
+def defective_ingest(spark: SparkSession, sf_dir: str) -> str:
+    """Ingest of archives with defects in them, and of two broken ones; its folder."""
+    def build(base: str) -> None:
+        raw = by_period(spark, raw_rows(spark, sf_dir))
+        # The defects go into columns that are dealt to every place of a record.
+        raw = (raw.withColumn("DayofMonth", F.when(F.expr(NO_DAY), F.lit("31x")).otherwise(F.col("DayofMonth")))
+               .withColumn("UniqueCarrier", F.when(F.expr(BAD), F.concat("UniqueCarrier", F.lit(BAD_BYTE)))
+                           .otherwise(F.col("UniqueCarrier")))
+               .withColumn("Origin", F.when(F.expr(SHORT), F.concat("Origin", F.lit(CUT_SHORT))).otherwise(F.col("Origin")))
+               .withColumn("Dest", F.when(F.expr(SHORT), F.concat("Dest", F.lit(CUT_SHORT))).otherwise(F.col("Dest"))))
+        write_archives(raw, f"{base}/RAW").count()
+        write_broken_archives(spark, f"{base}/RAW").count()
+        result = ingest(spark, f"{base}/RAW", f"{base}/lake", f"{base}/quarantine", f"{base}/stage")
+        result.manifest.write.parquet(f"{base}/manifest")
+
+    return built_once(spark, sf_dir, "defective_ingest", build)
+
+
+def ingest_manifest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = spark.read.parquet(f"{defective_ingest(spark, sf_dir)}/manifest")
+    return manifest.groupBy("status").agg(
+        F.count("error").alias("errors"), *(F.sum(c).alias(f"n_{c}") for c in ("read", "kept", "skipped", "written")))
+
+
+def ingest_quarantine_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = spark.read.parquet(f"{defective_ingest(spark, sf_dir)}/quarantine")
+    return records.groupBy("reason").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+def csv_files(spark: SparkSession, sf_dir: str) -> str:
+    """The flights as CSV files of two column orders in one folder."""
+    def build(base: str) -> None:
+        text = lake_rows(stored_flights(spark, sf_dir))
+        for name, columns, rest in (("a", SELECTED_FIELDS, 0), ("b", TABLE_FIELDS, 1)):
+            (text.where(F.col("DayofMonth").cast("int") % 2 == rest).select(*columns)
+             .write.option("header", True).option("emptyValue", "").csv(f"{base}/files/{name}"))
+
+    return f"{built_once(spark, sf_dir, 'csv_files', build)}/files"
+
+
+def scan_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read_delimited_flights(spark, csv_files(spark, sf_dir))
+    return table.groupBy(F.col("Yeard").alias("year"), F.col("Monthd").alias("month")).agg(
+        F.count(F.lit(1)).alias("n_flights"), F.sum("ArrDelay").alias("arr_delay_sum"),
+        F.count_distinct("Origin", "Dest").alias("n_routes"), F.max("UniqueCarrier").alias("last_carrier"),
+        F.min("DepTime").alias("first_departure"))
+
+
+def csv_stream_job(name: str):
+    fn = AGGREGATES[name][0]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stream = file_stream(spark, csv_files(spark, sf_dir), "csv")
+        base = scratch_path(spark, f"csv_stream_{name}")
+        return run_available(fn(stream), f"csv_stream_{name}", f"{base}/checkpoint", f"{base}/state")
+
+    return run
+
+
+def replay_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = built_once(spark, sf_dir, "csv_lake",
+                      lambda base: write_lake(lake_rows(stored_flights(spark, sf_dir)), f"{base}/lake", "csv"))
+    return replay(spark, f"{path}/lake", TOPICS, out_path=scratch_path(spark, "messages"), fmt="csv")
+
+
 def load_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = load(spark, build_lake(spark, sf_dir), scratch_path(spark, "flights_table"),
                  table_name=f"flights_{uuid.uuid4().hex[:8]}")
     return profile(table)
 
 
+def load_stats_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = f"flights_{uuid.uuid4().hex[:8]}"
+    load(spark, build_lake(spark, sf_dir), scratch_path(spark, "flights_table"), table_name=name)
+    return month_statistics(spark, name)
+
+
 def pipeline_jobs() -> dict:
-    return {"ing": ingest_job, "load": load_job}
+    return {"ing": ingest_job, "load": load_job, "ing_manifest": ingest_manifest_job,
+            "ing_quarantine": ingest_quarantine_job, "scan_csv": scan_csv_job, "replay_csv": replay_csv_job,
+            "load_stats": load_stats_job, **{f"s{n}_csv": csv_stream_job(n) for n in AGGREGATES}}
 
 
 def pipeline_oracles(flights_cte: str) -> dict[str, str]:
@@ -55,7 +138,25 @@ def pipeline_oracles(flights_cte: str) -> dict[str, str]:
         parts.append(f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) - count({v}) AS n_nulls, "
                      f"CAST(min({v}) AS VARCHAR) AS min_value, CAST(max({v}) AS VARCHAR) AS max_value "
                      f"FROM flights")
+    number = "CAST(FlightNum AS BIGINT)"
+    short, bad, no_day = (x.replace("FlightNum", number) for x in (SHORT, BAD, NO_DAY))
+    streams = stream_oracles(f)
     return {
+        **{f"s{n}_csv": streams[f"k{n}"] for n in AGGREGATES},
+        "replay_csv": streams["replay"],
+        "load_stats": f + "SELECT Yeard, Monthd, count(*) AS n_rows FROM flights GROUP BY Yeard, Monthd",
+        "scan_csv": f + """SELECT Yeard AS year, Monthd AS month, count(*) AS n_flights, sum(ArrDelay) AS arr_delay_sum,
+  count(DISTINCT Origin || '>' || Dest) AS n_routes, max(UniqueCarrier) AS last_carrier,
+  min(coalesce(DepTime, '')) AS first_departure
+FROM flights GROUP BY Yeard, Monthd""",
+        "ing_manifest": f + f"""SELECT 'OK' AS status, 0 AS errors, count(*) AS n_read,
+  count(*) FILTER (NOT ({short} OR {bad} OR {no_day})) AS n_kept,
+  count(*) FILTER ({short} OR {bad} OR {no_day}) AS n_skipped,
+  count(*) FILTER (NOT ({short} OR {bad} OR {no_day})) AS n_written FROM flights
+UNION ALL SELECT 'ERROR', 2, 0, 0, 0, 0""",
+        "ing_quarantine": f + f"""SELECT CASE WHEN {short} THEN 'malformed record' WHEN {bad} THEN 'undecodable text'
+  ELSE 'DayofMonth is not a number' END AS reason, count(*) AS n_records
+FROM flights WHERE {short} OR {bad} OR {no_day} GROUP BY 1""",
         "ing": f + """SELECT Year AS year, Month AS month, DayofMonth AS day, count(*) AS n_flights,
   sum(CAST(ArrDelay AS DOUBLE)) AS arr_delay_sum,
   CAST(count(*) FILTER (WHERE Cancelled = 1) AS BIGINT) AS n_cancelled

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import scratch_path
+from ..sinks.results import read_result, write_result
 from ..sources.testdata import stored_flights
 from . import batch
 from .lookups import AIRPORTS, ITINERARY_DATES, ROUTES, stored_itinerary_lookup, stored_lookup
@@ -46,6 +47,15 @@ def _itinerary_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    scratch_path(spark, "result_3_2"), ITINERARY_DATES)
 
 
+def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result table 2.1 of all years, then the year ``ITINERARY_YEAR`` put over it by key."""
+    flights = stored_flights(spark, sf_dir)
+    path = scratch_path(spark, "upsert_2_1")
+    write_result(batch.carriers_per_airport(flights), "2_1", path)
+    write_result(batch.carriers_per_airport(flights.where(f"Yeard = {ITINERARY_YEAR}")), "2_1", path, mode="upsert")
+    return read_result(spark, "2_1", path)
+
+
 def registered() -> dict[str, Job]:
     jobs: dict[str, Job] = {name: _batch(name) for name in batch.JOBS}
     jobs["q3_2"] = _itineraries
@@ -54,6 +64,7 @@ def registered() -> dict[str, Job]:
     jobs["q_l3"] = _lookup("q2_3", "2_3", ROUTES)
     jobs["q_l4"] = _lookup("q2_4", "2_4", ROUTES)
     jobs["q_l5"] = _itinerary_lookup
+    jobs["upsert"] = _upsert
     jobs.update(stream_jobs())
     jobs.update(pipeline_jobs())
     return dict(sorted(jobs.items()))

@@ -10,14 +10,15 @@ messages are read as a stream through the same parser as Kafka values. All run w
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..config import scratch_path
+from ..config import built_once, scratch_path
 from ..sinks.lake import lake_rows, write_lake
 from ..sinks.replay import replay
 from ..sources.streams import file_stream, message_stream, parse_messages
 from ..sources.testdata import flights, stored_flights
-from ..streaming.aggregates import AGGREGATES
-from ..streaming.runner import run_available
+from ..streaming.aggregates import AGGREGATES, report_order
+from ..streaming.runner import report, run_available, start_all
 
 # --- Replay parameters: the topics messages are spread over ------------------------
 TOPICS = ["flights-t1", "flights-t2", "flights-t3", "flights-t4"]
@@ -50,21 +51,15 @@ def file_stream_job(name: str):
     return run
 
 
-_LAKES: dict[tuple[str, str], str] = {}
-
-
 def build_lake(spark: SparkSession, sf_dir: str) -> str:
     """Write the driver-table flights as a clean lake once per application; its path.
 
     The lake is derived data (like a materialised view of the tables): replay, the
     message streams and the load all read the same copy.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAKES:
-        path = scratch_path(spark, "lake")
-        write_lake(lake_rows(stored_flights(spark, sf_dir)), path)
-        _LAKES[key] = path
-    return _LAKES[key]
+    path = built_once(spark, sf_dir, "lake",
+                      lambda base: write_lake(lake_rows(stored_flights(spark, sf_dir)), f"{base}/lake"))
+    return f"{path}/lake"
 
 
 def replay_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,17 +67,11 @@ def replay_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(spark, lake, TOPICS, out_path=scratch_path(spark, "messages"))
 
 
-_MESSAGES: dict[tuple[str, str], str] = {}
-
-
 def replayed_messages(spark: SparkSession, sf_dir: str) -> str:
     """Replay the lake to message files once per application; their folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MESSAGES:
-        path = scratch_path(spark, "messages")
-        replay(spark, build_lake(spark, sf_dir), TOPICS, out_path=path)
-        _MESSAGES[key] = path
-    return _MESSAGES[key]
+    path = built_once(spark, sf_dir, "messages",
+                      lambda base: replay(spark, build_lake(spark, sf_dir), TOPICS, out_path=f"{base}/files"))
+    return f"{path}/files"
 
 
 def message_stream_job(name: str):
@@ -99,8 +88,46 @@ def message_stream_job(name: str):
     return run
 
 
+def restart_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1.1 over half of the messages, stopped, and started again when the rest is there: the
+    state comes back from the checkpoint."""
+    messages = spark.read.parquet(replayed_messages(spark, sf_dir))
+    base = scratch_path(spark, "restart")
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for part in (0, 1):
+        messages.where(half == part).write.mode("append").parquet(f"{base}/files")
+        agg = AGGREGATES["1_1"][0](parse_messages(message_stream(spark, f"{base}/files")))
+        state = run_available(agg, "restart", f"{base}/checkpoint", f"{base}/state")
+    return state
+
+
+def running_together(spark: SparkSession, sf_dir: str) -> str:
+    """All three aggregates over the messages of all topics in one application."""
+    base = scratch_path(spark, "together")
+    messages = message_stream(spark, replayed_messages(spark, sf_dir))
+    for query in start_all(parse_messages(messages), base, show=False, available_now=True):
+        query.awaitTermination()
+    return base
+
+
+def all_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = running_together(spark, sf_dir)
+    values = {"1_1": ("airport", "total_flights"), "1_2": ("airline", "avg_delay"), "1_3": ("weekday", "avg_delay")}
+    parts = [spark.read.parquet(f"{base}/state_{n}").select(
+        F.lit(n).alias("measure"), F.col(k).alias("key"), F.col(v).cast("double").alias("value"))
+        for n, (k, v) in values.items()]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+def report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of the busiest airports: the first ten of the current state."""
+    state = message_stream_job("1_1")(spark, sf_dir)
+    rows = report(state, report_order("1_1"), "1_1", out=lambda line: None)
+    return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(rows)], "place int, airport string, total_flights long")
+
+
 def stream_jobs() -> dict:
-    jobs = {}
+    jobs = {"s1_1_restart": restart_job, "k_all": all_job, "report_top10": report_job}
     for name in AGGREGATES:
         jobs[f"s{name}"] = file_stream_job(name)
         jobs[f"k{name}"] = message_stream_job(name)
@@ -122,14 +149,25 @@ def stream_oracles(flights_cte: str) -> dict[str, str]:
 WHERE airport IS NOT NULL GROUP BY airport"""
     topics = ", ".join(f"({i}, '{t}')" for i, t in enumerate(TOPICS))
     n = len(TOPICS)
+    def one(name: str, sql: str, key: str, value: str) -> str:
+        body = sql.removeprefix(f)
+        return f"SELECT '{name}' AS measure, {key} AS key, CAST({value} AS DOUBLE) AS value FROM ({body}) q{name}"
+
+    weekday = mean("CAST(DayOfWeek AS VARCHAR)", "weekday")
     return {
+        "s1_1_restart": traffic,
+        "k_all": f + "\nUNION ALL\n".join((one("1_1", traffic, "airport", "total_flights"),
+                                           one("1_2", mean("UniqueCarrier", "airline"), "airline", "avg_delay"),
+                                           one("1_3", weekday, "weekday", "avg_delay"))),
+        "report_top10": f + f"""SELECT CAST(row_number() OVER (ORDER BY total_flights DESC, airport) AS INTEGER) AS place,
+  airport, total_flights FROM ({traffic.removeprefix(f)}) t ORDER BY place LIMIT 10""",
         "s1_1": traffic,
         "k1_1": traffic,
         "s1_2": mean("UniqueCarrier", "airline"),
         "k1_2": mean("UniqueCarrier", "airline"),
         "s1_3": mean("DayOfWeek", "weekday"),
-        "k1_3": mean("CAST(DayOfWeek AS VARCHAR)", "weekday"),
-        # One lake file per day: its i-th row goes to topic i mod n.
+        "k1_3": weekday,
+        # The i-th row of a day goes to topic i mod n, however many files the day has.
         "replay": f + f"""SELECT t.topic, CAST(sum((d.n - t.i + {n - 1}) // {n}) AS BIGINT) AS n_messages
 FROM (SELECT Year, Month, DayofMonth, count(*) AS n FROM flights GROUP BY 1, 2, 3) d,
      (VALUES {topics}) t(i, topic)

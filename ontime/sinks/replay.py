@@ -4,26 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import SELECTED_FIELDS
 from ..schema import LAKE_PARTITIONED_SCHEMA
+from ..sources.archives import csv_rows, list_files
 
 
-def lake_with_positions(spark: SparkSession, lake_path: str) -> DataFrame:
-    """The Parquet lake with each row's file and position in that file.
+def lake_with_positions(spark: SparkSession, lake_path: str, fmt: str = "parquet") -> DataFrame:
+    """The lake with each row's position within its day, however many files a day has.
 
-    ``_metadata.row_index`` is the row's index inside its Parquet file, computed by the
-    reader from row-group offsets: no shuffle, no sort, no row numbering window.
+    A row's position is its index in its file (given by the reader, no window over the rows)
+    plus the rows of the day's earlier files, from a table of one row per file.
     """
-    df = spark.read.schema(LAKE_PARTITIONED_SCHEMA).parquet(lake_path)
-    return df.select("*", F.col("_metadata.file_path").alias("_file"),
-                     F.col("_metadata.row_index").alias("_pos"))
+    if fmt == "csv":
+        df = csv_rows(list_files(spark, lake_path, "*.csv")).select(
+            *SELECTED_FIELDS, F.col("path").alias("_file"), (F.col("record") - 1).alias("_index"))
+    else:
+        df = (spark.read.schema(LAKE_PARTITIONED_SCHEMA).parquet(lake_path)
+              .select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index")))
+    folder = F.regexp_replace("_file", r"/[^/]+$", "")
+    earlier = Window.partitionBy("_day").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = (df.groupBy("_file").agg(F.max("_index").alias("_last")).withColumn("_day", folder)
+             .select("_file", F.coalesce(F.sum(F.col("_last") + 1).over(earlier), F.lit(0)).alias("_before")))
+    return df.join(files, "_file").withColumn("_pos", F.col("_before") + F.col("_index"))
 
 
 def to_messages(lake: DataFrame, topics: Sequence[str]) -> DataFrame:
-    """``(topic, value)``: the i-th row of a file goes to ``topics[i mod n]``.
+    """``(topic, value)``: the i-th row of a day goes to ``topics[i mod n]``.
 
     The value is the row as a JSON object of strings, NULL fields written as ``null``.
     """
@@ -59,12 +68,12 @@ def write_messages(messages: DataFrame, path: str | None = None,
 
 
 def replay(spark: SparkSession, lake_path: str, topics: Sequence[str],
-           out_path: str | None = None, brokers: str | None = None) -> DataFrame:
-    """Replay the lake; returns the number of messages sent per topic."""
-    msgs = to_messages(lake_with_positions(spark, lake_path), topics)
-    write_messages(msgs, out_path, brokers)
-    if out_path:
-        sent = spark.read.parquet(out_path)
-    else:
-        sent = msgs
-    return sent.groupBy("topic").agg(F.count(F.lit(1)).alias("n_messages"))
+           out_path: str | None = None, brokers: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """Replay the lake; returns the number of messages sent per topic, counted while they
+    are written."""
+    sent = Observation()
+    counts = [F.count_if(F.col("topic") == t).alias(f"n{i}") for i, t in enumerate(topics)]
+    messages = to_messages(lake_with_positions(spark, lake_path, fmt), topics).observe(sent, *counts)
+    write_messages(messages, out_path, brokers)
+    rows = [(t, sent.get.get(f"n{i}", 0)) for i, t in enumerate(topics)]
+    return spark.createDataFrame(rows, "topic string, n_messages long").where("n_messages > 0")

@@ -1,7 +1,7 @@
 """Result tables: keyed answers of 2.1-2.4 and the itinerary table of 3.2.
 
-A result table is Parquet at a path, stored under its external column names. The
-default write replaces it; ``mode="upsert"`` replaces rows by key and keeps the rest
+A result table is Parquet at a path (a folder per version), stored under its external
+column names. The default write replaces it; ``mode="upsert"`` replaces rows by key and keeps the rest
 (what an ``INSERT OVERWRITE`` into a key-value store does). Result tables hold one row
 per key (airports x carriers at most), so they are small next to the flights.
 """
@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from ..config import scratch_path
+
 # --- Fixed values: result table layouts (internal name -> external name) ------------
 RESULT_TABLES: dict[str, dict] = {
     "2_1": {"columns": {"airport": "Airport", "airline": "Airline",
@@ -54,34 +56,47 @@ def write_result(df: DataFrame, table: str, path: str, mode: str = "overwrite",
                  keys: Sequence[str] | None = None) -> None:
     """Store ``df`` (internal names) as result table ``table`` at ``path``.
 
-    ``upsert`` unions the new rows with the old rows whose key is not among them
-    (a ``left_anti`` join), cuts the lineage to the old files with a reliable
-    ``checkpoint()`` and only then overwrites the path it read from.
+    Every write is a new version folder of the table; readers take the newest complete one,
+    so they see the old rows or the new ones, never a mixture. ``upsert`` stages the new rows
+    once and adds the old rows whose key is not among them (a ``left_anti`` join).
     """
     spec = RESULT_TABLES[table]
     columns = spec["columns"]
-    new = _external(df, columns)
-    if mode == "overwrite":
-        new.write.mode("overwrite").parquet(path)
-        return
-    if mode != "upsert":
+    if mode not in ("overwrite", "upsert"):
         raise ValueError(f"mode must be 'overwrite' or 'upsert', not {mode!r}")
+    new = _external(df, columns)
     spark = df.sparkSession
+    version = _newest(spark, path)
+    if mode == "upsert" and version is not None:
+        stage = scratch_path(spark, "upsert")
+        new.write.parquet(stage)
+        new = spark.read.parquet(stage)
+        key_ext = [columns[k] for k in (keys or spec["keys"])]
+        old = spark.read.parquet(f"{path}/{VERSION}={version}").select(*new.columns)
+        new = new.unionByName(old.join(new.select(*key_ext), key_ext, "left_anti").select(*new.columns))
+    number = 0 if version is None else version + 1
+    new.write.mode("overwrite").parquet(f"{path}/{VERSION}={number}")
+    spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/{DONE}/{number}")
+
+
+VERSION, DONE = "version", "_done"
+
+
+def _newest(spark: SparkSession, path: str) -> int | None:
+    """Number of the newest complete version (marked as done after its write)."""
     try:
-        old = spark.read.parquet(path)
-    except AnalysisException:  # first write: nothing to keep
-        new.write.mode("overwrite").parquet(path)
-        return
-    key_ext = [columns[k] for k in (keys or spec["keys"])]
-    kept = old.select(*new.columns).join(new.select(*key_ext), key_ext, "left_anti")
-    merged = new.unionByName(kept).checkpoint(eager=True)
-    merged.write.mode("overwrite").parquet(path)
+        marks = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                 .option("recursiveFileLookup", True).load(f"{path}/{DONE}").select("path"))
+    except AnalysisException:
+        return None
+    number = F.regexp_extract("path", rf"/{DONE}/([0-9]+)/[^/]+$", 1).try_cast("int")
+    return marks.agg(F.max(number)).first()[0]
 
 
 def read_result(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """Read a result table back under its internal column names."""
+    """Read a result table's newest version back under its internal column names."""
     columns = RESULT_TABLES[table]["columns"]
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(f"{path}/{VERSION}={_newest(spark, path) or 0}")
     return df.select(*[F.col(e).alias(i) for i, e in columns.items()])
 
 

@@ -1,18 +1,23 @@
-"""Zip archives of CSV files: discovery, extraction into records, and writing test archives.
-
-Archives are read with the ``binaryFile`` source (one row per archive, listing done by
-Spark, no page limit) and unpacked on the executors by ``mapInArrow``: each member is
-streamed through pyarrow's CSV reader, which binds the 18 kept columns by header name
-(so members with different column orders read correctly), keeps empty fields as ``''``
-and hands back malformed records (too few or too many fields) instead of failing.
+"""Files of raw records: zip archives of CSV files, and plain CSV files.
+
+Spark lists the files (``binaryFile`` without its content column: paths and sizes, no page
+limit); the executors open each path as a seekable stream and read it block by block with
+pyarrow's CSV reader, so a file of any size is read in bounded memory. The reader binds the
+18 kept columns by header name (so files with different column orders read correctly),
+keeps empty fields as ``''`` and hands back malformed records (too few or too many fields)
+instead of failing. Records whose bytes are not UTF-8 are handed back as well, one by one;
+an error inside a member or a file is reported for it alone.
 """
 
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +25,10 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..config import SELECTED_FIELDS, ship_package
 
-# binaryFile holds a whole archive in one value; larger archives are reported, not read.
-MAX_ARCHIVE_BYTES = 2**31 - 1 - 1024 * 1024
 CSV_BLOCK_BYTES = 8 * 1024 * 1024
 OUT_BATCH_ROWS = 65536
+# What a damaged file raises (pyarrow refuses a bad place with ArrowInvalid).
+FILE_ERRORS = (zipfile.BadZipFile, OSError, pa.ArrowInvalid)
 
 RECORD_SCHEMA = StructType(
     [StructField("archive", StringType()), StructField("member", StringType()),
@@ -34,17 +39,15 @@ _ARROW_SCHEMA = pa.schema([(f.name, pa.int64() if isinstance(f.dataType, LongTyp
                             else pa.string()) for f in RECORD_SCHEMA.fields])
 
 
-def list_archives(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, length)`` of every ``*.zip`` below ``path`` (contents are not read)."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
+def list_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """``(path, length)`` of every matching file below ``path`` (contents are not read)."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
             .option("recursiveFileLookup", True).load(path).select("path", "length"))
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, content)`` of every readable ``*.zip`` below ``path``."""
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-          .option("recursiveFileLookup", True).load(path))
-    return df.where(F.col("length") <= MAX_ARCHIVE_BYTES).select("path", "content")
+def list_archives(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, length)`` of every ``*.zip`` below ``path``."""
+    return list_files(spark, path, "*.zip")
 
 
 def _batch(archive: str, member: str | None, kind: str, records: Sequence[int | None],
@@ -86,7 +89,23 @@ class _LineCounter(io.RawIOBase):
         return self.newlines + (1 if self.last not in (b"", b"\n") else 0)
 
 
-def _member_records(archive: str, member: str, stream) -> Iterator[pa.RecordBatch]:
+def _decoded(part: pa.Table) -> tuple[np.ndarray, list[str]]:
+    """Which rows are UTF-8 in all columns, and the others as readable text."""
+    good = np.ones(part.num_rows, bool)
+    for column in part.columns:
+        try:
+            column.cast(pa.string())
+        except pa.ArrowInvalid:
+            for i, value in enumerate(column.to_pylist()):
+                try:
+                    value.decode()
+                except UnicodeDecodeError:
+                    good[i] = False
+    rows = part.filter(pa.array(~good)).to_pylist() if not good.all() else []
+    return good, [",".join(v.decode(errors="backslashreplace") for v in r.values()) for r in rows]
+
+
+def _member_records(archive: str, member: str | None, stream) -> Iterator[pa.RecordBatch]:
     import pyarrow.csv as pacsv
 
     bad: list[tuple[int | None, str]] = []
@@ -99,7 +118,7 @@ def _member_records(archive: str, member: str, stream) -> Iterator[pa.RecordBatc
     read_opts = pacsv.ReadOptions(block_size=CSV_BLOCK_BYTES, use_threads=False)
     parse_opts = pacsv.ParseOptions(newlines_in_values=True, invalid_row_handler=on_invalid)
     conv_opts = pacsv.ConvertOptions(
-        column_types={c: pa.string() for c in SELECTED_FIELDS},
+        column_types={c: pa.binary() for c in SELECTED_FIELDS}, check_utf8=False,
         include_columns=SELECTED_FIELDS, include_missing_columns=False,
         strings_can_be_null=False, quoted_strings_can_be_null=False)
     n_rows = 0
@@ -112,10 +131,15 @@ def _member_records(archive: str, member: str, stream) -> Iterator[pa.RecordBatc
             table = pa.Table.from_batches([block])
             for start in range(0, table.num_rows, OUT_BATCH_ROWS):
                 part = table.slice(start, OUT_BATCH_ROWS)
-                recs = list(range(n_rows + 1, n_rows + part.num_rows + 1))
+                recs = np.arange(n_rows + 1, n_rows + part.num_rows + 1)
                 n_rows += part.num_rows
-                yield _batch(archive, member, "row", recs, [None] * len(recs),
-                             [None] * len(recs), part)
+                good, texts = _decoded(part)
+                if texts:
+                    yield _batch(archive, member, "bad", recs[~good].tolist(),
+                                 ["undecodable text"] * len(texts), texts)
+                    part, recs = part.filter(pa.array(good)), recs[good]
+                yield _batch(archive, member, "row", recs.tolist(), [None] * len(recs), [None] * len(recs),
+                             pa.table([c.cast(pa.string()) for c in part.columns], names=part.column_names))
             if bad:
                 yield _batch(archive, member, "bad", [b[0] for b in bad],
                              ["malformed record"] * len(bad), [b[1] for b in bad])
@@ -133,36 +157,50 @@ def _member_records(archive: str, member: str, stream) -> Iterator[pa.RecordBatc
     yield _batch(archive, member, "member", [n_rows], [error], [str(max(counted.lines - 1, 0))])
 
 
-def _archive_records(archive: str, content: bytes) -> Iterator[pa.RecordBatch]:
+def _archive_records(archive: str) -> Iterator[pa.RecordBatch]:
+    """Records of every CSV member of one archive; errors are reported per member."""
     try:
-        zf = zipfile.ZipFile(io.BytesIO(content))
-        members = [n for n in zf.namelist() if n.lower().endswith(".csv")]
-    except Exception as exc:
+        fs, name = _local_or_uri(archive)
+        with fs.open_input_file(name) as source, zipfile.ZipFile(source) as zf:
+            members = [n for n in zf.namelist() if n.lower().endswith(".csv")]
+            if not members:
+                yield _batch(archive, None, "member", [0], ["no csv member"], [None])
+            for member in members:
+                try:
+                    with zf.open(member) as stream:
+                        yield from _member_records(archive, member, stream)
+                except (*FILE_ERRORS, NotImplementedError, RuntimeError, EOFError) as exc:
+                    yield _batch(archive, member, "member", [0], [f"bad member: {exc}"], [None])
+    except FILE_ERRORS as exc:
         yield _batch(archive, None, "member", [0], [f"bad archive: {exc}"], [None])
-        return
-    if not members:
-        yield _batch(archive, None, "member", [0], ["no csv member"], [None])
-        return
-    for name in members:
-        with zf.open(name) as stream:
-            yield from _member_records(archive, name, stream)
+
+
+def _csv_records(path: str) -> Iterator[pa.RecordBatch]:
+    fs, name = _local_or_uri(path)
+    with fs.open_input_stream(name) as stream:
+        yield from _member_records(path, None, stream)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        paths = batch.column("path").to_pylist()
-        contents = batch.column("content")
-        for i, path in enumerate(paths):
-            yield from _archive_records(path, contents[i].as_py())
+        for path in batch.column("path").to_pylist():
+            yield from _archive_records(path) if path.lower().endswith(".zip") else _csv_records(path)
+
+
+def extract_records(files: DataFrame) -> DataFrame:
+    """Archives and CSV files (a ``path`` column) -> records: ``kind`` 'row' (18 text columns
+    bound by name), 'bad' (malformed or undecodable record, text kept) and one 'member' row
+    per CSV with the number of records read, its physical line count (in ``text``) and an
+    error, if it could not be read to its end."""
+    ship_package(files.sparkSession)
+    return files.select("path").mapInArrow(_extract, RECORD_SCHEMA)
 
 
-def extract_records(archives: DataFrame) -> DataFrame:
-    """Archives -> records: ``kind`` 'row' (18 text columns bound by name), 'bad'
-    (malformed record, raw text kept) and one 'member' row per CSV member with the
-    number of records read, its physical line count (in ``text``) and an error, if
-    the member could not be read."""
-    ship_package(archives.sparkSession)
-    return archives.select("path", "content").mapInArrow(_extract, RECORD_SCHEMA)
+def csv_rows(files: DataFrame) -> DataFrame:
+    """CSV files (a ``path`` column, batch or stream) -> their path, each record's number in
+    its file and the 18 text columns, bound by header name; malformed records are left out."""
+    return extract_records(files).where("kind = 'row'").select(
+        F.col("archive").alias("path"), "record", *SELECTED_FIELDS)
 
 
 # --- writing archives (test fixtures built from the driver's tables) ----------------
@@ -171,7 +209,7 @@ def _local_or_uri(path: str):
     from pyarrow import fs as pafs
 
     if path.startswith("file:"):
-        local = path[len("file:"):]
+        local = unquote(path[len("file:"):])
         while local.startswith("//"):
             local = local[1:]
         return pafs.LocalFileSystem(), local
@@ -182,6 +220,35 @@ def _local_or_uri(path: str):
     return pafs.FileSystem.from_uri(path)
 
 
+# Marks in test rows: a byte that is not UTF-8, and the end of a record that is cut short.
+BAD_BYTE, CUT_SHORT = "\x01", "\x02"
+
+
+def _with_defects(text: bytes) -> bytes:
+    return re.sub(rb"\x02[^\n]*", b"", text.replace(b"\x01", b"\xff"))
+
+
+def write_broken_archives(spark: SparkSession, dest: str) -> DataFrame:
+    """Two archives that cannot be ingested: damaged bytes, and no CSV member."""
+    import pandas as pd
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, base = _local_or_uri(dest)
+        fs.create_dir(base, recursive=True)
+        for kind in (k for b in batches for k in b["id"]):
+            name = f"{base.rstrip('/')}/broken_{kind}.zip"
+            with fs.open_output_stream(name) as out:
+                if kind:
+                    with zipfile.ZipFile(out, "w") as zf:
+                        zf.writestr("readme.txt", "no records")
+                else:
+                    out.write(b"PK not an archive")
+            yield pd.DataFrame({"archive": [name]})
+
+    ship_package(spark)
+    return spark.range(2).mapInPandas(write, "archive string")
+
+
 def write_archives(rows: DataFrame, dest: str, prefix: str = "flights") -> DataFrame:
     """Write each partition of ``rows`` (text columns) as one zip with one CSV member.
 
@@ -212,8 +279,8 @@ def write_archives(rows: DataFrame, dest: str, prefix: str = "flights") -> DataF
             member.write((",".join(order) + "\n").encode())
             for b in batches:
                 if len(b):
-                    member.write(b[order].to_csv(index=False, header=False,
-                                                 lineterminator="\n").encode())
+                    member.write(_with_defects(b[order].to_csv(index=False, header=False,
+                                                               lineterminator="\n").encode()))
                     n += len(b)
         yield pd.DataFrame({"archive": [name], "rows": [n]})
 

@@ -2,30 +2,32 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..config import INT_FIELDS, LAKE_PARTITIONS, SELECTED_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS
 from ..functions import keep_string, pad_hhmm, to_int
-from ..schema import FLIGHTS_SCHEMA, LAKE_PARTITIONED_SCHEMA, LAKE_SCHEMA
+from ..schema import FLIGHTS_SCHEMA, LAKE_PARTITIONED_SCHEMA
+from .archives import csv_rows, list_files
 
 TIME_FIELDS = ["CRSDepTime", "DepTime", "CRSArrTime", "ArrTime"]
 
 
+DAY_FOLDER = r"Yeard=([0-9]{4})/Monthd=([0-9]{2})/Dayd=([0-9]{2})/[^/]+$"
+
+
 def read_lake(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The clean lake as text columns plus its day partitions.
 
-    CSV day files are bound by header name: with ``enforceSchema=false`` Spark checks
-    each file's header against the schema and fails on a file whose columns moved,
-    instead of silently reading them by position.
+    CSV day files are bound by header name, whatever their column order; empty fields stay
+    ``''``, and the day comes from the folder.
     """
     if fmt == "csv":
-        df = (spark.read.schema(LAKE_PARTITIONED_SCHEMA).option("header", True)
-              .option("enforceSchema", False).csv(path))
-        # The CSV reader turns an empty field into NULL; the lake keeps ''.
-        return df.select(*[keep_string(c).alias(c) for c in SELECTED_FIELDS],
-                         *LAKE_PARTITIONS)
+        rows = csv_rows(list_files(spark, path, "*.csv"))
+        return rows.select(*SELECTED_FIELDS, *[F.regexp_extract("path", DAY_FOLDER, i + 1).alias(k)
+                                               for i, k in enumerate(LAKE_PARTITIONS)])
     return spark.read.schema(LAKE_PARTITIONED_SCHEMA).format(fmt).load(path)
 
 
@@ -33,17 +35,15 @@ MONTH_FOLDER = r"/([0-9]{4})/([0-9]{1,2})/[^/]+$"
 
 
 def read_delimited_flights(spark: SparkSession, path: str) -> DataFrame:
-    """Headered CSV files in table column order (the fact-table text layout), typed.
+    """Headered CSV files (the fact-table text layout, in any column order), typed.
 
     Files sit in ``.../YYYY/MM/`` folders; as with a registered partition, ``Yeard`` and
-    ``Monthd`` are the folder's values (from ``_metadata.file_path``), falling back to
-    the Year/Month columns for files outside such folders.
+    ``Monthd`` are the folder's values, falling back to the Year/Month columns for files
+    outside such folders.
     """
-    df = (spark.read.schema(StructType([LAKE_SCHEMA[c] for c in TABLE_FIELDS]))
-          .option("header", True).option("recursiveFileLookup", True).csv(path))
-    file_path = F.col("_metadata.file_path")
-    year = F.nullif(F.regexp_extract(file_path, MONTH_FOLDER, 1), F.lit(""))
-    month = F.nullif(F.regexp_extract(file_path, MONTH_FOLDER, 2), F.lit(""))
+    df = csv_rows(list_files(spark, path, "*.csv"))
+    year = F.nullif(F.regexp_extract("path", MONTH_FOLDER, 1), F.lit(""))
+    month = F.nullif(F.regexp_extract("path", MONTH_FOLDER, 2), F.lit(""))
     return type_flights(df.withColumn("Yeard", F.coalesce(year, F.col("Year")))
                           .withColumn("Monthd", F.coalesce(month, F.col("Month"))))
 
@@ -69,15 +69,17 @@ def type_flights(lake: DataFrame) -> DataFrame:
     return lake.select(*cols, year.alias("Yeard"), month.alias("Monthd"))
 
 
-def write_flights_table(flights: DataFrame, path: str) -> None:
+def write_flights_table(flights: DataFrame, path: str, shuffle: bool = True) -> None:
     """Store typed flights as Parquet partitioned by month (``Yeard``, ``Monthd``).
 
-    Dynamic overwrite replaces the months present and keeps the others. Rows are
-    rebalanced on the partition keys first, so a month becomes a few large files
-    rather than one small file per task, and a hot month is split by AQE.
+    Dynamic overwrite replaces the months present and keeps the others. With ``shuffle``
+    rows are rebalanced on the partition keys first, so a month becomes a few large files
+    and a hot month is split by AQE; without it each task writes the months it holds, which
+    is right for input that is already laid out by period, as the lake is.
     """
-    (flights.hint("rebalance", *TABLE_PARTITIONS)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if shuffle:
+        flights = flights.hint("rebalance", *TABLE_PARTITIONS)
+    (flights.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*TABLE_PARTITIONS).parquet(path))
 
 
@@ -88,18 +90,41 @@ def read_flights_table(spark: SparkSession, path: str) -> DataFrame:
 
 def register_flights_table(spark: SparkSession, name: str, path: str,
                            compute_stats: bool = True) -> DataFrame:
-    """Declare the stored table in the catalog, register its month partitions and
-    compute table and column statistics (used by Catalyst's size estimates)."""
+    """Declare the stored table in the catalog, register its month partitions and compute
+    partition, table and column statistics. A table of that name at another place is an
+    error: its rows would be returned instead."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FLIGHTS_SCHEMA.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
               f"PARTITIONED BY ({', '.join(TABLE_PARTITIONS)}) LOCATION '{path}'")
+    described = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    if _plain(described) != _plain(path):
+        raise ValueError(f"table {name} exists at {described}, not at {path}")
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     if compute_stats:
+        spark.sql(f"ANALYZE TABLE {name} PARTITION ({', '.join(TABLE_PARTITIONS)}) COMPUTE STATISTICS")
         spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
         spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
     return spark.table(name)
 
 
+def _plain(path: str) -> str:
+    """A path without the marks of the local file system."""
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
+def month_statistics(spark: SparkSession, name: str) -> DataFrame:
+    """``(Yeard, Monthd, n_rows)`` per month partition, as the catalog's statistics have it."""
+    rows = []
+    for (spec,) in spark.sql(f"SHOW PARTITIONS {name}").collect():  # a row per month
+        values = dict(x.split("=") for x in spec.split("/"))
+        clause = ", ".join(f"{k}={v}" for k, v in values.items())
+        text = spark.sql(f"DESCRIBE EXTENDED {name} PARTITION ({clause})").where(
+            "col_name = 'Partition Statistics'").first()
+        found = re.search(r"(\d+) rows", text["data_type"]) if text else None
+        rows.append((*(int(values[k]) for k in TABLE_PARTITIONS), int(found[1]) if found else None))
+    return spark.createDataFrame(rows, "Yeard int, Monthd int, n_rows long")
+
+
 def add_month_partition(spark: SparkSession, name: str, year: int, month: int,
                         location: str) -> None:
     """Register one month folder (anywhere) as partition ``(Yeard, Monthd)``."""

@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..schema import LAKE_PARTITIONED_SCHEMA, LAKE_SCHEMA, MESSAGE_ROW_SCHEMA, MESSAGE_SCHEMA
+from ..schema import LAKE_PARTITIONED_SCHEMA, MESSAGE_ROW_SCHEMA, MESSAGE_SCHEMA
+from .archives import csv_rows
+
+
+# The layout of the file-listing source; streams want it stated.
+FILES_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def file_stream(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -16,18 +21,19 @@ def file_stream(spark: SparkSession, path: str, fmt: str = "parquet",
                 glob: str | None = None) -> DataFrame:
     """New files under ``path`` become rows.
 
-    CSV files are read with their header (the header line is not a record) and bound
-    to the lake's 18 text columns; nested ``YYYY/MM`` folders are searched recursively.
+    CSV files are bound to the lake's 18 text columns by their header, whatever their column
+    order (the stream is one of file paths, which the executors open); empty fields stay
+    ``''``. Nested ``YYYY/MM`` folders are searched recursively.
     Parquet lakes are read with their day partitions.
     """
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    if glob or fmt == "csv":
+        reader = reader.option("pathGlobFilter", glob or "*.csv")
     if fmt == "csv":
-        return (reader.schema(schema or LAKE_SCHEMA).option("header", True)
-                .option("recursiveFileLookup", True).csv(path))
+        files = reader.schema(FILES_SCHEMA).format("binaryFile").option("recursiveFileLookup", True).load(path)
+        return csv_rows(files.select("path")).drop("path", "record")
     return reader.schema(schema or LAKE_PARTITIONED_SCHEMA).format(fmt).load(path)
 
 

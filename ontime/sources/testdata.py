@@ -5,13 +5,7 @@ row into one flight. Every dimension lookup is a foreign-key join onto a unique
 (verified on every scale factor: no orphan keys, no duplicate keys), so a lookup whose
 columns are not requested is left out: the row set is the same and the scan/shuffle is
 saved. Which tables are joined therefore depends on ``columns``.
-
-A dimension lookup is broadcast only when its source table is proven small (at most
-``BROADCAST_MAX_ROWS`` rows, checked with an early-stopping ``limit(n + 1).count()``);
-otherwise it stays a shuffled sort-merge join -- at 100 TB ``part``, ``orders`` and
-``supplier`` are far beyond any broadcast limit. The explicit decision matters: without
-it Catalyst's static estimate of a dimension join (a product of sizes) can look larger
-than the pruned fact table and the fact side gets broadcast instead.
+Catalyst and adaptive execution choose the joins from measured sizes.
 """
 
 from __future__ import annotations
@@ -35,41 +29,10 @@ DEP_MOD, DEP_OFFSET = 61, 20   # DepDelay = l_partkey % 61 - 20
 # ---------------------------------------------------------------------------------
 
 
-# Lookups built from tables up to this many rows are broadcast (two columns per row).
-BROADCAST_MAX_ROWS = 1_000_000
-_ROW_BOUNDS: dict[tuple[str, str, str], bool] = {}
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _is_small(spark: SparkSession, sf_dir: str, name: str) -> bool:
-    """Whether table ``name`` has at most ``BROADCAST_MAX_ROWS`` rows (memoised)."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _ROW_BOUNDS:
-        n = _table(spark, sf_dir, name).limit(BROADCAST_MAX_ROWS + 1).count()
-        _ROW_BOUNDS[key] = n <= BROADCAST_MAX_ROWS
-    return _ROW_BOUNDS[key]
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer input splits than there are cores.
-
-    A single unsplittable file (one Parquet row group) is read by one task, and every
-    operator up to the first shuffle would run in that task. Large inputs have many
-    splits and are returned unchanged, so this never adds a shuffle at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
-def _lookup(spark: SparkSession, sf_dir: str, source: str, lookup: DataFrame) -> DataFrame:
-    return F.broadcast(lookup) if _is_small(spark, sf_dir, source) else lookup
-
-
 def _hh(expr: Column) -> Column:
     return F.lpad(expr.cast("string"), 2, "0")
 
@@ -128,15 +91,13 @@ def flights(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = No
     li = lineitem if lineitem is not None else _table(spark, sf_dir, "lineitem")
     df = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                    "l_quantity", "l_shipdate")
-    if lineitem is None:
-        df = spread(df)
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     if "Origin" in wanted:
         origin = (_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
                   .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
                   .select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("Origin")))
-        df = df.join(_lookup(spark, sf_dir, "supplier", origin), "l_suppkey")
+        df = df.join(origin, "l_suppkey")
     if "Dest" in wanted:
         # orders x customer first: a quarter of lineitem's rows, one row per order.
         dest = (_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -144,11 +105,11 @@ def flights(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = No
                       F.col("o_custkey") == F.col("c_custkey"))
                 .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
                 .select(F.col("o_orderkey").alias("l_orderkey"), F.col("n_name").alias("Dest")))
-        df = df.join(_lookup(spark, sf_dir, "orders", dest), "l_orderkey")
+        df = df.join(dest, "l_orderkey")
     if "UniqueCarrier" in wanted:
         carrier = _table(spark, sf_dir, "part").select(
             F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("UniqueCarrier"))
-        df = df.join(_lookup(spark, sf_dir, "part", carrier), "l_partkey")
+        df = df.join(carrier, "l_partkey")
 
     mapped = _mapped_columns()
     return df.select(*[mapped[c].alias(c) for c in wanted])

@@ -13,11 +13,6 @@ from pyspark.sql.streaming import StreamingQuery
 from .aggregates import AGGREGATES, rejected, report_order
 
 REPORT_ROWS = 10
-# Shuffle partitions of a running aggregate = its state-store partitions, fixed when the
-# query first starts. The state holds one row per airport / carrier / weekday and only
-# partial aggregates reach it, so a small number fits any input volume: the session's
-# setting is capped at this value.
-STATE_PARTITIONS = 16
 
 
 def report(batch: DataFrame, order: Sequence[Column], title: str,
@@ -55,14 +50,7 @@ def start(agg: DataFrame, name: str, checkpoint: str, result_path: str | None =
               .option("checkpointLocation", checkpoint)
               .queryName(f"{name}_{uuid.uuid4().hex[:8]}"))
     writer = writer.trigger(**(trigger or {"availableNow": True}))
-    spark = agg.sparkSession
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    state = min(int(previous), STATE_PARTITIONS)   # a cap: never more than the session's
-    spark.conf.set("spark.sql.shuffle.partitions", str(state))
-    try:
-        return writer.start()   # the query keeps the setting it started with
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    return writer.start()
 
 
 def run_available(agg: DataFrame, name: str, checkpoint: str, result_path: str) -> DataFrame:
@@ -76,18 +64,21 @@ def run_available(agg: DataFrame, name: str, checkpoint: str, result_path: str)
         return spark.createDataFrame([], agg.schema)
 
 
-def start_all(flights: DataFrame, base_path: str, show: bool = True,
-              triggers: dict[str, str] | None = None) -> list[StreamingQuery]:
+def start_all(flights: DataFrame | Callable[[float], DataFrame], base_path: str, show: bool = True,
+              triggers: dict[str, str] | None = None, available_now: bool = False) -> list[StreamingQuery]:
     """The three aggregates over one input, started together (one checkpoint each),
     plus a count of the rows they reject. Wait with
     ``spark.streams.awaitAnyTermination()``.
+
+    ``flights`` may be a function of a query's trigger interval in seconds, for inputs
+    whose rate cap depends on it. ``available_now`` processes what is there and stops.
     """
-    queries = [start(rejected(flights), "rejected", f"{base_path}/checkpoint_rejected",
-                     f"{base_path}/state_rejected", report_order("rejected"), show,
-                     {"processingTime": (triggers or {}).get("rejected", "5 seconds")})]
-    for name, (fn, interval) in AGGREGATES.items():
+    queries = []
+    for name, (fn, interval) in {"rejected": (rejected, "5 seconds"), **AGGREGATES}.items():
         every = (triggers or {}).get(name, interval)
-        queries.append(start(fn(flights), f"running_{name}", f"{base_path}/checkpoint_{name}",
-                             f"{base_path}/state_{name}", report_order(name), show,
-                             {"processingTime": every}))
+        source = flights(float(every.split()[0])) if callable(flights) else flights
+        queries.append(start(
+            fn(source), name if name == "rejected" else f"running_{name}", f"{base_path}/checkpoint_{name}",
+            f"{base_path}/state_{name}", report_order(name), show,
+            {"availableNow": True} if available_now else {"processingTime": every}))
     return queries

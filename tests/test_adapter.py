@@ -12,10 +12,8 @@ def _digest(df):
     return df.select(F.sum(h).alias("h"), F.count(F.lit(1)).alias("n")).collect()[0]
 
 
-def test_lookups_without_broadcast_match(spark, monkeypatch):
+def test_lookups_without_broadcast_match(spark):
     broadcast = testdata.flights(spark, SF_SMALL)
-    monkeypatch.setattr(testdata, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(testdata, "_ROW_BOUNDS", {})
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:

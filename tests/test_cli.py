@@ -27,7 +27,7 @@ def test_cli_pipeline(spark, workdir, capsys):
     out = capsys.readouterr().out
     assert "archives: {'OK': 1}" in out
     assert "flights table" in out and "3 rows" in out
-    assert "|CMI-ORD|-14.0" in out and "|ORD-CMI|3.0" in out
+    assert "CMI-ORD,-14.0" in out and "ORD-CMI,3.0" in out
     assert "CMI-ORD-LAX" in out
     assert "a: 2" in out and "b: 1" in out
 

@@ -106,3 +106,42 @@ def test_rerun_replaces_only_written_days(spark, workdir):
     ingest(spark, raw2, lake, os.path.join(workdir, "q2"), os.path.join(workdir, "s2"))
     got = sorted((r.Dayd, r.UniqueCarrier) for r in read_lake(spark, lake).collect())
     assert got == [("04", "AA"), ("05", "ZZ")]
+
+
+def test_bad_bytes_cost_single_records(spark, workdir):
+    raw = os.path.join(workdir, "RAW")
+    os.makedirs(raw)
+    text = csv_text([record(4, carrier=f"C{i}") for i in range(70_000)], SELECTED_FIELDS).encode()
+    lake, work = os.path.join(workdir, "lake"), os.path.join(workdir, "w")
+    make_zip(os.path.join(raw, "a.zip"), {"a.csv": text})
+    ingest(spark, raw, lake, f"{work}/q", f"{work}/s")
+    make_zip(os.path.join(raw, "a.zip"), {"a.csv": text.replace(b"C69999", b"C\xff9999")})
+    res = ingest(spark, raw, lake, f"{work}/q", f"{work}/s")
+    assert read_lake(spark, lake).where("Dayd = '04'").count() == 69_999
+    assert [r.reason for r in res.quarantine.collect()] == ["undecodable text"]
+    m = res.manifest.collect()[0]
+    assert (m.read, m.kept, m.skipped, m.written, m.status) == (70_000, 69_999, 1, 69_999, "OK")
+
+
+def test_damaged_files_are_reported_and_replace_nothing(spark, workdir):
+    raw = os.path.join(workdir, "RAW")
+    os.makedirs(raw)
+    lake, work = os.path.join(workdir, "lake"), os.path.join(workdir, "w")
+    good = csv_text([record(4), record(5)], SELECTED_FIELDS)
+    make_zip(os.path.join(raw, "good.zip"), {"g.csv": good})
+    ingest(spark, raw, lake, f"{work}/q", f"{work}/s")
+    with open(os.path.join(raw, "broken.zip"), "wb") as fh:
+        fh.write(b"PK nothing")
+    big = csv_text([record(5, carrier=f"X{i}") for i in range(60_000)], SELECTED_FIELDS)
+    make_zip(os.path.join(raw, "good.zip"), {"g.csv": csv_text([record(4, carrier="NEW")], SELECTED_FIELDS)})
+    path = os.path.join(raw, "half.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as zf:
+        zf.writestr("h.csv", big)
+    data = bytearray(open(path, "rb").read())
+    data[len(data) // 2] ^= 0x55   # the member's checksum is wrong
+    open(path, "wb").write(data)
+    res = ingest(spark, raw, lake, f"{work}/q", f"{work}/s")
+    status = {os.path.basename(r.archive): r.status for r in res.manifest.collect()}
+    assert status == {"good.zip": "OK", "broken.zip": "ERROR", "half.zip": "ERROR"}
+    rows = sorted((r.Dayd, r.UniqueCarrier) for r in read_lake(spark, lake).collect())
+    assert rows == [("04", "NEW"), ("05", "AA")]

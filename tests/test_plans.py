@@ -3,6 +3,7 @@
 import os
 
 from helpers import flights_df
+from ontime.operators.itinerary import best_legs
 from ontime.plans import batch
 from ontime.sources.lake import read_flights_table, write_flights_table
 
@@ -37,3 +38,12 @@ def test_itinerary_prunes_partitions_and_columns(spark, workdir):
     text = legs._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(Yeard" in text and "(Yeard#" in text
     assert "ArrDelayMinutes" not in text.split("ReadSchema")[1]
+
+
+def test_best_flights_are_one_scan_and_one_exchange(spark, workdir):
+    path = os.path.join(workdir, "flights")
+    write_flights_table(flights_df(spark, [{"FlightDate": "2008-03-04"}]), path)
+    legs = best_legs(read_flights_table(spark, path), 2008)
+    text = plan(legs).split("Initial Plan")[0]
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("FileScan") == 1
+    assert text.count("WindowGroupLimit") == 2 and "Join" not in text

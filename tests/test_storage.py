@@ -10,7 +10,7 @@ from helpers import flights_df
 from ontime.config import SELECTED_FIELDS, TABLE_FIELDS
 from ontime.plans.ingest import ingest
 from ontime.sinks.lake import lake_rows, write_lake
-from ontime.sources.lake import (add_month_partition, read_delimited_flights, read_lake,
+from ontime.sources.lake import (add_month_partition, month_statistics, read_delimited_flights, read_lake,
                                  register_flights_table, type_flights, write_flights_table)
 from ontime.sources.streams import file_stream
 from ontime.streaming.runner import start_all
@@ -25,13 +25,13 @@ def test_csv_lake_round_trip_and_header_check(spark, workdir):
     back = read_lake(spark, lake, "csv")
     rows = {r.Dayd: r for r in back.collect()}
     assert rows["04"].ArrDelay == "" and rows["05"].UniqueCarrier == "B,C"
-    # a file whose header does not match the lake columns fails loudly
-    bad = os.path.join(workdir, "badlake", "Yeard=2008", "Monthd=03", "Dayd=06")
-    os.makedirs(bad)
-    with open(os.path.join(bad, "x.csv"), "w") as fh:
-        fh.write(",".join(reversed(SELECTED_FIELDS)) + "\n" + ",".join(["1"] * 18) + "\n")
-    with pytest.raises(Exception):
-        read_lake(spark, os.path.join(workdir, "badlake"), "csv").collect()
+    # a file whose columns moved is bound by its header
+    moved = os.path.join(lake, "Yeard=2008", "Monthd=03", "Dayd=06")
+    os.makedirs(moved)
+    with open(os.path.join(moved, "x.csv"), "w") as fh:
+        fh.write(",".join(reversed(SELECTED_FIELDS)) + "\n" + ",".join(reversed([f"v{c}" for c in SELECTED_FIELDS])) + "\n")
+    row = read_lake(spark, lake, "csv").where("Dayd = '06'").collect()[0]
+    assert all(row[c] == f"v{c}" for c in SELECTED_FIELDS) and row.Yeard == "2008"
 
 
 def test_delimited_fact_files_in_table_order(spark, workdir):
@@ -67,6 +67,11 @@ def test_catalog_table_partitions_and_statistics(spark, workdir):
     assert parts == ["Yeard=2008/Monthd=3", "Yeard=2008/Monthd=4"]
     stats = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Statistics").collect()
     assert stats and "rows" in stats[0].data_type
+    detail = spark.sql(f"DESCRIBE EXTENDED {name} PARTITION (Yeard=2008, Monthd=3)").collect()
+    assert any(r.col_name == "Partition Statistics" and "1 rows" in r.data_type for r in detail)
+    assert sorted(map(tuple, month_statistics(spark, name).collect())) == [(2008, 3, 1), (2008, 4, 1)]
+    with pytest.raises(ValueError, match="exists at"):   # the same name at another place
+        register_flights_table(spark, name, os.path.join(workdir, "another"))
     # a month stored elsewhere registered as a partition
     other = os.path.join(workdir, "elsewhere")
     write_flights_table(type_flights(lake_rows(flights_df(spark, [{"FlightDate": "2008-05-02"}]))), other)
@@ -121,3 +126,26 @@ def test_column_profile_with_approx_distinct(spark):
     assert (prof["UniqueCarrier"].n_rows, prof["UniqueCarrier"].approx_distinct) == (4, 3)
     a = prof["ArrDelay"]
     assert (a.n_nulls, a.min_value, a.max_value, a.approx_distinct) == (1, "-2", "5", 3)
+
+
+def test_temporary_checkpoint_folder_only_on_a_local_master():
+    from types import SimpleNamespace
+
+    from ontime.config import checkpoint_dir
+
+    cluster = SimpleNamespace(
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"),
+        conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(cluster)
+
+
+def test_replay_position_does_not_depend_on_files(spark, workdir):
+    from ontime.sinks.replay import replay
+
+    f = flights_df(spark, [{"FlightDate": "2008-03-04", "FlightNum": str(i)} for i in range(6)])
+    for files, fmt in ((1, "parquet"), (3, "parquet"), (3, "csv")):
+        lake = os.path.join(workdir, f"lake{files}{fmt}")
+        write_lake(lake_rows(f).repartition(files), lake, fmt, shuffle=False)
+        sent = replay(spark, lake, ["a", "b", "c", "d"], os.path.join(workdir, f"m{files}{fmt}"), fmt=fmt)
+        assert sorted(map(tuple, sent.collect())) == [("a", 2), ("b", 2), ("c", 1), ("d", 1)]
