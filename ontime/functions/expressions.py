@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from .casting import _col
 
 
 def mean2(c: str | Column) -> Column:
