@@ -83,19 +83,19 @@ def encode_word(word: Column, literal: Column) -> Column:
         p, r = state["p"], state["r"]
 
         def at(i: Column) -> Column:
+            """Join pieces i and i + 1 (from 0); the pairs beside them get new ranks."""
             def joined(both: Column) -> Column:
-                none = F.array().cast("array<int>")
-                before = F.when(i > 1, F.array(rank(F.concat(F.element_at(p, i - 1), both)))).otherwise(none)
-                after = F.when(i < F.size(r), F.array(rank(F.concat(both, F.try_element_at(p, i + 2))))).otherwise(none)
-                return F.struct(
-                    F.concat(F.slice(p, F.lit(1), i - 1), F.array(both), F.slice(p, i + 2, F.size(p))).alias("p"),
-                    F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), before, after,
-                             F.slice(r, i + 2, F.size(r))).alias("r"))
-            return _let(F.concat(F.element_at(p, i), F.element_at(p, i + 1)), joined)
+                pieces = F.transform(p, lambda x, k: F.when(k == i, both).otherwise(x))
+                ranks = F.transform(r, lambda x, k: (
+                    F.when(k == i - 1, rank(F.concat(F.element_at(p, i), both)))
+                    .when(k == i + 1, rank(F.concat(both, F.element_at(p, i + 3)))).otherwise(x)))
+                return F.struct(F.filter(pieces, lambda x, k: k != i + 1).alias("p"),
+                                F.filter(ranks, lambda x, k: k != i).alias("r"))
+            return _let(F.concat(F.element_at(p, i + 1), F.element_at(p, i + 2)), joined)
 
         return _let(F.array_min(r), lambda least: F.when(
             F.coalesce(least, F.lit(NO_RANK)) < NO_RANK,
-            _let(F.array_position(r, least).cast("int"), at)).otherwise(state))
+            _let((F.array_position(r, least) - 1).cast("int"), at)).otherwise(state))
 
     n = F.octet_length(word)
     single = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(word, i, F.lit(1)))
