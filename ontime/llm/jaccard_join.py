@@ -15,7 +15,7 @@ that is already known to be connected no further link is needed.
    groups; classes with fewer than ceil(0.8 n) of them leave. For the others, a query class
    meets the groups (in blocks of bounded size) that hold one of its rarest such tokens (the
    prefix that every overlap must touch). A block stores the union of its members' tokens;
-   only blocks whose union covers ceil(0.8 n) tokens of the query are opened, and its members
+   only blocks whose union covers the overlap that a link needs are opened, and its members
    are compared exactly.
 
 Steps 3 and 4 find a link between every two groups that have one, so the components are
@@ -176,7 +176,7 @@ def open_groups(key: tuple, queries: pa.Table, members: pa.Table) -> pa.Table:
         for query, n, tokens in zip(queries.column("id").to_pylist(), queries.column("n").to_pylist(),
                                     queries.column("tokens").to_pylist()):
             inside = np.isin(union, np.frombuffer(tokens, np.int64), assume_unique=True)
-            if inside.sum() < needed(n):
+            if (100 + PERCENT) * inside.sum() < PERCENT * (n + sizes.min()):
                 continue
             both = np.bincount(owner, weights=inside[where], minlength=len(sets)).astype(np.int64)
             hits = np.flatnonzero(100 * both >= PERCENT * (n + sizes - both))
@@ -199,12 +199,18 @@ def cross_links(sets: DataFrame, groups: DataFrame) -> DataFrame:
     prefix = (listed.join(spread, "token").withColumn("place", F.row_number().over(order))
               .join(left.select("id", F.size("shared").alias("n_shared")), "id")
               .filter(F.col("place") <= F.col("n_shared") - F.ceil(F.col("n") * PERCENT / 100) + 1).filter("parts > 1")
-              .select("id", "n", "part", "token"))
+              .select("id", "n", "part", "token", (F.col("n_shared") - F.col("place") + 1).alias("rest")))
     prefix = staged(prefix, "prefix")
-    # The matrix: tokens by group, with the range of sizes of the members behind them.
-    matrix = prefix.groupBy("token", F.col("part").alias("group")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    # The matrix: tokens by group, with the sizes of the members behind them and the most
+    # tokens that any of them has from this one on.
+    matrix = prefix.groupBy("token", F.col("part").alias("group")).agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("most"))
+    # A link of sets of n and m tokens shares 80 (n + m) / 180 of them, all from the first
+    # shared one on; so both sides must have as many left there.
+    overlap = PERCENT * (F.col("n") + F.col("low"))
     met = (prefix.join(matrix, "token").filter("part > group")
            .filter((100 * F.col("n") >= PERCENT * F.col("low")) & (100 * F.col("high") >= PERCENT * F.col("n")))
+           .filter(((100 + PERCENT) * F.col("rest") >= overlap) & ((100 + PERCENT) * F.col("most") >= overlap))
            .select("id", "group").distinct())
     as_bytes = left.select("id", "n", "part", "shared").mapInArrow(pack, "id long, n int, part long, tokens binary")
     rows = staged(as_bytes, "matrix_sets")
