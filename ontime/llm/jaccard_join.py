@@ -6,7 +6,7 @@ that is already known to be connected no further link is needed.
 
 1. Sets. Equal sets become one class, represented by its smallest document.
 2. Sieve. In the order of their hashes, two linked sets of sizes n and m share at least
-   min(n // 5, m // 5) tokens among the first n - ceil(0.8 n) + n // 5 of each. A class
+   min(n // 8, m // 8) tokens among the first n - ceil(0.8 n) + n // 8 of each. A class
    with too few such tokens that occur in another class has no link and leaves here.
 3. Groups. Similar classes are put in one group: each is compared with the smallest class
    that has the same min-hash, for a few hash functions, and groups are the components of
@@ -47,6 +47,8 @@ from .components import components
 
 SHINGLE = 5
 PERCENT = 80
+#: The sieve looks at 1 / SIEVE of a set's tokens beyond the prefix that a link must touch.
+SIEVE = 8
 #: Hash functions of the grouping step.
 SEEDS = 4
 #: Members of a block of a group.
@@ -89,7 +91,7 @@ def find_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(n)
             classes.append(digest)
             keys.append(int.from_bytes(digest[:8], "little", signed=True))
-            prefixes.append(tokens[:n - needed(n) + max(1, n // 5)].tobytes())
+            prefixes.append(tokens[:n - needed(n) + max(1, n // SIEVE)].tobytes())
         yield pa.RecordBatch.from_arrays(
             [table.column("doc_id").combine_chunks(), pa.array(sizes, pa.int32()), pa.array(classes, pa.binary()),
              pa.array(keys, pa.int64()), pa.array(prefixes, pa.binary())],
@@ -242,7 +244,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
 
     shared = shared_tokens(sets.filter("n > 0").select(
         F.col("class_key").alias("id"), F.col("class_key").alias("part"), F.col("prefix").alias("tokens")))
-    few = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * PERCENT / 100) / 5))
+    few = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * PERCENT / 100) / SIEVE))
     alive = staged(classes.join(shared, F.col("class_key") == F.col("id")).filter(F.size("shared") >= few)
                    .filter("first is not null").select("first", "class", "n"), "alive")
     bitmap = id_filter(alive, "first")
