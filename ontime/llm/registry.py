@@ -81,7 +81,7 @@ def oracles() -> dict[str, str]:
         "op8_quality_rules": rf"""
             WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
             w AS (SELECT doc_id, source, t,
-                         list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM d),
+                         [x FOR x IN string_split_regex(t, '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM d),
             p AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS win
                   FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
             r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS c FROM p) WHERE c > 1),
