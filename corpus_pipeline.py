@@ -15,11 +15,15 @@ from ontime.llm.byte_bpe import byte_bpe
 from ontime.llm.common import documents, labels, staged
 from ontime.llm.exact_dedup import keep_first
 from ontime.llm.jaccard_join import jaccard_join
-from ontime.llm.mixing import mixing
+from ontime.llm.mixing import mixing, rounded
 from ontime.llm.registry import RANKS
 from ontime.llm.toxicity import toxicity
 
 
+#: Smallest rate of a document in the mixing stage: the corpus grows by its inverse at most.
+LEAST_RATE = 0.25
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject. A null id is scored with all
     other null ids and kept unless every one of them is rejected."""
@@ -41,9 +45,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their mixing rate asks, and at least once: a stage that filters
-    nothing, so rates below one do not remove clean documents."""
-    copies = (mixing(docs, labels(spark, sf_dir)).filter("copies > 1")
+    """Documents in the ratios of their mixing rates, and each at least once: the rates are
+    divided by the smallest one, so a domain shrinks as the others grow. The fit itself
+    bounds the rates by LEAST_RATE, as a rate of zero has no multiple."""
+    rates = staged(mixing(docs, labels(spark, sf_dir), least=LEAST_RATE), "mixing_rates")
+    smallest = rates.agg(F.min("rate")).first()[0]
+    copies = (rates.withColumn("copies", rounded(F.col("rate") / F.lit(smallest))).filter("copies > 1")
               .groupBy("doc_id").agg(F.max("copies").alias("copies")))
     return (docs.join(copies, "doc_id", "left")
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1)))))

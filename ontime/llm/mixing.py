@@ -122,12 +122,17 @@ def posteriors(rows: DataFrame, model: tuple[list[float], dict[str, list[list[fl
     return rows.withColumns({f"p_{d}": F.round(x / whole, 9) for d, x in parts.items()}).drop(*(f"log_{d}" for d in DOMAINS))
 
 
-def rate(gradient: list[float]) -> Column:
-    """A row's best rate when the domains have this gradient."""
-    return F.greatest(F.lit(0.0), 1 - sum((F.col(f"p_{d}") * g for d, g in zip(DOMAINS, gradient)), F.lit(0.0)) / RIDGE)
+def pull(gradient: list[float]) -> Column:
+    """The domain gradient as it falls on a row."""
+    return sum((F.col(f"p_{d}") * g for d, g in zip(DOMAINS, gradient)), F.lit(0.0))
 
 
-def fit_rates(cells: DataFrame, weights: dict[str, float]) -> list[float]:
+def rate(gradient: list[float], least: float = 0.0) -> Column:
+    """A row's best rate, not under ``least``, when the domains have this gradient."""
+    return F.greatest(F.lit(float(least)), 1 - pull(gradient) / RIDGE)
+
+
+def fit_rates(cells: DataFrame, weights: dict[str, float], least: float = 0.0) -> list[float]:
     """Domain gradient at the minimum, from cells (p_<domain>, n_tokens): Newton steps on the
     dual, as far as the domain totals of its rates agree with it."""
     start = cells.agg(*(F.sum(F.col("n_tokens") * F.col(f"p_{d}")).alias(d) for d in DOMAINS)).first()
@@ -139,17 +144,17 @@ def fit_rates(cells: DataFrame, weights: dict[str, float]) -> list[float]:
     scales = np.where(targets > 0, targets, 1.0)
     share = F.col("n_tokens") / whole
     pairs = [(a, b) for a in DOMAINS for b in DOMAINS]
-    sums = [F.sum(share * F.col("r") * F.col("r")).alias("squares"),
+    sums = [F.sum(share * (F.col("z") * F.col("r") + RIDGE / 2 * (F.col("r") - 1) ** 2)).alias("inner"),
             *(F.sum(share * F.col("r") * F.col(f"p_{d}")).alias(f"s_{d}") for d in DOMAINS),
-            *(F.sum(F.when(F.col("r") > 0, share * F.col(f"p_{a}") * F.col(f"p_{b}")).otherwise(0.0)).alias(f"h_{a}_{b}")
+            *(F.sum(F.when(F.col("r") > least, share * F.col(f"p_{a}") * F.col(f"p_{b}")).otherwise(0.0)).alias(f"h_{a}_{b}")
               for a, b in pairs)]
 
     def dual(g: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
         """Value, slope and curvature at g, and the domain totals there (shares of all tokens)."""
-        row = cells.withColumn("r", rate(g.tolist())).agg(*sums).first()
+        row = cells.withColumns({"z": pull(g.tolist()), "r": rate(g.tolist(), least)}).agg(*sums).first()
         totals = np.array([row[f"s_{d}"] for d in DOMAINS])
         curve = np.array([row[f"h_{a}_{b}"] for a, b in pairs]).reshape(len(DOMAINS), -1) / RIDGE
-        value = (scales * g * g).sum() / 2 + (targets * g).sum() + RIDGE / 2 * row["squares"]
+        value = (scales * g * g).sum() / 2 + (targets * g).sum() - row["inner"]
         return value, scales * g + targets - totals, np.diag(scales) + curve, totals
 
     value, slope, curve, totals = dual(gradient)
@@ -175,11 +180,18 @@ def fit_rates(cells: DataFrame, weights: dict[str, float]) -> list[float]:
     return gradient.tolist()
 
 
-def mixing(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+def rounded(rate: Column) -> Column:
+    """The rate rounded up or down by a hash of the id."""
+    uniform = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    return F.floor(rate + uniform).cast("int")
+
+
+def mixing(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None,
+           least: float = 0.0) -> DataFrame:
     """One row per document: doc_id, n_tokens, p_good, p_low, p_toxic, rate, copies.
 
     ``copies`` rounds the rate up or down by a hash of the id, so that its expectation over
-    documents is the rate."""
+    documents is the rate. ``least`` is a lower bound of the rates, kept by the fit."""
     ready(docs.sparkSession)
     rows = staged(measured(docs), "mixing")
     # At most SAMPLE_ROWS pairs of numbers: broadcast.
@@ -188,8 +200,7 @@ def mixing(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None
     scored = posteriors(with_beginnings(rows, entries), bayes(with_beginnings(sample, entries)))
     probabilities = [f"p_{d}" for d in DOMAINS]
     cells = staged(scored.groupBy(*probabilities).agg(F.sum("n_tokens").alias("n_tokens")), "mixing_cells")
-    gradient = fit_rates(cells, weights or WEIGHTS)
-    uniform = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    return (scored.withColumn("rate", rate(gradient))
+    gradient = fit_rates(cells, weights or WEIGHTS, least)
+    return (scored.withColumn("rate", rate(gradient, least))
             .select("doc_id", "n_tokens", *probabilities, "rate",
-                    F.floor(F.col("rate") + uniform).cast("int").alias("copies")))
+                    rounded(F.col("rate")).alias("copies")))

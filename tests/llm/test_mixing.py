@@ -5,6 +5,9 @@ import pytest
 
 import tables  # noqa: F401  isort: skip (puts the repository on the path)
 
+import corpus_pipeline
+from pyspark.sql import functions as F
+
 from ontime.llm import mixing
 
 
@@ -21,3 +24,18 @@ def test_mixing_reaches_the_minimum_from_far_targets(spark, weights):
     # The conditions of a minimum over r >= 0, which is the only one.
     assert (r >= 0).all() and np.abs(np.where(r > 0, slope, np.minimum(slope, 0))).max() < 1e-6
     assert np.abs((r * t) @ p - target).max() < 0.02 * t.sum()
+
+
+def test_mixing_stage_shrinks_a_domain_and_keeps_every_document(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    found = mixing.mixing(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    out = corpus_pipeline.mix(spark, docs, sf).groupBy("doc_id").count()
+    joined = found.join(out, "doc_id", "left")
+    tokens = F.col("count") * F.col("n_tokens")
+    row = joined.agg(F.count_if(F.col("count").isNull()).alias("lost"), F.sum(tokens).alias("all"),
+                     *(F.sum(tokens * F.col(f"p_{d}")).alias(d) for d in mixing.DOMAINS)).first()
+    shares = {d: row[d] / row["all"] for d in mixing.DOMAINS}
+    print("shares", shares, "tokens", row["all"])
+    # 13% of the tokens are toxic; the bound of a quarter for each document allows no 2%.
+    assert row["lost"] == 0 and shares["toxic"] < 0.06 and shares["good"] > 0.8
