@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import io
 import re
+import uuid
 import zipfile
 from collections.abc import Iterator, Sequence
 from urllib.parse import unquote
@@ -198,11 +199,26 @@ def extract_records(files: DataFrame) -> DataFrame:
 
 def csv_rows(files: DataFrame) -> DataFrame:
     """CSV files (a ``path`` column, batch or stream) -> their path, each record's number in
-    its file and the 18 text columns, bound by header name; malformed records are left out."""
-    return extract_records(files).where("kind = 'row'").select(
+    its file and the 18 text columns, bound by header name.
+
+    A file that cannot be read to its end (a kept column is missing, an open quote, a record
+    over the block size) fails the query; a file without a byte has no rows. Malformed and
+    undecodable records are left out and counted: ``bad`` beside ``rows`` in the observed
+    metrics ``csv_records_...`` of the query. ``csv_bad`` returns them."""
+    unread = (F.col("kind") == "member") & F.col("reason").isNotNull() & ~F.col("reason").endswith("Empty CSV file")
+    message = F.concat(F.lit("CSV file not read to its end: "), "archive", F.lit(": "), "reason")
+    records = extract_records(files).observe(
+        f"csv_records_{uuid.uuid4().hex}", F.count_if(F.col("kind") == "row").alias("rows"),
+        F.count_if(F.col("kind") == "bad").alias("bad"))
+    return records.where(F.when(unread, F.raise_error(message).cast("boolean")).otherwise(F.col("kind") == "row")).select(
         F.col("archive").alias("path"), "record", *SELECTED_FIELDS)
 
 
+def csv_bad(files: DataFrame) -> DataFrame:
+    """What ``csv_rows`` leaves out: path, record number, reason and text of each record."""
+    return extract_records(files).where("kind = 'bad'").select(F.col("archive").alias("path"), "record", "reason", "text")
+
+
 # --- writing archives (test fixtures built from the driver's tables) ----------------
 
 def _local_or_uri(path: str):
