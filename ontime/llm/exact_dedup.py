@@ -1,4 +1,4 @@
-"""Exact dedup: a tree merge of sorted digest runs, in DataFrame operations only.
+"""Exact dedup: digest runs hash-aggregated in the rounds of a tree, in DataFrame operations only.
 
 Every input partition reduces its rows to one run: a row per distinct text digest with the
 smallest identifier and the count. Runs are numbered, and in each round groups of
