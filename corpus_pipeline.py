@@ -20,7 +20,7 @@ from ontime.llm.registry import RANKS
 from ontime.llm.toxicity import toxicity
 
 
-#: Smallest rate of a document in the mixing stage: the corpus grows by its inverse at most.
+#: Smallest rate of a document in the mixing stage: the rates are multiplied by its inverse at most.
 LEAST_RATE = 0.25
 
 
