@@ -8,14 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import byte_bpe
+from .collocations import collocations
 from .common import documents, labels
+from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .hmm_lm import hmm_lm
 from .jaccard_join import jaccard_join
 from .license_scan import license_scan
 from .mixing import mixing
+from .oracle_sql import oracles  # noqa: F401  (the entry reads it here)
 from .pii_crf import pii_crf
-from .quality_rules import HOST_LIMIT, MAX_REPEAT_PERCENT, MIN_WORDS, quality_rules
+from .quality_rules import quality_rules
+from .resample import resample
 from .suffix_dedup import suffix_dedup
 from .toxicity import toxicity
 
@@ -64,48 +68,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(documents(spark, sf_dir), benchmark(spark, sf_dir)).drop("spans")
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 def registered() -> dict[str, Query]:
     every = (op1_exact_dedup, op2_toxicity, op3_hmm_lm, op4_suffix_dedup, op5_pii_crf, op6_license_scan,
-             op7_jaccard_join, op8_quality_rules, op9_byte_bpe, op10_mixing)
+             op7_jaccard_join, op8_quality_rules, op9_byte_bpe, op10_mixing, op11_decontaminate, op12_resample,
+             op13_collocations)
     return {f.__name__: f for f in every}
-
-
-def oracles() -> dict[str, str]:
-    """DuckDB SQL of the operators that SQL can express."""
-    return {
-        "op1_exact_dedup": r"""
-            WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h
-                       FROM documents),
-                 g AS (SELECT h, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY h)
-            SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM n JOIN g USING (h)""",
-        "op8_quality_rules": rf"""
-            WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
-            w AS (SELECT doc_id, source, t,
-                         [x FOR x IN string_split_regex(t, '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM d),
-            p AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS win
-                  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
-            r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS c FROM p) WHERE c > 1),
-            c AS (SELECT doc_id, count(DISTINCT k) AS n_repeat_words
-                  FROM (SELECT doc_id, i + unnest([0, 1, 2]) AS k FROM r) GROUP BY doc_id),
-            l AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n_dup_lines
-                  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d)
-                  WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
-            m AS (SELECT doc_id, source, len(ws) AS n_words,
-                         length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
-                         length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
-                         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
-                  FROM w LEFT JOIN l USING (doc_id) LEFT JOIN c USING (doc_id)),
-            f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
-                         n_symbols > greatest(n_words, 1) OR word_chars / greatest(n_words, 1) > 30
-                         OR word_chars / greatest(n_words, 1) < 2 OR n_dup_lines > 0.5 * greatest(n_words, 1) AS other_failed
-                  FROM m),
-            h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed OR other_failed) AS x FROM f GROUP BY source),
-            s AS (SELECT sum(x) / sum(n) AS mean, sum(x * x / n) / sum(n) - (sum(x) / sum(n)) ** 2
-                         - sum(x) / sum(n) * (1 - sum(x) / sum(n)) * count(*) / sum(n) AS spread FROM h),
-            b AS (SELECT mean, CASE WHEN spread > 0 THEN least(greatest(mean * (1 - mean) / spread - 1, 2.0), 1e6)
-                                    ELSE 1e6 END AS k FROM s),
-            v AS (SELECT source, (x + mean * k) / (n + k) > {HOST_LIMIT} AS rejected FROM h, b)
-            SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-                   NOT base_failed AND NOT rejected AS kept
-            FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source""",
-    }
