@@ -4,14 +4,15 @@ Texts are lower-cased (A-Z) and split at punctuation and line ends into pieces,
 blanks into words. Everything is counted per language.
 
 1. Counting. A task adds, for every word, the phrase of up to ``longest`` words from there to
-   a trie of word ids. The trie is shallow: its root leads from a language and first word to a
-   hash container (rest of the phrase -> count), and a container that grows beyond BURST
-   entries bursts into one container per next word. A phrase counts once for all its
-   beginnings; their counts are the sums over their subtrees.
-2. Spilling. When the trie holds LIMIT entries, its largest subtrees are written out as
+   its language's trie of word ids. The trie is shallow: it starts as one hash container
+   (phrase -> count), and a container that grows beyond BURST entries bursts into containers
+   by the next bits of the ids, so frequent beginnings get paths of their own and rare ones
+   share containers. A phrase counts once for all its beginnings; their counts are the sums
+   over their subtrees.
+2. Spilling. When the tries hold LIMIT entries, their largest subtrees are written out as
    sorted runs, (language, phrase, count) each, until half of it is free; at the end of the
    input all of it is. The runs of all tasks are files in the shared folder.
-3. Merging. Runs are dealt to partitions by ranges of (language, phrase) - prefixes, split
+3. Merging. Runs are dealt to partitions by ranges of (phrase, language) - prefixes, split
    finer where many phrases share one -, sorted there, and neighbouring equal phrases are
    summed in one pass over the sorted rows. A phrase has one row per run, however frequent.
 4. Scoring. A part of a phrase is at least as frequent as the phrase, so the parts of the
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ from .common import LOWER, blocks, ready, staged, utf8
 
 SHORTEST, LONGEST, MIN_COUNT, TOP, COVER_PERCENT = 2, 3, 10, 2000, 50
 #: Entries of a container before it bursts, of a task's trie before it spills, and words it knows.
-BURST, LIMIT, VOCABULARY = 4_096, 1_000_000, 400_000
+BURST, LIMIT, VOCABULARY = 32_768, 600_000, 300_000
 #: Bytes of text that are counted at once.
 SLICE = 1 << 20
 #: Rows of one record batch of a run.
@@ -50,81 +52,95 @@ TOP_PARTS = 64
 PIECES = bytes(0x0A if chr(b) in ".,;:!?\n\v\f\r" else 0x20 if b == 0x09 else b for b in LOWER)
 BITS = 21  # of a word id in a container's key
 MASK = (1 << BITS) - 1
+#: Bits of a key that a node branches on, and its branches.
+DIGIT = 7
+FAN = 1 << DIGIT
 assert VOCABULARY + SLICE < MASK
 RUN = "lang string, phrase string, n_words int, n long"
 
 
 class Trie:
-    """Counts of word id sequences of up to ``longest`` ids, by language and first word.
+    """Counts of keys: the ids of up to three words or more, BITS each, the first one highest,
+    and 0 where the phrase is over. A node branches on the next DIGIT bits of a key."""
 
-    Ids start at 1; a key holds the ids after those of the path, BITS each, the first one
-    highest, and 0 where the phrase is over."""
-
-    def __init__(self, longest: int) -> None:
-        self.rest = longest - 1
-        self.low_bits = BITS * (self.rest - 1)
-        self.root: dict[tuple[str, int], Counter | dict[int, Counter]] = {}
-        self.size: Counter = Counter()
+    def __init__(self, words: int) -> None:
+        self.root: Counter | list = Counter()
+        self.bits = BITS * words
         self.total = 0
 
-    def add(self, lang: str, first: int, keys: list[int]) -> None:
-        """Phrases of one first word, by the keys of what follows it."""
-        node = self.root.setdefault((lang, first), Counter())
-        before = self.size[lang, first]
+    def add(self, keys: np.ndarray) -> None:
+        """Counts sorted keys, each as often as it is there."""
+        self.root = self._add(self.root, keys, self.bits - DIGIT)
+
+    def _add(self, node: Counter | list, keys: np.ndarray, shift: int) -> Counter | list:
         if isinstance(node, Counter):
-            node.update(keys)
-            now = len(node)
-            if now > BURST and self.rest > 1:
-                self.root[lang, first] = self.burst(node)
-        else:
-            low = (1 << self.low_bits) - 1
-            by_next: dict[int, list[int]] = defaultdict(list)
-            for key in keys:
-                by_next[key >> self.low_bits].append(key & low)
-            now = before
-            for word, rests in by_next.items():
-                child = node[word]
-                held = len(child)
-                child.update(rests)
-                now += len(child) - held
-        self.size[lang, first] = now
-        self.total += now - before
-
-    def burst(self, container: Counter) -> dict[int, Counter]:
-        low = (1 << self.low_bits) - 1
-        out: dict[int, Counter] = defaultdict(Counter)
-        for key, n in container.items():
-            out[key >> self.low_bits][key & low] = n
+            before = len(node)
+            node.update(keys.tolist())
+            self.total += len(node) - before
+            return self._burst(node, shift) if len(node) > BURST and shift >= 0 else node
+        digits = (keys >> np.int64(shift)) & (FAN - 1)
+        start = np.flatnonzero(np.diff(digits, prepend=-1)).tolist()
+        for a, b in zip(start, [*start[1:], len(keys)]):
+            d = int(digits[a])
+            node[d] = self._add(Counter() if node[d] is None else node[d], keys[a:b], shift - DIGIT)
+        return node
+
+    def _burst(self, container: Counter, shift: int) -> list:
+        keys, counts = arrays([container])
+        digits = (keys >> np.int64(shift)) & (FAN - 1)
+        order = np.argsort(digits, kind="stable")
+        keys, counts, digits = keys[order], counts[order], digits[order]
+        start = np.flatnonzero(np.diff(digits, prepend=-1)).tolist()
+        node: list = [None] * FAN
+        for a, b in zip(start, [*start[1:], len(keys)]):
+            node[int(digits[a])] = Counter(dict(zip(keys[a:b].tolist(), counts[a:b].tolist())))
+        return node
+
+    def containers(self) -> list[Counter]:
+        found, open_nodes = [], [self.root]
+        while open_nodes:
+            node = open_nodes.pop()
+            if isinstance(node, Counter):
+                found.append(node)
+            else:
+                open_nodes += [x for x in node if x is not None]
+        return found
+
+    def spill(self, keep: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and counts of the largest containers, until at most ``keep`` entries are left."""
+        if not keep:
+            out = arrays(self.containers())
+            self.root, self.total = Counter(), 0
+            return out
+        leaving = []
+        for container in sorted(self.containers(), key=len, reverse=True):
+            if self.total <= keep:
+                break
+            self.total -= len(container)
+            leaving.append(container)
+        out = arrays(leaving)
+        for container in leaving:
+            container.clear()
         return out
 
-    def spill(self, keep: int) -> Iterator[tuple[str, int, np.ndarray, np.ndarray]]:
-        """The largest subtrees, until at most ``keep`` entries are left: language, first
-        word, keys and counts."""
-        for (lang, first), n in self.size.most_common():
-            if self.total <= keep:
-                return
-            self.total -= n
-            node = self.root.pop((lang, first))
-            del self.size[lang, first]
-            parts = [(0, node)] if isinstance(node, Counter) else list(node.items())
-            keys = [np.fromiter(c.keys(), np.int64, len(c)) + (np.int64(word) << np.int64(self.low_bits)) for word, c in parts]
-            yield lang, first, np.concatenate(keys), np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for _, c in parts])
-
-
-def beginnings(first: np.ndarray, keys: np.ndarray, counts: np.ndarray, rest: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """Columns of ids and counts of every beginning of the phrases of some subtrees, by length."""
-    order = np.lexsort((keys, first))
-    first, keys, sums = first[order], keys[order], np.concatenate([[0], np.cumsum(counts[order])])
-    for n in range(rest + 1):
-        part = keys >> np.int64(BITS * (rest - n))
-        new = np.ones(len(part), bool)
-        new[1:] = (part[1:] != part[:-1]) | (first[1:] != first[:-1])
-        start = np.flatnonzero(new)
+
+def arrays(containers: list[Counter]) -> tuple[np.ndarray, np.ndarray]:
+    n = sum(map(len, containers))
+    return (np.fromiter(chain.from_iterable(containers), np.int64, n),
+            np.fromiter(chain.from_iterable(c.values() for c in containers), np.int64, n))
+
+
+def beginnings(keys: np.ndarray, counts: np.ndarray, longest: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Columns of ids and counts of every beginning of the phrases, by length."""
+    order = np.argsort(keys)
+    keys, sums = keys[order], np.concatenate([[0], np.cumsum(counts[order])])
+    for n in range(1, longest + 1):
+        part = keys >> np.int64(BITS * (longest - n))
+        start = np.flatnonzero(np.diff(part, prepend=-1))
         total = np.diff(np.append(sums[start], sums[-1]))
-        if n:  # phrases that are over before their n-th further word are no beginnings of that length
-            whole = (part[start] & MASK) != 0
-            start, total = start[whole], total[whole]
-        yield [first[start], *((part[start] >> np.int64(BITS * (n - 1 - k))) & MASK for k in range(n))], total
+        whole = (part[start] & MASK) != 0  # others were over before their n-th word
+        part, total = part[start][whole], total[whole]
+        yield [(part >> np.int64(BITS * (n - 1 - k))) & MASK for k in range(n)], total
 
 
 def parts_of(text: bytes, longest: int) -> Iterator[tuple[bytes, bytes]]:
@@ -156,7 +172,7 @@ def following(text: bytes, at: int, n: int) -> bytes:
 
 def count_phrases(longest: int, limit: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie(longest)
+        tries: dict[str, Trie] = {}
         vocabulary = {b"\n": 0, b"": -1}
         totals: Counter = Counter()
 
@@ -172,29 +188,21 @@ def count_phrases(longest: int, limit: int) -> Callable[[Iterable[pa.RecordBatch
             n = len(ids)
             ids = np.concatenate([ids, ids_of(rest), np.zeros(longest, np.int64)])
             keys, alive = np.zeros(n, np.int64), np.ones(n, bool)
-            for k in range(1, longest):
+            for k in range(longest):
                 alive &= ids[k:k + n] > 0
                 keys = (keys << np.int64(BITS)) | np.where(alive, ids[k:k + n], 0)
-            order = np.argsort(ids[:n], kind="stable")
-            order = order[ids[order] > 0]
-            totals[lang] += len(order)
-            first, keys = ids[order], keys[order].tolist()
-            start = np.flatnonzero(np.diff(first, prepend=0))
-            for a, b, word in zip(start.tolist(), [*start[1:].tolist(), len(first)], first[start].tolist()):
-                trie.add(lang, word, keys[a:b])
+            keys = np.sort(keys[ids[:n] > 0])
+            totals[lang] += len(keys)
+            tries.setdefault(lang, Trie(longest)).add(keys)
 
         def spilled(keep: int) -> Iterator[pa.RecordBatch]:
+            """Until every language has at most ``keep`` entries."""
             names = pa.array([w for w, i in vocabulary.items() if i > 0], pa.binary())
-            held: dict[str, list[tuple[int, np.ndarray, np.ndarray]]] = defaultdict(list)
-            rows: Counter = Counter()
-            for lang, first, keys, counts in trie.spill(keep):
-                held[lang].append((first, keys, counts))
-                rows[lang] += len(keys)
-                if rows[lang] >= RUN_ROWS:
-                    yield from sorted_run(lang, held.pop(lang), names, longest - 1)
-                    del rows[lang]
-            for lang, subtrees in held.items():
-                yield from sorted_run(lang, subtrees, names, longest - 1)
+            for lang, trie in tries.items():
+                if trie.total > keep:
+                    yield from sorted_run(lang, *trie.spill(keep), names, longest)
+            if not keep:
+                tries.clear()
 
         for table in blocks(batches, limit=4 * SLICE):
             grouped: dict[str, list[bytes]] = defaultdict(list)
@@ -207,8 +215,8 @@ def count_phrases(longest: int, limit: int) -> Callable[[Iterable[pa.RecordBatch
                         yield from spilled(0)
                         vocabulary.clear()
                         vocabulary.update({b"\n": 0, b"": -1})
-                    elif trie.total > limit:
-                        yield from spilled(limit // 2)
+                    elif sum(t.total for t in tries.values()) > limit:
+                        yield from spilled(limit // (2 * len(tries)))
         yield from spilled(0)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(totals), pa.string()), pa.array([""] * len(totals), pa.string()),
@@ -217,20 +225,17 @@ def count_phrases(longest: int, limit: int) -> Callable[[Iterable[pa.RecordBatch
     return run
 
 
-def sorted_run(lang: str, subtrees: list[tuple[int, np.ndarray, np.ndarray]], names: pa.Array, rest: int) -> Iterator[pa.RecordBatch]:
-    """The phrases of some subtrees, all their beginnings included, in order."""
-    first = np.repeat([f for f, _, _ in subtrees], [len(k) for _, k, _ in subtrees])
-    phrases, sizes, totals = [], [], []
-    for ids, total in beginnings(first, np.concatenate([k for _, k, _ in subtrees]), np.concatenate([c for _, _, c in subtrees]), rest):
-        words = [names.take(pa.array(x - 1)) for x in ids]
-        phrases.append(pc.binary_join_element_wise(*words, b" ") if len(words) > 1 else words[0])
-        sizes.append(np.full(len(total), len(ids), np.int32))
-        totals.append(total)
-    phrase = pa.concat_arrays(phrases).cast(pa.string())
-    order = pc.sort_indices(phrase)
-    run = pa.table([pa.array([lang] * len(phrase), pa.string()), phrase.take(order), pa.array(np.concatenate(sizes)).take(order),
-                    pa.array(np.concatenate(totals)).take(order)], names=["lang", "phrase", "n_words", "n"])
-    yield from run.to_batches(RUN_ROWS)
+def sorted_run(lang: str, keys: np.ndarray, counts: np.ndarray, names: pa.Array, longest: int) -> Iterator[pa.RecordBatch]:
+    """The phrases of some subtrees, all their beginnings included, by length and in order."""
+    for ids, total in beginnings(keys, counts, longest):
+        for at in range(0, len(total), RUN_ROWS):
+            words = [names.take(pa.array(x[at:at + RUN_ROWS] - 1)) for x in ids]
+            phrase = (pc.binary_join_element_wise(*words, b" ") if len(words) > 1 else words[0]).cast(pa.string())
+            order = pc.sort_indices(phrase)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(phrase), pa.string()), phrase.take(order),
+                 pa.array(np.full(len(phrase), len(ids), np.int32)), pa.array(total[at:at + RUN_ROWS]).take(order)],
+                names=["lang", "phrase", "n_words", "n"])
 
 
 def merge_sorted(least: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -264,7 +269,7 @@ def phrase_counts(docs: DataFrame, longest: int, least: int, limit: int = LIMIT)
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     runs = staged(rows.mapInArrow(count_phrases(longest, limit), RUN), "phrase_runs")
-    dealt = runs.repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase")
+    dealt = runs.repartitionByRange("phrase", "lang").sortWithinPartitions("phrase", "lang")
     return staged(dealt.mapInArrow(merge_sorted(least), RUN), "phrases")
 
 
