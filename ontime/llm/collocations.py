@@ -3,8 +3,8 @@
 Texts are lower-cased (A-Z) and split at punctuation and line ends into pieces, pieces at
 blanks into words. Everything is counted per language.
 
-1. Counting. A task adds, for every word, the phrase of up to ``longest`` words from there to
-   its language's trie of word ids. The trie is shallow: it starts as one hash container
+1. Counting. A task adds, for every word, the phrase of two words from there to its
+   language's trie of word ids. The trie is shallow: it starts as one hash container
    (phrase -> count), and a container that grows beyond BURST entries bursts into containers
    by the next bits of the ids, so frequent beginnings get paths of their own and rare ones
    share containers. A phrase counts once for all its beginnings; their counts are the sums
@@ -15,7 +15,11 @@ blanks into words. Everything is counted per language.
 3. Merging. Runs are dealt to partitions by ranges of (phrase, language) - prefixes, split
    finer where many phrases share one -, sorted there, and neighbouring equal phrases are
    summed in one pass over the sorted rows. A phrase has one row per run, however frequent.
-4. Scoring. A part of a phrase is at least as frequent as the phrase, so the parts of the
+4. Longer phrases. A phrase of three words can only be frequent if both of its pairs are.
+   Frequent pairs are marked in a bitmap of at most FILTER_BITS (a wrong mark costs time,
+   nothing else), and a second scan counts, spills and merges the phrases whose pairs are
+   both marked.
+5. Scoring. A part of a phrase is at least as frequent as the phrase, so the parts of the
    candidates are looked up among the frequent phrases alone.
 
 Defined cases: a null or empty text has no words; a null language is ``und``. Repeated rows
@@ -26,6 +30,7 @@ result is empty.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
@@ -33,10 +38,11 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, blocks, ready, staged, utf8
+from .common import LOWER, blocks, mix, ready, staged, utf8
 
 SHORTEST, LONGEST, MIN_COUNT, TOP, COVER_PERCENT = 2, 3, 10, 2000, 50
 #: Entries of a container before it bursts, of a task's trie before it spills, and words it knows.
@@ -52,6 +58,9 @@ TOP_PARTS = 64
 PIECES = bytes(0x0A if chr(b) in ".,;:!?\n\v\f\r" else 0x20 if b == 0x09 else b for b in LOWER)
 BITS = 21  # of a word id in a container's key
 MASK = (1 << BITS) - 1
+STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of the bitmap of frequent pairs, at most (8 MB).
+FILTER_BITS = 1 << 26
 #: Bits of a key that a node branches on, and its branches.
 DIGIT = 7
 FAN = 1 << DIGIT
@@ -60,7 +69,7 @@ RUN = "lang string, phrase string, n_words int, n long"
 
 
 class Trie:
-    """Counts of keys: the ids of up to three words or more, BITS each, the first one highest,
+    """Counts of keys: the ids of up to three words, BITS each, the first one highest,
     and 0 where the phrase is over. A node branches on the next DIGIT bits of a key."""
 
     def __init__(self, words: int) -> None:
@@ -130,11 +139,11 @@ def arrays(containers: list[Counter]) -> tuple[np.ndarray, np.ndarray]:
             np.fromiter(chain.from_iterable(c.values() for c in containers), np.int64, n))
 
 
-def beginnings(keys: np.ndarray, counts: np.ndarray, longest: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """Columns of ids and counts of every beginning of the phrases, by length."""
+def beginnings(keys: np.ndarray, counts: np.ndarray, longest: int, shortest: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Columns of ids and counts of the beginnings of the phrases, by length."""
     order = np.argsort(keys)
     keys, sums = keys[order], np.concatenate([[0], np.cumsum(counts[order])])
-    for n in range(1, longest + 1):
+    for n in range(shortest, longest + 1):
         part = keys >> np.int64(BITS * (longest - n))
         start = np.flatnonzero(np.diff(part, prepend=-1))
         total = np.diff(np.append(sums[start], sums[-1]))
@@ -170,37 +179,84 @@ def following(text: bytes, at: int, n: int) -> bytes:
         size *= 2
 
 
-def count_phrases(longest: int, limit: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def gram_hashes(words: np.ndarray, lang: str, n: int) -> np.ndarray:
+    """Hashes of all runs of n words of a language, from the words' hashes."""
+    out = np.full(max(0, len(words) - n + 1), xxhash.xxh3_64_intdigest(lang.encode()), np.uint64)
+    for k in range(n if len(out) else 0):
+        out = (out ^ (out >> np.uint64(29))) * STEP + words[k:k + len(out)]
+    return mix(out)
+
+
+def gram_slots(n: int, bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = np.empty(batch.num_rows, np.int64)
+            for i, (lang, phrase) in enumerate(zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())):
+                words = np.array([xxhash.xxh3_64_intdigest(w.encode()) for w in phrase.split(" ")], np.uint64)
+                slots[i] = int(gram_hashes(words, lang, n)[0]) % bits
+            yield pa.RecordBatch.from_arrays([pa.array(slots)], names=["slot"])
+    return run
+
+
+def gram_filter(phrases: DataFrame, n: int) -> np.ndarray:
+    """Bitmap of the frequent phrases of n words, 16 bits each as far as FILTER_BITS go."""
+    grams = phrases.filter(F.col("n_words") == n)
+    bits = min(FILTER_BITS, max(1 << 16, 1 << int(16 * grams.count()).bit_length()))
+    slots = grams.select("lang", "phrase").mapInArrow(gram_slots(n, bits), "slot long")
+    words = (slots.groupBy((F.col("slot") / 32).cast("int").alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("bits")).toArrow())
+    out = np.zeros(bits // 32, np.uint32)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out
+
+
+def marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    slots = hashes % np.uint64(32 * len(bitmap))
+    return (bitmap[(slots >> np.uint64(5)).astype(np.int64)] >> (slots & np.uint64(31)).astype(np.uint32)) & np.uint32(1) != 0
+
+
+def count_phrases(size: int, limit: int, shared=None) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Runs of the phrases of up to two words, or with a bitmap of frequent shorter phrases
+    (a broadcast) of those of ``size`` words."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = shared.value if shared else None
         tries: dict[str, Trie] = {}
         vocabulary = {b"\n": 0, b"": -1}
+        hashes = array("Q")  # of the words of ids 1, 2, ...
         totals: Counter = Counter()
 
         def ids_of(text: bytes) -> np.ndarray:
             words = text.replace(b"\n", b" \n ").split(b" ")
             for word in set(words).difference(vocabulary):
                 vocabulary[word] = len(vocabulary) - 1
+                if shared:
+                    hashes.append(xxhash.xxh3_64_intdigest(word))
             ids = np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words))
             return ids[ids >= 0]
 
         def count(lang: str, text: bytes, rest: bytes) -> None:
             ids = ids_of(text)
             n = len(ids)
-            ids = np.concatenate([ids, ids_of(rest), np.zeros(longest, np.int64)])
+            ids = np.concatenate([ids, ids_of(rest), np.zeros(size, np.int64)])
             keys, alive = np.zeros(n, np.int64), np.ones(n, bool)
-            for k in range(longest):
+            for k in range(size):
                 alive &= ids[k:k + n] > 0
                 keys = (keys << np.int64(BITS)) | np.where(alive, ids[k:k + n], 0)
-            keys = np.sort(keys[ids[:n] > 0])
-            totals[lang] += len(keys)
-            tries.setdefault(lang, Trie(longest)).add(keys)
+            if shared:
+                known = np.concatenate([np.zeros(1, np.uint64), np.array(hashes, np.uint64)])
+                frequent = marked(bitmap, gram_hashes(known[ids], lang, size - 1))
+                keys = np.sort(keys[alive & frequent[:n] & frequent[1:n + 1]])
+            else:
+                keys = np.sort(keys[ids[:n] > 0])
+                totals[lang] += len(keys)
+            tries.setdefault(lang, Trie(size)).add(keys)
 
         def spilled(keep: int) -> Iterator[pa.RecordBatch]:
             """Until every language has at most ``keep`` entries."""
             names = pa.array([w for w, i in vocabulary.items() if i > 0], pa.binary())
             for lang, trie in tries.items():
                 if trie.total > keep:
-                    yield from sorted_run(lang, *trie.spill(keep), names, longest)
+                    yield from sorted_run(lang, *trie.spill(keep), names, size, size if shared else 1)
             if not keep:
                 tries.clear()
 
@@ -209,12 +265,13 @@ def count_phrases(longest: int, limit: int) -> Callable[[Iterable[pa.RecordBatch
             for lang, text in zip(table.column("lang").to_pylist(), utf8(table)):
                 grouped[lang].append(text)
             for lang, held in grouped.items():
-                for part, rest in parts_of(b"\n".join(held).translate(PIECES), longest):
+                for part, rest in parts_of(b"\n".join(held).translate(PIECES), size):
                     count(lang, part, rest)
                     if len(vocabulary) > VOCABULARY:
                         yield from spilled(0)
                         vocabulary.clear()
                         vocabulary.update({b"\n": 0, b"": -1})
+                        del hashes[:]
                     elif sum(t.total for t in tries.values()) > limit:
                         yield from spilled(limit // (2 * len(tries)))
         yield from spilled(0)
@@ -225,9 +282,10 @@ def count_phrases(longest: int, limit: int) -> Callable[[Iterable[pa.RecordBatch
     return run
 
 
-def sorted_run(lang: str, keys: np.ndarray, counts: np.ndarray, names: pa.Array, longest: int) -> Iterator[pa.RecordBatch]:
-    """The phrases of some subtrees, all their beginnings included, by length and in order."""
-    for ids, total in beginnings(keys, counts, longest):
+def sorted_run(lang: str, keys: np.ndarray, counts: np.ndarray, names: pa.Array, longest: int,
+               shortest: int) -> Iterator[pa.RecordBatch]:
+    """The phrases of some subtrees and their beginnings, by length and in order."""
+    for ids, total in beginnings(keys, counts, longest, shortest):
         for at in range(0, len(total), RUN_ROWS):
             words = [names.take(pa.array(x[at:at + RUN_ROWS] - 1)) for x in ids]
             phrase = (pc.binary_join_element_wise(*words, b" ") if len(words) > 1 else words[0]).cast(pa.string())
@@ -268,16 +326,24 @@ def phrase_counts(docs: DataFrame, longest: int, least: int, limit: int = LIMIT)
     and per language an empty phrase of 0 words whose n counts all words."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    runs = staged(rows.mapInArrow(count_phrases(longest, limit), RUN), "phrase_runs")
-    dealt = runs.repartitionByRange("phrase", "lang").sortWithinPartitions("phrase", "lang")
-    return staged(dealt.mapInArrow(merge_sorted(least), RUN), "phrases")
+
+    def merged(size: int, shared=None) -> DataFrame:
+        runs = staged(rows.mapInArrow(count_phrases(size, limit, shared), RUN), "phrase_runs")
+        dealt = runs.repartitionByRange("phrase", "lang").sortWithinPartitions("phrase", "lang")
+        return staged(dealt.mapInArrow(merge_sorted(least), RUN), "phrases")
+
+    counts = part = merged(2)
+    for size in range(3, longest + 1):
+        part = merged(size, docs.sparkSession.sparkContext.broadcast(gram_filter(part, size - 1)))
+        counts = counts.union(part)
+    return counts
 
 
 def collocations(docs: DataFrame, shortest: int = SHORTEST, longest: int = LONGEST, min_count: int = MIN_COUNT,
                  top: int = TOP, cover_percent: int = COVER_PERCENT, limit: int = LIMIT) -> DataFrame:
     """Per language the ``top`` phrases: lang, rank, phrase, a, l, r, n, score."""
-    if not 2 <= shortest <= longest <= 4:
-        raise ValueError("phrases have 2 to 4 words")
+    if not 2 <= shortest <= longest <= 3:
+        raise ValueError("phrases have 2 or 3 words")
     ready(docs.sparkSession)
     counts = phrase_counts(docs, longest, min_count, limit)
     known = counts.filter("n_words > 0")
