@@ -12,9 +12,9 @@ blanks into words. Everything is counted per language.
 2. Spilling. When the tries hold LIMIT entries, their largest subtrees are written out as
    sorted runs, (language, phrase, count) each, until half of it is free; at the end of the
    input all of it is. The runs of all tasks are files in the shared folder.
-3. Merging. Runs are dealt to partitions by ranges of (phrase, language) - prefixes, split
-   finer where many phrases share one -, sorted there, and neighbouring equal phrases are
-   summed in one pass over the sorted rows. A phrase has one row per run, however frequent.
+3. Merging. Runs are dealt to partitions by ranges of phrases - prefixes, split finer where
+   many phrases share one -, sorted there, and neighbouring equal phrases (of one language)
+   are summed in one pass over the sorted rows. A phrase has one row per run, however frequent.
 4. Longer phrases. A phrase of three words can only be frequent if both of its pairs are.
    Frequent pairs are marked in a bitmap of at most FILTER_BITS (a wrong mark costs time,
    nothing else), and a second scan counts, spills and merges the phrases whose pairs are
@@ -46,9 +46,9 @@ from .common import LOWER, blocks, mix, ready, staged, utf8
 
 SHORTEST, LONGEST, MIN_COUNT, TOP, COVER_PERCENT = 2, 3, 10, 2000, 50
 #: Entries of a container before it bursts, of a task's trie before it spills, and words it knows.
-BURST, LIMIT, VOCABULARY = 32_768, 600_000, 300_000
+BURST, LIMIT, VOCABULARY = 32_768, 1_200_000, 600_000
 #: Bytes of text that are counted at once.
-SLICE = 1 << 20
+SLICE = 1 << 21
 #: Rows of one record batch of a run.
 RUN_ROWS = 1 << 16
 #: Parts of a language whose best phrases are found on their own first.
@@ -64,8 +64,10 @@ FILTER_BITS = 1 << 26
 #: Bits of a key that a node branches on, and its branches.
 DIGIT = 7
 FAN = 1 << DIGIT
-assert VOCABULARY + SLICE < MASK
-RUN = "lang string, phrase string, n_words int, n long"
+# A part of 2 SLICE bytes has fewer distinct words than this.
+assert VOCABULARY + (1 << 16) + SLICE // 2 < MASK
+#: Rows of a run: the phrase, a line end and the language; the totals have no phrase.
+RUN = "phrase string, n long"
 
 
 class Trie:
@@ -226,12 +228,14 @@ def count_phrases(size: int, limit: int, shared=None) -> Callable[[Iterable[pa.R
         totals: Counter = Counter()
 
         def ids_of(text: bytes) -> np.ndarray:
-            words = text.replace(b"\n", b" \n ").split(b" ")
-            for word in set(words).difference(vocabulary):
-                vocabulary[word] = len(vocabulary) - 1
-                if shared:
-                    hashes.append(xxhash.xxh3_64_intdigest(word))
-            ids = np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words))
+            words = pc.split_pattern(pa.array([text.replace(b"\n", b" \n ")], pa.string()), " ").flatten().dictionary_encode()
+            found = words.dictionary.cast(pa.binary()).to_pylist()
+            for word in found:
+                if word not in vocabulary:
+                    vocabulary[word] = len(vocabulary) - 1
+                    if shared:
+                        hashes.append(xxhash.xxh3_64_intdigest(word))
+            ids = np.fromiter(map(vocabulary.__getitem__, found), np.int64, len(found))[words.indices.to_numpy()]
             return ids[ids >= 0]
 
         def count(lang: str, text: bytes, rest: bytes) -> None:
@@ -260,7 +264,7 @@ def count_phrases(size: int, limit: int, shared=None) -> Callable[[Iterable[pa.R
             if not keep:
                 tries.clear()
 
-        for table in blocks(batches, limit=4 * SLICE):
+        for table in blocks(batches, limit=2 * SLICE):
             grouped: dict[str, list[bytes]] = defaultdict(list)
             for lang, text in zip(table.column("lang").to_pylist(), utf8(table)):
                 grouped[lang].append(text)
@@ -275,10 +279,8 @@ def count_phrases(size: int, limit: int, shared=None) -> Callable[[Iterable[pa.R
                     elif sum(t.total for t in tries.values()) > limit:
                         yield from spilled(limit // (2 * len(tries)))
         yield from spilled(0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(totals), pa.string()), pa.array([""] * len(totals), pa.string()),
-             pa.array([0] * len(totals), pa.int32()), pa.array(list(totals.values()), pa.int64())],
-            names=["lang", "phrase", "n_words", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([f"\n{lang}" for lang in totals], pa.string()),
+                                          pa.array(list(totals.values()), pa.int64())], names=["phrase", "n"])
     return run
 
 
@@ -288,12 +290,11 @@ def sorted_run(lang: str, keys: np.ndarray, counts: np.ndarray, names: pa.Array,
     for ids, total in beginnings(keys, counts, longest, shortest):
         for at in range(0, len(total), RUN_ROWS):
             words = [names.take(pa.array(x[at:at + RUN_ROWS] - 1)) for x in ids]
-            phrase = (pc.binary_join_element_wise(*words, b" ") if len(words) > 1 else words[0]).cast(pa.string())
+            phrase = pc.binary_join_element_wise(*words, b" ") if len(words) > 1 else words[0]
+            phrase = pc.binary_join_element_wise(phrase, lang.encode(), b"\n").cast(pa.string())
             order = pc.sort_indices(phrase)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(phrase), pa.string()), phrase.take(order),
-                 pa.array(np.full(len(phrase), len(ids), np.int32)), pa.array(total[at:at + RUN_ROWS]).take(order)],
-                names=["lang", "phrase", "n_words", "n"])
+            yield pa.RecordBatch.from_arrays([phrase.take(order), pa.array(total[at:at + RUN_ROWS]).take(order)],
+                                             names=["phrase", "n"])
 
 
 def merge_sorted(least: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -305,19 +306,19 @@ def merge_sorted(least: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa
                 continue
             table = pa.Table.from_batches([batch])
             table = (pa.concat_tables([held, table]) if held is not None else table).combine_chunks()
-            lang, phrase = table.column("lang").chunk(0), table.column("phrase").chunk(0)
+            phrase = table.column("phrase").chunk(0)
             new = np.ones(len(phrase), bool)
-            new[1:] = pc.or_(pc.not_equal(phrase[1:], phrase[:-1]), pc.not_equal(lang[1:], lang[:-1])).to_numpy(zero_copy_only=False)
+            new[1:] = pc.not_equal(phrase[1:], phrase[:-1]).to_numpy(zero_copy_only=False)
             start = np.flatnonzero(new)
             total = np.add.reduceat(table.column("n").to_numpy(), start)
-            summed = table.take(pa.array(start)).set_column(3, "n", pa.array(total))
+            summed = table.take(pa.array(start)).set_column(1, "n", pa.array(total))
             held = summed.slice(summed.num_rows - 1).combine_chunks()
             yield from frequent(summed.slice(0, summed.num_rows - 1))
         if held is not None:
             yield from frequent(held)
 
     def frequent(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        yield from rows.filter(pc.or_(pc.greater_equal(rows.column("n"), least), pc.equal(rows.column("n_words"), 0))).to_batches()
+        yield from rows.filter(pc.or_(pc.greater_equal(rows.column("n"), least), pc.starts_with(rows.column("phrase"), "\n"))).to_batches()
     return run
 
 
@@ -329,8 +330,11 @@ def phrase_counts(docs: DataFrame, longest: int, least: int, limit: int = LIMIT)
 
     def merged(size: int, shared=None) -> DataFrame:
         runs = staged(rows.mapInArrow(count_phrases(size, limit, shared), RUN), "phrase_runs")
-        dealt = runs.repartitionByRange("phrase", "lang").sortWithinPartitions("phrase", "lang")
-        return staged(dealt.mapInArrow(merge_sorted(least), RUN), "phrases")
+        dealt = runs.repartitionByRange("phrase").sortWithinPartitions("phrase")
+        phrase = F.substring_index("phrase", "\n", 1)
+        return staged(dealt.mapInArrow(merge_sorted(least), RUN).select(
+            F.col("phrase").substr(F.length(phrase) + 2, F.length("phrase")).alias("lang"), phrase.alias("phrase"),
+            F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " "))).alias("n_words"), "n"), "phrases")
 
     counts = part = merged(2)
     for size in range(3, longest + 1):

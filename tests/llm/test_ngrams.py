@@ -214,7 +214,7 @@ def test_collocations_match_brute_force(spark, monkeypatch, longest, burst, limi
 def test_scores_are_exact_beyond_64_bits(spark, monkeypatch):
     a, left, right = 3 * 10 ** 12 + 7, 4 * 10 ** 12 + 1, 5 * 10 ** 12 + 3
     counts = spark.createDataFrame([("en", "x y", 2, a), ("en", "x", 1, left), ("en", "y", 1, right), ("en", "", 0, 10 ** 13)],
-                                   collocations.RUN)
+                                   "lang string, phrase string, n_words int, n long")
     monkeypatch.setattr(collocations, "phrase_counts", lambda *_: counts)
     row = collocations.collocations(spark.createDataFrame([("en", "x")], "lang string, text string")).first()
     assert tuple(row) == ("en", 1, "x y", a, left, right, 10 ** 13, 10 ** 6 * a * a // (left * right))
