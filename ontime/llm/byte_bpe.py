@@ -39,10 +39,12 @@ from .common import blocks, ragged, ready, texts, utf8
 BUCKETS = 1 << 15
 NO_RANK = 2 ** 31 - 1
 #: A block ends when it has this many distinct words, or words.
-BLOCK_DISTINCT, BLOCK_WORDS = 400_000, 8_000_000
+BLOCK_DISTINCT, BLOCK_WORDS = 400_000, 4_000_000
+#: Ids in one record batch of the result, about.
+BATCH_IDS = 1 << 20
 #: Bytes of text that are cut at once.
 SLICE_BYTES = 2 << 20
-BLOCK = "doc_ids array<long>, counts array<int>, places binary, words array<binary>"
+BLOCK = "doc_ids array<long>, texts array<int>, counts array<int>, places binary, words array<binary>"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"
 
 
@@ -114,28 +116,32 @@ def cut(pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Record
 
         words_of = regex.compile(pattern).findall
         vocabulary: dict[str, int] = {}
-        ids, counts, places, size = [], [], [], 0
+        ids, text_of, counts, places, size = [], [], [], [], 0
+        last = None  # neighbouring rows of one text, as mixing makes them, share its words
 
         def block() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([ids], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int32())),
+                [pa.array([ids], pa.list_(pa.int64())), pa.array([text_of], pa.list_(pa.int32())), pa.array([counts], pa.list_(pa.int32())),
                  pa.array([b"".join(places)], pa.binary()),
                  pa.array([[w.encode() for w in vocabulary]], pa.list_(pa.binary()))],
-                names=["doc_ids", "counts", "places", "words"])
+                names=["doc_ids", "texts", "counts", "places", "words"])
 
         for table in blocks(batches, limit=SLICE_BYTES):
             for doc, text in zip(table.column("doc_id").to_pylist(), table.column("text").to_pylist()):
-                words = words_of(text)
-                for word in set(words).difference(vocabulary):
-                    vocabulary[word] = len(vocabulary)
+                if text != last or not ids:
+                    words = words_of(text)
+                    for word in set(words).difference(vocabulary):
+                        vocabulary[word] = len(vocabulary)
+                    counts.append(len(words))
+                    places.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)).tobytes())
+                    size += len(words)
+                    last = text
                 ids.append(doc)
-                counts.append(len(words))
-                places.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)).tobytes())
-                size += len(words)
+                text_of.append(len(counts) - 1)
             if len(vocabulary) >= BLOCK_DISTINCT or size >= BLOCK_WORDS:
                 yield block()
                 vocabulary = {}
-                ids, counts, places, size = [], [], [], 0
+                ids, text_of, counts, places, size = [], [], [], [], 0
         if ids:
             yield block()
     return run
@@ -154,21 +160,27 @@ def assemble(pieces: list[bytes], keep_ids: bool) -> Callable[[Iterable[pa.Recor
                 start = np.cumsum(lengths) - lengths
                 places = np.frombuffer(row.column("places")[0].as_py(), np.int32)
                 ends = np.cumsum(row.column("counts").flatten().to_numpy(zero_copy_only=False))
-                out, at = [], 0
-                for end in ends.tolist():
-                    words = places[at:end]
-                    at = end
-                    run_of, offset = ragged(lengths[words])
-                    ids = flat[start[words][run_of] + offset].astype("<u4") if len(words) else np.empty(0, "<u4")
-                    decoded = b"".join(map(pieces.__getitem__, ids.tolist()))
-                    out.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest(),
-                                ids.astype(np.int32) if keep_ids else None))
-                if out:
-                    n, i, d, ids = zip(*out)
-                    yield pa.RecordBatch.from_arrays(
-                        [row.column("doc_ids").flatten(), pa.array(n, pa.int64()), pa.array(i), pa.array(d),
-                         pa.array(ids, pa.list_(pa.int32()))],
-                        names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+                docs, text_of = row.column("doc_ids").flatten(), row.column("texts").flatten().to_numpy(zero_copy_only=False)
+                begin = np.concatenate([[0], ends])
+                out, done, held, known = [], 0, 0, None
+                for doc, text in enumerate(text_of.tolist()):
+                    if known != text:
+                        words = places[begin[text]:begin[text + 1]]
+                        run_of, offset = ragged(lengths[words])
+                        ids = flat[start[words][run_of] + offset].astype("<u4") if len(words) else np.empty(0, "<u4")
+                        decoded = b"".join(map(pieces.__getitem__, ids.tolist()))
+                        found = (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest(),
+                                 ids.astype(np.int32) if keep_ids else None)
+                        known = text
+                    out.append(found)
+                    held += found[0]
+                    if held >= BATCH_IDS or doc + 1 == len(text_of):
+                        n, i, d, ids_of = zip(*out)
+                        yield pa.RecordBatch.from_arrays(
+                            [docs.slice(done, len(out)), pa.array(n, pa.int64()), pa.array(i), pa.array(d),
+                             pa.array(ids_of, pa.list_(pa.int32()))],
+                            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+                        out, done, held = [], doc + 1, 0
     return run
 
 
@@ -185,7 +197,7 @@ def byte_bpe(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bool = Fal
     # explode of one element makes the literal a column; subqueries cannot stand in lambdas.
     with_ranks = cut_up.select("*", F.explode(F.array(literal)).alias("ranks"))
     encoded = with_ranks.select(
-        "doc_ids", "counts", "places",
+        "doc_ids", "texts", "counts", "places",
         F.transform("words", lambda w: encode_word(w, F.col("ranks"))).alias("ids"))
     rows = encoded.mapInArrow(assemble(pieces, keep_ids), SCHEMA)
     return rows if keep_ids else rows.drop("ids")

@@ -72,11 +72,13 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with their own columns (for pipelines)."""
-    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("key_id"),
-           F.col("doc_id").isNull().alias("key_null")]
-    kept = exact_dedup(docs).filter("kept").select(*key).distinct()
-    order = Window.partitionBy("key_id", "key_null", F.xxhash64("text"), F.sha2("text", 256)).orderBy("key_id")
-    return (docs.select("*", *key).join(kept, ["key_id", "key_null"], "left_semi")
-            .withColumn("place", F.row_number().over(order))
-            .filter("place = 1").select(*docs.columns))
+    """The documents that stay, with their own columns (for pipelines). The rows travel as one
+    struct, so that no column of theirs can clash with the names used here."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).select(
+        "row", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(0)).alias("key_id"), F.col("row.doc_id").isNull().alias("key_null"),
+        F.xxhash64("row.text").alias("hash"), F.sha2("row.text", 256).alias("digest"))
+    kept = exact_dedup(docs).filter("kept").select(
+        F.coalesce("doc_id", F.lit(0)).alias("key_id"), F.col("doc_id").isNull().alias("key_null")).distinct()
+    order = Window.partitionBy("key_id", "key_null", "hash", "digest").orderBy("key_id")
+    return (rows.join(kept, ["key_id", "key_null"], "left_semi").withColumn("place", F.row_number().over(order))
+            .filter("place = 1").select("row.*"))

@@ -40,8 +40,7 @@ WEIGHTS = {"good": 0.85, "low": 0.13, "toxic": 0.02}
 SAMPLE_ROWS = 30_000
 #: Word beginnings that speak for the toxic domain, at most.
 MAX_BEGINNINGS = 64
-#: The ridge; the others belong to the earlier fit of fixed steps, which a test still replays.
-STEPS, RATE, RIDGE, TOLERANCE = 30, 0.9, 1e-3, 1e-6
+RIDGE = 1e-3
 #: The fit ends when no domain total is off by more than this share of all tokens, else it fails.
 GAP, NEWTON_STEPS = 1e-9, 200
 #: Buckets of every feature of the classifier.

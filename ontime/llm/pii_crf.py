@@ -30,7 +30,6 @@ from .common import blocks, ready, texts
 
 KINDS = ("email", "ip", "card", "phone")
 #: Base patterns (fixed values); e-mail is anchored at its ``@``.
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
@@ -88,7 +87,9 @@ def base_spans(text: str) -> list[Span]:
             after = found.end()
         at = text.find("@", max(at + 1, after))
     for m in IP.finditer(text):
-        if all(int(p) <= 255 for p in m.group().split(".")):
+        # Parts may be longer than int() takes.
+        parts = [p.lstrip("0") or "0" for p in m.group().split(".")]
+        if all(len(p) <= 3 and int(p) <= 255 for p in parts):
             out.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")

@@ -224,3 +224,20 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = texts(docs).mapInArrow(score(entries, w), "doc_id long, score double, n_entries int")
     return rows.select("doc_id", F.coalesce(fold(F.col("doc_id"), HELD_FOLD) == 1, F.lit(False)).alias("held_out"),
                        "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_entries")
+
+
+def clean(entries: list[str], w: np.ndarray) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voters = Voters(entries)
+        for table in blocks(batches):
+            votes = voters.block([t or "" for t in table.column("text").to_pylist()])
+            p = 1 / (1 + np.exp(-np.clip(votes @ w[:-1] + w[-1], -30, 30))) if entries else np.zeros(len(votes))
+            yield from table.filter(pa.array(p < THRESHOLD)).to_batches()
+    return run
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows whose text is not rejected, with their own columns (for pipelines): each row is
+    judged by its own text, whatever its id."""
+    ready(docs.sparkSession)
+    return docs.mapInArrow(clean(*train(docs, labels)), docs.schema)

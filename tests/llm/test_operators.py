@@ -266,23 +266,19 @@ def test_toxicity_on_held_out_rows(spark):
     assert all((r.score >= 0.7) == bool(r.predicted) for r in out)
 
 
-def test_mixing_matches_numpy_and_targets(spark, small, small_labels):
+def test_mixing_end_to_end_reaches_the_minimum(spark, small, small_labels):
     out = mixing.mixing(small, small_labels).collect()
     p = np.array([[r.p_good, r.p_low, r.p_toxic] for r in out])
-    t = np.array([r.n_tokens for r in out], float)
-    assert np.allclose(p.sum(1), 1, atol=1e-6)
+    t, rate = np.array([r.n_tokens for r in out], float), np.array([r.rate for r in out])
+    assert np.allclose(p.sum(1), 1, atol=1e-6) and (rate >= 0).all()
     weights = np.array([mixing.WEIGHTS[d] for d in mixing.DOMAINS])
     target = t.sum() * weights / weights.sum()
-    rate = np.ones(len(t))
-    for _ in range(mixing.STEPS):
-        step = ((rate * t) @ p - target) / target
-        before, rate = rate, np.maximum(0, rate - mixing.RATE * (p @ step + mixing.RIDGE * (rate - 1)))
-        if np.abs((rate * t) @ p - (before * t) @ p).max() <= mixing.TOLERANCE * t.sum():
-            break
-    assert np.allclose(rate, [r.rate for r in out], atol=1e-6)
-    reached = (rate * t) @ p / t.sum()
-    assert np.abs(reached - weights).sum() < np.abs(t @ p / t.sum() - weights).sum() / 3
-    assert all(r.copies in (math.floor(r.rate), math.floor(r.rate) + 1) for r in out)
+    slope = p @ (((rate * t) @ p - target) / target) + mixing.RIDGE * (rate - 1)
+    # Zero slope where a rate is free, none that pulls a rate of zero up: the only minimum.
+    assert np.abs(np.where(rate > 0, slope, np.minimum(slope, 0))).max() < 1e-6
+    assert np.abs((rate * t) @ p - target).max() < 0.02 * t.sum()
+    assert all(r.copies in (int(r.rate), int(r.rate) + 1) for r in out)
+
 
 
 def test_spans_of_windows():
