@@ -11,13 +11,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ontime.llm import toxicity
 from ontime.llm.byte_bpe import byte_bpe
 from ontime.llm.common import documents, labels, staged
 from ontime.llm.exact_dedup import keep_first
 from ontime.llm.jaccard_join import jaccard_join
 from ontime.llm.mixing import mixing, rounded
 from ontime.llm.registry import RANKS
-from ontime.llm.toxicity import toxicity
 
 
 #: Smallest rate of a document in the mixing stage: the rates are multiplied by its inverse at most.
@@ -25,12 +25,8 @@ LEAST_RATE = 0.25
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier does not reject. A null id is scored with all
-    other null ids and kept unless every one of them is rejected."""
-    scores = toxicity(docs, labels(spark, sf_dir))
-    kept = scores.filter("predicted = 0").select("doc_id").distinct()
-    rejected = scores.filter("predicted = 1").join(kept, "doc_id", "left_anti").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    """Rows that the toxicity classifier does not reject, each by its own text."""
+    return toxicity.drop_toxic(docs, labels(spark, sf_dir))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +47,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rates = staged(mixing(docs, labels(spark, sf_dir), least=LEAST_RATE), "mixing_rates")
     smallest = rates.agg(F.min("rate")).first()[0]
     copies = (rates.withColumn("copies", rounded(F.col("rate") / F.lit(smallest))).filter("copies > 1")
-              .groupBy("doc_id").agg(F.max("copies").alias("copies")))
-    return (docs.join(copies, "doc_id", "left")
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1)))))
-            .select(*docs.columns))
+              .groupBy(F.col("doc_id").alias("key_id")).agg(F.max("copies").alias("n_copies")))
+    # The rows travel as one struct, so that no column of theirs can clash with these. Copies
+    # of a row stay neighbours, and the next stage tokenizes neighbours of one text once.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("key_id"))
+    return (rows.join(copies, "key_id", "left")
+            .select("row", F.explode(F.sequence(F.lit(1), F.coalesce("n_copies", F.lit(1)))).alias("nth")).select("row.*"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
