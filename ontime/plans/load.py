@@ -10,13 +10,15 @@ from ..sources.lake import (read_flights_table, read_lake, register_flights_tabl
 
 
 def load(spark: SparkSession, lake_path: str, table_path: str, table_name: str | None = None,
-         fmt: str = "parquet", compute_stats: bool = True) -> DataFrame:
+         fmt: str = "parquet", compute_stats: bool = True, shuffle: bool = False) -> DataFrame:
     """Type the lake and store it as the flights table; return the stored table.
 
+    The lake is Parquet or CSV, in day folders or as day files in month folders. ``shuffle``
+    brings the rows of a month together first; without it every task writes the months it read.
     With ``table_name`` the table is also declared in the catalog with its partitions
     and statistics (``ANALYZE TABLE``), so SQL users can query it by name.
     """
-    write_flights_table(type_flights(read_lake(spark, lake_path, fmt)), table_path, shuffle=False)
+    write_flights_table(type_flights(read_lake(spark, lake_path, fmt)), table_path, shuffle)
     if table_name:
         return register_flights_table(spark, table_name, table_path, compute_stats)
     return read_flights_table(spark, table_path)

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import INT_FIELDS, SELECTED_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS, built_once, scratch_path
-from ..sinks.lake import lake_rows, write_lake
+from ..sinks.lake import lake_rows, write_day_files, write_lake, write_lines
 from ..sinks.replay import replay
 from ..sources.archives import BAD_BYTE, CUT_SHORT, write_archives, write_broken_archives
-from ..sources.lake import month_statistics, read_delimited_flights
+from ..sources.lake import lake_bad_records, month_statistics, read_delimited_flights
 from ..sources.streams import file_stream
 from ..sources.testdata import stored_flights
 from ..streaming.aggregates import AGGREGATES
@@ -88,13 +88,57 @@ def csv_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def scan_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = read_delimited_flights(spark, csv_files(spark, sf_dir))
+    return _scan_summary(read_delimited_flights(spark, csv_files(spark, sf_dir)))
+
+
+def _scan_summary(table: DataFrame) -> DataFrame:
     return table.groupBy(F.col("Yeard").alias("year"), F.col("Monthd").alias("month")).agg(
         F.count(F.lit(1)).alias("n_flights"), F.sum("ArrDelay").alias("arr_delay_sum"),
         F.count_distinct("Origin", "Dest").alias("n_routes"), F.max("UniqueCarrier").alias("last_carrier"),
         F.min("DepTime").alias("first_departure"))
 
 
+#: Small ranges, so that the files of the registered queries are split as large ones are.
+SMALL_SPLIT = 1 << 20
+
+
+def scan_csv_split_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scan_summary(read_delimited_flights(spark, csv_files(spark, sf_dir), SMALL_SPLIT))
+
+
+def day_file_lake(spark: SparkSession, sf_dir: str) -> str:
+    """The flights as one CSV file per day in month folders."""
+    def build(base: str) -> None:
+        text = lake_rows(stored_flights(spark, sf_dir))
+        write_day_files(text, f"{base}/lake").write.parquet(f"{base}/files")
+
+    return f"{built_once(spark, sf_dir, 'day_file_lake', build)}/lake"
+
+
+def load_day_files_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = load(spark, day_file_lake(spark, sf_dir), scratch_path(spark, "flights_table"), fmt="csv", shuffle=True)
+    return _scan_summary(table)
+
+
+def replay_day_files_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay(spark, day_file_lake(spark, sf_dir), TOPICS, out_path=scratch_path(spark, "messages"), fmt="csv")
+
+
+def csv_bad_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that a scan of damaged CSV files leaves out, by month folder and reason."""
+    def build(base: str) -> None:
+        text = lake_rows(stored_flights(spark, sf_dir))
+        # A cut record has its first nine fields only.
+        fields = F.when(F.expr(SHORT), F.concat_ws(",", *SELECTED_FIELDS[:9])).otherwise(F.concat_ws(",", *SELECTED_FIELDS))
+        path = F.concat_ws("/", F.lit(f"{base}/lake"), "Yeard", "Monthd", F.lit("flights.csv"))
+        write_lines(text.select(path.alias("path"), fields.alias("line")), ",".join(SELECTED_FIELDS)).write.parquet(f"{base}/files")
+
+    path = f"{built_once(spark, sf_dir, 'damaged_csv', build)}/lake"
+    bad = lake_bad_records(spark, path, SMALL_SPLIT)
+    return bad.groupBy(F.col("Yeard").cast("int").alias("year"), F.col("Monthd").cast("int").alias("month"), "reason").agg(
+        F.count(F.lit(1)).alias("n_records"))
+
+
 def csv_stream_job(name: str):
     fn = AGGREGATES[name][0]
 
@@ -127,7 +171,8 @@ def load_stats_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline_jobs() -> dict:
     return {"ing": ingest_job, "load": load_job, "ing_manifest": ingest_manifest_job,
             "ing_quarantine": ingest_quarantine_job, "scan_csv": scan_csv_job, "replay_csv": replay_csv_job,
-            "load_stats": load_stats_job, **{f"s{n}_csv": csv_stream_job(n) for n in AGGREGATES}}
+            "load_stats": load_stats_job, "scan_csv_split": scan_csv_split_job, "csv_bad": csv_bad_job,
+            "load_day_files": load_day_files_job, "replay_day_files": replay_day_files_job, **{f"s{n}_csv": csv_stream_job(n) for n in AGGREGATES}}
 
 
 def pipeline_oracles(flights_cte: str) -> dict[str, str]:
@@ -141,14 +186,18 @@ def pipeline_oracles(flights_cte: str) -> dict[str, str]:
     number = "CAST(FlightNum AS BIGINT)"
     short, bad, no_day = (x.replace("FlightNum", number) for x in (SHORT, BAD, NO_DAY))
     streams = stream_oracles(f)
+    scan = f + """SELECT Yeard AS year, Monthd AS month, count(*) AS n_flights, sum(ArrDelay) AS arr_delay_sum,
+  count(DISTINCT Origin || '>' || Dest) AS n_routes, max(UniqueCarrier) AS last_carrier,
+  min(coalesce(DepTime, '')) AS first_departure
+FROM flights GROUP BY Yeard, Monthd"""
     return {
         **{f"s{n}_csv": streams[f"k{n}"] for n in AGGREGATES},
         "replay_csv": streams["replay"],
+        "replay_day_files": streams["replay"],
+        **dict.fromkeys(["scan_csv_split", "load_day_files", "scan_csv"], scan),
+        "csv_bad": f + f"""SELECT Yeard AS year, Monthd AS month, 'malformed record' AS reason, count(*) AS n_records
+FROM flights WHERE {short} GROUP BY Yeard, Monthd""",
         "load_stats": f + "SELECT Yeard, Monthd, count(*) AS n_rows FROM flights GROUP BY Yeard, Monthd",
-        "scan_csv": f + """SELECT Yeard AS year, Monthd AS month, count(*) AS n_flights, sum(ArrDelay) AS arr_delay_sum,
-  count(DISTINCT Origin || '>' || Dest) AS n_routes, max(UniqueCarrier) AS last_carrier,
-  min(coalesce(DepTime, '')) AS first_departure
-FROM flights GROUP BY Yeard, Monthd""",
         "ing_manifest": f + f"""SELECT 'OK' AS status, 0 AS errors, count(*) AS n_read,
   count(*) FILTER (NOT ({short} OR {bad} OR {no_day})) AS n_kept,
   count(*) FILTER ({short} OR {bad} OR {no_day}) AS n_skipped,

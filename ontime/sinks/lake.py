@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import LAKE_PARTITIONS, SELECTED_FIELDS
+from ..config import LAKE_PARTITIONS, SELECTED_FIELDS, ship_package
 from ..functions import keep_string
 
 
@@ -48,3 +53,51 @@ def write_lake(rows: DataFrame, path: str, fmt: str = "parquet", shuffle: bool =
     if fmt == "csv":
         writer = writer.option("header", True).option("emptyValue", "")
     writer.format(fmt).save(path)
+
+
+def write_day_files(rows: DataFrame, path: str) -> DataFrame:
+    """The lake as one headered CSV file per day, ``YYYY/MM/YYYY_MM_DD.csv``, for consumers of
+    that layout. Returns (path, rows) of the files."""
+    if "Dayd" not in rows.columns:
+        rows = lake_rows(rows)
+    quoted = [F.when(F.col(c).rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')))
+              .otherwise(F.coalesce(F.col(c), F.lit(""))) for c in SELECTED_FIELDS]
+    keys = [F.coalesce(F.col(k), F.lit("unknown")) for k in LAKE_PARTITIONS]
+    name = F.concat(F.concat_ws("/", F.lit(path.rstrip("/")), keys[0], keys[1], F.concat_ws("_", *keys)), F.lit(".csv"))
+    lines = rows.select(name.alias("path"), F.concat_ws(",", *quoted).alias("line"))
+    return write_lines(lines, ",".join(SELECTED_FIELDS))
+
+
+def write_lines(lines: DataFrame, header: str) -> DataFrame:
+    """Text files of the lines (path, line), each after the header; returns (path, rows).
+
+    Lines are dealt by path and sorted by it inside a task, which streams one file after the
+    other, so memory does not grow with a file. A retried task writes the same files."""
+    ship_package(lines.sparkSession)
+    return lines.repartition("path").sortWithinPartitions("path").mapInArrow(_write_lines(header), "path string, rows long")
+
+
+def _write_lines(header: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from ..sources.archives import _local_or_uri
+
+        path, out, counts = None, None, {}
+        for batch in batches:
+            paths, rows = batch.column("path").to_pylist(), batch.column("line").to_pylist()
+            for here, group in groupby(zip(paths, rows), key=itemgetter(0)):
+                if here != path:
+                    if out:
+                        out.close()
+                    fs, name = _local_or_uri(here)
+                    fs.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                    path, out = here, fs.open_output_stream(name)
+                    counts[path] = 0
+                    out.write(f"{header}\n".encode())
+                text = [row for _, row in group]
+                out.write("".join(f"{row}\n" for row in text).encode())
+                counts[path] += len(text)
+        if out:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+                                         names=["path", "rows"])
+    return run

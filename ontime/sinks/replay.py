@@ -7,26 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import SELECTED_FIELDS
+from ..config import SELECTED_FIELDS, scratch_path
 from ..schema import LAKE_PARTITIONED_SCHEMA
 from ..sources.archives import csv_rows, list_files
+from ..sources.lake import position_group
+from ..sources.ranges import SPLIT_BYTES
 
 
-def lake_with_positions(spark: SparkSession, lake_path: str, fmt: str = "parquet") -> DataFrame:
-    """The lake with each row's position within its day, however many files a day has.
+def lake_with_positions(spark: SparkSession, lake_path: str, fmt: str = "parquet",
+                        split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """The lake with each row's position within its day, however many files a day has. Day
+    folders may hold several files of a day; elsewhere every file counts on its own.
 
     A row's position is its index in its file (given by the reader, no window over the rows)
     plus the rows of the day's earlier files, from a table of one row per file.
     """
     if fmt == "csv":
-        df = csv_rows(list_files(spark, lake_path, "*.csv")).select(
-            *SELECTED_FIELDS, F.col("path").alias("_file"), (F.col("record") - 1).alias("_index"))
+        # Staged, so that the counts per file and the messages need one parse of the files.
+        staged = scratch_path(spark, "replay_rows")
+        (csv_rows(list_files(spark, lake_path, "*.csv"), split_bytes)
+         .select(*SELECTED_FIELDS, F.col("path").alias("_file"), (F.col("record") - 1).alias("_index")).write.parquet(staged))
+        df = spark.read.parquet(staged)
     else:
         df = (spark.read.schema(LAKE_PARTITIONED_SCHEMA).parquet(lake_path)
               .select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index")))
-    folder = F.regexp_replace("_file", r"/[^/]+$", "")
     earlier = Window.partitionBy("_day").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = (df.groupBy("_file").agg(F.max("_index").alias("_last")).withColumn("_day", folder)
+    files = (df.groupBy("_file").agg(F.max("_index").alias("_last")).withColumn("_day", position_group(F.col("_file")))
              .select("_file", F.coalesce(F.sum(F.col("_last") + 1).over(earlier), F.lit(0)).alias("_before")))
     return df.join(files, "_file").withColumn("_pos", F.col("_before") + F.col("_index"))
 
@@ -68,12 +74,13 @@ def write_messages(messages: DataFrame, path: str | None = None,
 
 
 def replay(spark: SparkSession, lake_path: str, topics: Sequence[str],
-           out_path: str | None = None, brokers: str | None = None, fmt: str = "parquet") -> DataFrame:
+           out_path: str | None = None, brokers: str | None = None, fmt: str = "parquet",
+           split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Replay the lake; returns the number of messages sent per topic, counted while they
     are written."""
     sent = Observation()
     counts = [F.count_if(F.col("topic") == t).alias(f"n{i}") for i, t in enumerate(topics)]
-    messages = to_messages(lake_with_positions(spark, lake_path, fmt), topics).observe(sent, *counts)
+    messages = to_messages(lake_with_positions(spark, lake_path, fmt, split_bytes), topics).observe(sent, *counts)
     write_messages(messages, out_path, brokers)
     rows = [(t, sent.get.get(f"n{i}", 0)) for i, t in enumerate(topics)]
     return spark.createDataFrame(rows, "topic string, n_messages long").where("n_messages > 0")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..config import SELECTED_FIELDS, ship_package
+from .ranges import SPLIT_BYTES, RangeStream, csv_ranges, dealt
 
 CSV_BLOCK_BYTES = 8 * 1024 * 1024
 OUT_BATCH_ROWS = 65536
@@ -106,7 +107,8 @@ def _decoded(part: pa.Table) -> tuple[np.ndarray, list[str]]:
     return good, [",".join(v.decode(errors="backslashreplace") for v in r.values()) for r in rows]
 
 
-def _member_records(archive: str, member: str | None, stream) -> Iterator[pa.RecordBatch]:
+def _member_records(archive: str, member: str | None, stream, before: int = 0) -> Iterator[pa.RecordBatch]:
+    """Records of one CSV stream, numbered from ``before`` + 1."""
     import pyarrow.csv as pacsv
 
     bad: list[tuple[int | None, str]] = []
@@ -122,7 +124,7 @@ def _member_records(archive: str, member: str | None, stream) -> Iterator[pa.Rec
         column_types={c: pa.binary() for c in SELECTED_FIELDS}, check_utf8=False,
         include_columns=SELECTED_FIELDS, include_missing_columns=False,
         strings_can_be_null=False, quoted_strings_can_be_null=False)
-    n_rows = 0
+    n_rows = before
     counted = _LineCounter(stream)
     try:
         reader = pacsv.open_csv(io.BufferedReader(counted, CSV_BLOCK_BYTES),
@@ -155,7 +157,7 @@ def _member_records(archive: str, member: str | None, stream) -> Iterator[pa.Rec
         n_rows += len(bad)
     # The member row carries the physical line count (header excluded) as its text:
     # blank lines and quoted newlines show up as a difference to the record count.
-    yield _batch(archive, member, "member", [n_rows], [error], [str(max(counted.lines - 1, 0))])
+    yield _batch(archive, member, "member", [n_rows - before], [error], [str(max(counted.lines - 1, 0))])
 
 
 def _archive_records(archive: str) -> Iterator[pa.RecordBatch]:
@@ -188,6 +190,13 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _archive_records(path) if path.lower().endswith(".zip") else _csv_records(path)
 
 
+def _extract_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for r in batch.to_pylist():
+            stream = RangeStream(r["path"], r["start"], r["end"], r["inside"], r["header"])
+            yield from _member_records(r["path"], None, stream, r["before"])
+
+
 def extract_records(files: DataFrame) -> DataFrame:
     """Archives and CSV files (a ``path`` column) -> records: ``kind`` 'row' (18 text columns
     bound by name), 'bad' (malformed or undecodable record, text kept) and one 'member' row
@@ -197,7 +206,16 @@ def extract_records(files: DataFrame) -> DataFrame:
     return files.select("path").mapInArrow(_extract, RECORD_SCHEMA)
 
 
-def csv_rows(files: DataFrame) -> DataFrame:
+def csv_records(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """``extract_records`` of CSV files. Files listed with their length are read in byte
+    ranges, a large range by a task of its own; a stream of files has a task per file."""
+    if files.isStreaming or "length" not in files.columns:
+        return extract_records(files)
+    ship_package(files.sparkSession)
+    return dealt(csv_ranges(files, split_bytes), split_bytes).mapInArrow(_extract_ranges, RECORD_SCHEMA)
+
+
+def csv_rows(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """CSV files (a ``path`` column, batch or stream) -> their path, each record's number in
     its file and the 18 text columns, bound by header name.
 
@@ -207,16 +225,16 @@ def csv_rows(files: DataFrame) -> DataFrame:
     metrics ``csv_records_...`` of the query. ``csv_bad`` returns them."""
     unread = (F.col("kind") == "member") & F.col("reason").isNotNull() & ~F.col("reason").endswith("Empty CSV file")
     message = F.concat(F.lit("CSV file not read to its end: "), "archive", F.lit(": "), "reason")
-    records = extract_records(files).observe(
+    records = csv_records(files, split_bytes).observe(
         f"csv_records_{uuid.uuid4().hex}", F.count_if(F.col("kind") == "row").alias("rows"),
         F.count_if(F.col("kind") == "bad").alias("bad"))
     return records.where(F.when(unread, F.raise_error(message).cast("boolean")).otherwise(F.col("kind") == "row")).select(
         F.col("archive").alias("path"), "record", *SELECTED_FIELDS)
 
 
-def csv_bad(files: DataFrame) -> DataFrame:
+def csv_bad(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """What ``csv_rows`` leaves out: path, record number, reason and text of each record."""
-    return extract_records(files).where("kind = 'bad'").select(F.col("archive").alias("path"), "record", "reason", "text")
+    return csv_records(files, split_bytes).where("kind = 'bad'").select(F.col("archive").alias("path"), "record", "reason", "text")
 
 
 # --- writing archives (test fixtures built from the driver's tables) ----------------

@@ -4,44 +4,73 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import INT_FIELDS, LAKE_PARTITIONS, SELECTED_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS
 from ..functions import keep_string, pad_hhmm, to_int
 from ..schema import FLIGHTS_SCHEMA, LAKE_PARTITIONED_SCHEMA
-from .archives import csv_rows, list_files
+from .archives import csv_bad, csv_rows, list_files
+from .ranges import SPLIT_BYTES
 
 TIME_FIELDS = ["CRSDepTime", "DepTime", "CRSArrTime", "ArrTime"]
 
 
 DAY_FOLDER = r"Yeard=([0-9]{4})/Monthd=([0-9]{2})/Dayd=([0-9]{2})/[^/]+$"
+#: One file per day in month folders, named by its day: ``2008/10/2008_10_05.csv``.
+DAY_FILE = r"/([0-9]{4})/([0-9]{1,2})/[^/]*?([0-9]{4})_([0-9]{1,2})_([0-9]{1,2})[^/0-9]*$"
 
 
-def read_lake(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def day_of_path(path: str = "path") -> tuple[Column, Column, Column]:
+    """Year, month and day that a lake path tells, as zero-padded text: of day folders, of day
+    files in month folders, or of month folders alone (then without a day). Null where it
+    tells none."""
+    def part(pattern: str, group: int, width: int) -> Column:
+        return F.lpad(F.nullif(F.regexp_extract(path, pattern, group), F.lit("")), width, "0")
+
+    return (F.coalesce(part(DAY_FOLDER, 1, 4), part(DAY_FILE, 3, 4), part(MONTH_FOLDER, 1, 4)),
+            F.coalesce(part(DAY_FOLDER, 2, 2), part(DAY_FILE, 4, 2), part(MONTH_FOLDER, 2, 2)),
+            F.coalesce(part(DAY_FOLDER, 3, 2), part(DAY_FILE, 5, 2)))
+
+
+def position_group(path: Column) -> Column:
+    """What positions are counted in: the folder of a day that may have several files, else
+    the file."""
+    return F.when(path.rlike(DAY_FOLDER), F.regexp_replace(path, r"/[^/]+$", "")).otherwise(path)
+
+
+def read_lake(spark: SparkSession, path: str, fmt: str = "parquet", split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """The clean lake as text columns plus its day partitions.
 
-    CSV day files are bound by header name, whatever their column order; empty fields stay
-    ``''``, and the day comes from the folder.
+    CSV files are bound by header name, whatever their column order; empty fields stay ``''``.
+    The day comes from the path, in any layout of ``day_of_path``, and where that tells no
+    day, from the record's own Year, Month and DayofMonth.
     """
     if fmt == "csv":
-        rows = csv_rows(list_files(spark, path, "*.csv"))
-        return rows.select(*SELECTED_FIELDS, *[F.regexp_extract("path", DAY_FOLDER, i + 1).alias(k)
-                                               for i, k in enumerate(LAKE_PARTITIONS)])
+        rows = csv_rows(list_files(spark, path, "*.csv"), split_bytes)
+        own = [F.lpad(F.col(c).try_cast("int").cast("string"), w, "0") for c, w in (("Year", 4), ("Month", 2), ("DayofMonth", 2))]
+        return rows.select(*SELECTED_FIELDS, *(F.coalesce(told, kept).alias(k)
+                                               for told, kept, k in zip(day_of_path(), own, LAKE_PARTITIONS)))
     return spark.read.schema(LAKE_PARTITIONED_SCHEMA).format(fmt).load(path)
 
 
+def lake_bad_records(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """The records of a CSV lake that reading leaves out: path, day keys, record, reason, text."""
+    bad = csv_bad(list_files(spark, path, "*.csv"), split_bytes)
+    return bad.select("path", *(c.alias(k) for c, k in zip(day_of_path(), LAKE_PARTITIONS)), "record", "reason", "text")
+
+
 MONTH_FOLDER = r"/([0-9]{4})/([0-9]{1,2})/[^/]+$"
 
 
-def read_delimited_flights(spark: SparkSession, path: str) -> DataFrame:
+def read_delimited_flights(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Headered CSV files (the fact-table text layout, in any column order), typed.
 
     Files sit in ``.../YYYY/MM/`` folders; as with a registered partition, ``Yeard`` and
     ``Monthd`` are the folder's values, falling back to the Year/Month columns for files
     outside such folders.
     """
-    df = csv_rows(list_files(spark, path, "*.csv"))
+    df = csv_rows(list_files(spark, path, "*.csv"), split_bytes)
     year = F.nullif(F.regexp_extract("path", MONTH_FOLDER, 1), F.lit(""))
     month = F.nullif(F.regexp_extract("path", MONTH_FOLDER, 2), F.lit(""))
     return type_flights(df.withColumn("Yeard", F.coalesce(year, F.col("Year")))
