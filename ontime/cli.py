@@ -30,8 +30,7 @@ from .sinks.replay import replay
 from .sinks.results import read_itineraries, read_result, write_itineraries, write_result
 from .sources.lake import read_flights_table
 from .sources.streams import file_stream, kafka_stream, message_stream, parse_messages, rate_cap
-from .streaming.aggregates import MESSAGE_TRIGGERS
-from .streaming.runner import start_all
+from .streaming.runner import start_all, start_together
 
 log = logging.getLogger("ontime")
 
@@ -99,17 +98,18 @@ def cmd_replay(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> None:
-    triggers = MESSAGE_TRIGGERS if a.brokers or a.messages else None
     if a.brokers:
-        def flights(interval: float):  # noqa: ANN202
-            cap = rate_cap(a.rate, a.partitions, interval) if a.rate else None
-            return parse_messages(kafka_stream(spark, a.brokers, a.topics.split(","), cap))
+        cap = rate_cap(a.rate, a.partitions, 2) if a.rate else None
+        flights = parse_messages(kafka_stream(spark, a.brokers, a.topics.split(","), cap))
     elif a.messages:
         flights = parse_messages(message_stream(spark, a.messages, a.max_files))
     else:
         flights = file_stream(spark, a.files, "csv" if a.csv else "parquet",
                               max_files_per_trigger=a.max_files)
-    start_all(flights, a.checkpoints, show=True, triggers=triggers)
+    if a.brokers or a.messages:  # all measures on one trigger: one read of the input
+        start_together(flights, a.checkpoints)
+    else:
+        start_all(flights, a.checkpoints, show=True)
     spark.streams.awaitAnyTermination()
 
 

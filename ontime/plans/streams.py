@@ -18,7 +18,7 @@ from ..sinks.replay import replay
 from ..sources.streams import file_stream, message_stream, parse_messages
 from ..sources.testdata import flights, stored_flights
 from ..streaming.aggregates import AGGREGATES, report_order
-from ..streaming.runner import report, run_available, start_all
+from ..streaming.runner import read_together, report, run_available, start_together
 
 # --- Replay parameters: the topics messages are spread over ------------------------
 TOPICS = ["flights-t1", "flights-t2", "flights-t3", "flights-t4"]
@@ -105,15 +105,14 @@ def running_together(spark: SparkSession, sf_dir: str) -> str:
     """All three aggregates over the messages of all topics in one application."""
     base = scratch_path(spark, "together")
     messages = message_stream(spark, replayed_messages(spark, sf_dir))
-    for query in start_all(parse_messages(messages), base, show=False, available_now=True):
-        query.awaitTermination()
+    start_together(parse_messages(messages), base, show=False, available_now=True).awaitTermination()
     return base
 
 
 def all_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = running_together(spark, sf_dir)
     values = {"1_1": ("airport", "total_flights"), "1_2": ("airline", "avg_delay"), "1_3": ("weekday", "avg_delay")}
-    parts = [spark.read.parquet(f"{base}/state_{n}").select(
+    parts = [read_together(spark, base, n).select(
         F.lit(n).alias("measure"), F.col(k).alias("key"), F.col(v).cast("double").alias("value"))
         for n, (k, v) in values.items()]
     return parts[0].union(parts[1]).union(parts[2])

@@ -6,11 +6,13 @@ import time
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .aggregates import AGGREGATES, rejected, report_order
+from .aggregates import AGGREGATES, all_measures, measure_of, rejected, report_order
 
 REPORT_ROWS = 10
 
@@ -82,3 +84,41 @@ def start_all(flights: DataFrame | Callable[[float], DataFrame], base_path: str,
             f"{base_path}/state_{name}", report_order(name), show,
             {"availableNow": True} if available_now else {"processingTime": every}))
     return queries
+
+
+def start_together(flights: DataFrame, base_path: str, show: bool = True, every: str = "2 seconds",
+                   available_now: bool = False) -> StreamingQuery:
+    """The three aggregates and the rejected rows as one query with one checkpoint: the input
+    is read and parsed once. Every batch writes the whole (key-bounded) state to
+    one of two folders in turn, so the state of the batch before can be read while one is
+    written. Read it with ``read_together``."""
+    def sink(batch: DataFrame, epoch_id: int) -> None:
+        # Two folders in turn: the one that readers may use is never the one being written.
+        path = f"{base_path}/state/slot={epoch_id % 2}"
+        batch.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite").parquet(path)
+        if show:
+            stamp = time.strftime("%Y-%m-%d %H:%M:%S")
+            state = batch.sparkSession.read.parquet(path)
+            for name in (*AGGREGATES, "rejected"):
+                report(measure_of(state, name), report_order(name), f"{stamp} :: running_{name} :: batch {epoch_id}")
+
+    writer = (all_measures(flights).writeStream.outputMode("complete").foreachBatch(sink)
+              .option("checkpointLocation", f"{base_path}/checkpoint").queryName(f"running_{uuid.uuid4().hex[:8]}"))
+    return writer.trigger(**({"availableNow": True} if available_now else {"processingTime": every})).start()
+
+
+def read_together(spark: SparkSession, base_path: str, name: str) -> DataFrame:
+    """One measure of the newest complete state that ``start_together`` has written."""
+    newest: tuple[int, DataFrame] | None = None
+    for slot in (0, 1):
+        try:
+            state = spark.read.parquet(f"{base_path}/state/slot={slot}")
+            epoch = state.agg(F.max("epoch")).first()[0]
+        except (PySparkException, Py4JJavaError):  # not written yet, or being replaced
+            continue
+        if epoch is not None and (newest is None or epoch > newest[0]):
+            newest = (epoch, state)
+    if newest is None:
+        empty = spark.createDataFrame([], "measure string, key string, sum_delay double, n_rows long")
+        return measure_of(empty, name)
+    return measure_of(newest[1], name)

@@ -101,3 +101,32 @@ def test_rate_cap_per_trigger():
     from ontime.sources.streams import rate_cap
     # 50,000 records/s per partition, 10 partitions, 2 s batches
     assert rate_cap(50_000, 10, 2) == 1_000_000
+
+
+def test_all_measures_in_one_query_with_one_read(spark, workdir):
+    import os
+
+    from ontime.streaming.aggregates import AGGREGATES, rejected
+    from ontime.streaming.runner import read_together, start_together
+
+    schema = "Origin string, Dest string, UniqueCarrier string, DayOfWeek string, ArrDelay string"
+    rows = [("A", "B", "X", "3", "5"), ("A", None, "X", "3", "bad"), (None, "B", None, "4", "2"), (None, "C", "Y", None, None),
+            ("B", "A", "Y", "3", "-4.5")]
+    src, base = os.path.join(workdir, "in"), os.path.join(workdir, "run")
+    spark.createDataFrame(rows[:2], schema).coalesce(1).write.parquet(os.path.join(src, "a"))
+    assert read_together(spark, base, "1_1").count() == 0
+    reads = []
+    for part in (rows[2:], None):
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(src)
+        query = start_together(stream, base, show=False, available_now=True)
+        query.awaitTermination()
+        reads += [p.numInputRows for p in query.recentProgress if p.numInputRows]
+        assert all(len(p.sources) == 1 for p in query.recentProgress)
+        if part:
+            spark.createDataFrame(part, schema).coalesce(1).write.parquet(os.path.join(src, "b"))
+    assert reads == [2, 3]  # every row once, the state carried over the restart
+    whole = spark.createDataFrame(rows, schema)
+    for name, fn in {**{n: a[0] for n, a in AGGREGATES.items()}, "rejected": rejected}.items():
+        expected, got = fn(whole), read_together(spark, base, name)
+        assert got.columns == expected.columns
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
