@@ -1,15 +1,17 @@
 """Byte-level BPE: ranked merges folded by Spark's higher-order functions.
 
-Encoding has three steps, all inside one stage (nothing is shuffled):
+Encoding has four steps:
 
 1. A task cuts its documents into words with the tokenizer's pattern and gathers them in
-   blocks of bounded bytes: the distinct words of the block, and each document as indices
-   into them.
-2. Spark folds each distinct word of a block once. A word starts as an array of one-byte
-   binaries; each step of the fold joins the leftmost neighbouring pair of the smallest
-   rank, looked up in a literal rank map, until no pair has a rank.
-3. The indices are replaced by the words' ids; decoding concatenates the binary pieces of
-   the ids.
+   blocks of bounded size: the distinct words of a block, and each document as indices into
+   them. Both are written to the shared folder as rows.
+2. The words of all blocks are brought together by word, so that Spark folds each distinct
+   word of the corpus once (again only where a word's rows go on in the next batch). A word
+   starts as an array of one-byte binaries; each step of the fold joins the leftmost
+   neighbouring pair of the smallest rank, looked up in a literal rank map, until no pair
+   has a rank. What is shuffled is one row per block and distinct word.
+3. The words' ids go back to their blocks.
+4. The indices are replaced by the ids; decoding concatenates the binary pieces of the ids.
 
 The rank map is a literal (a scalar subquery over the rank file, whose size is that of the
 vocabulary file): an array of small maps chosen by a hash, because a Spark map is searched
@@ -34,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, ragged, ready, texts, utf8
+from .common import blocks, ragged, ready, staged, texts
 
 BUCKETS = 1 << 15
 NO_RANK = 2 ** 31 - 1
@@ -44,7 +46,11 @@ BLOCK_DISTINCT, BLOCK_WORDS = 400_000, 4_000_000
 BATCH_IDS = 1 << 20
 #: Bytes of text that are cut at once.
 SLICE_BYTES = 2 << 20
-BLOCK = "doc_ids array<long>, texts array<int>, counts array<int>, places binary, words array<binary>"
+#: Words in one record batch of a block's words.
+WORD_ROWS = 10_000
+#: Rows of a block: its documents (text: number of the text in the block; places: its words,
+#: null in later rows of the same text) and its words (place, word).
+BLOCK = "block long, doc_id long, text int, places binary, place int, word binary"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"
 
 
@@ -111,76 +117,109 @@ def encode_word(word: Column, literal: Column) -> Column:
 
 
 def cut(pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    names = [field.split()[0] for field in BLOCK.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+
+    def rows(n: int, **columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[name], t) if name in columns else pa.nulls(n, t) for name, t in zip(names, types)], names=names)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
+        from pyspark import TaskContext
 
         words_of = regex.compile(pattern).findall
+        block = TaskContext.get().partitionId() << 33
         vocabulary: dict[str, int] = {}
-        ids, text_of, counts, places, size = [], [], [], [], 0
+        size, text_of = 0, -1
         last = None  # neighbouring rows of one text, as mixing makes them, share its words
-
-        def block() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([ids], pa.list_(pa.int64())), pa.array([text_of], pa.list_(pa.int32())), pa.array([counts], pa.list_(pa.int32())),
-                 pa.array([b"".join(places)], pa.binary()),
-                 pa.array([[w.encode() for w in vocabulary]], pa.list_(pa.binary()))],
-                names=["doc_ids", "texts", "counts", "places", "words"])
-
         for table in blocks(batches, limit=SLICE_BYTES):
-            for doc, text in zip(table.column("doc_id").to_pylist(), table.column("text").to_pylist()):
-                if text != last or not ids:
+            ids, numbers, places = table.column("doc_id").to_pylist(), [], []
+            for text in table.column("text").to_pylist():
+                if text == last:
+                    places.append(None)
+                else:
                     words = words_of(text)
                     for word in set(words).difference(vocabulary):
                         vocabulary[word] = len(vocabulary)
-                    counts.append(len(words))
                     places.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)).tobytes())
-                    size += len(words)
+                    text_of += 1
                     last = text
-                ids.append(doc)
-                text_of.append(len(counts) - 1)
+                size += len(words)
+                numbers.append(text_of)
+            yield rows(len(ids), block=[block] * len(ids), doc_id=ids, text=numbers, places=places)
             if len(vocabulary) >= BLOCK_DISTINCT or size >= BLOCK_WORDS:
-                yield block()
-                vocabulary = {}
-                ids, text_of, counts, places, size = [], [], [], [], 0
-        if ids:
-            yield block()
+                yield from vocabulary_rows(block, vocabulary)
+                block, vocabulary, size, text_of, last = block + 1, {}, 0, -1, None
+        yield from vocabulary_rows(block, vocabulary)
+
+    def vocabulary_rows(block: int, vocabulary: dict[str, int]) -> Iterator[pa.RecordBatch]:
+        words = list(vocabulary)
+        for at in range(0, len(words), WORD_ROWS):
+            part = words[at:at + WORD_ROWS]
+            yield rows(len(part), block=[block] * len(part), place=range(at, at + len(part)), word=[w.encode() for w in part])
+
     return run
 
 
-def assemble(pieces: list[bytes], keep_ids: bool) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Ids of documents from ids of words; decoding joins the pieces of the ids."""
+def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A batch of (word, block, place) as one row: its distinct words, and each place with the
+    number of its word. The literal rank map is then copied once per batch, not per word."""
+    for batch in batches:
+        if batch.num_rows:
+            words = batch.column("word").dictionary_encode()
+            columns = [words.dictionary, words.indices, batch.column("block"), batch.column("place")]
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(c)], c) for c in columns],
+                                             names=["words", "word_of", "block", "place"])
+
+
+def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids of each place from the ids of the distinct words."""
+    for batch in batches:
+        for b in range(batch.num_rows):
+            row = batch.slice(b, 1)
+            ids = row.column("ids").flatten().take(row.column("word_of").flatten())
+            yield pa.RecordBatch.from_arrays([row.column("block").flatten(), row.column("place").flatten(), ids],
+                                             names=["block", "place", "ids"])
+
+
+def assemble(pieces: list[bytes], keep_ids: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Ids of a block's documents from ids of its words; decoding joins the pieces of the ids."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
+                        ("decoded_sha256", pa.string()), ("ids", pa.list_(pa.int32()))])
+
+    def run(documents: pa.Table, words: pa.Table) -> pa.Table:
+        order = np.argsort(words.column("place").to_numpy())
+        per_word = words.column("ids").combine_chunks().take(pa.array(order)) if len(order) else pa.array([], pa.list_(pa.int32()))
+        lengths = pc.list_value_length(per_word).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = per_word.flatten().to_numpy(zero_copy_only=False)
+        start = np.cumsum(lengths) - lengths
+        places = documents.column("places")
+        # The row with a text's words comes before the other rows of that text.
+        order = np.lexsort((places.is_null().to_numpy(), documents.column("text").to_numpy()))
+        documents = documents.take(pa.array(order))
+        out: list[pa.RecordBatch] = []
+        ids_of, n, sha, decoded_sha, held, done = [], [], [], [], 0, 0
+        doc_ids = documents.column("doc_id").combine_chunks()
+        for row, at in enumerate(documents.column("places")):
+            if at.is_valid:
+                places_of = np.frombuffer(at.as_buffer(), np.int32)
+                run_of, offset = ragged(lengths[places_of])
+                ids = flat[start[places_of][run_of] + offset].astype("<u4") if len(places_of) else np.empty(0, "<u4")
+                decoded = b"".join(map(pieces.__getitem__, ids.tolist()))
+                digests = hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+            n.append(len(ids))
+            sha.append(digests[0])
+            decoded_sha.append(digests[1])
+            ids_of.append(ids.astype(np.int32) if keep_ids else None)
+            held += len(ids)
+            if held >= BATCH_IDS or row + 1 == len(doc_ids):
+                out.append(pa.RecordBatch.from_arrays(
+                    [doc_ids.slice(done, len(n)), pa.array(n, pa.int64()), pa.array(sha, pa.string()),
+                     pa.array(decoded_sha, pa.string()), pa.array(ids_of, pa.list_(pa.int32()))], schema=schema))
+                ids_of, n, sha, decoded_sha, held, done = [], [], [], [], 0, row + 1
+        return pa.Table.from_batches(out, schema)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in range(batch.num_rows):
-                row = batch.slice(b, 1)
-                per_word = row.column("ids").flatten()
-                lengths = pc.list_value_length(per_word).to_numpy(zero_copy_only=False).astype(np.int64)
-                flat = per_word.flatten().to_numpy(zero_copy_only=False)
-                start = np.cumsum(lengths) - lengths
-                places = np.frombuffer(row.column("places")[0].as_py(), np.int32)
-                ends = np.cumsum(row.column("counts").flatten().to_numpy(zero_copy_only=False))
-                docs, text_of = row.column("doc_ids").flatten(), row.column("texts").flatten().to_numpy(zero_copy_only=False)
-                begin = np.concatenate([[0], ends])
-                out, done, held, known = [], 0, 0, None
-                for doc, text in enumerate(text_of.tolist()):
-                    if known != text:
-                        words = places[begin[text]:begin[text + 1]]
-                        run_of, offset = ragged(lengths[words])
-                        ids = flat[start[words][run_of] + offset].astype("<u4") if len(words) else np.empty(0, "<u4")
-                        decoded = b"".join(map(pieces.__getitem__, ids.tolist()))
-                        found = (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest(),
-                                 ids.astype(np.int32) if keep_ids else None)
-                        known = text
-                    out.append(found)
-                    held += found[0]
-                    if held >= BATCH_IDS or doc + 1 == len(text_of):
-                        n, i, d, ids_of = zip(*out)
-                        yield pa.RecordBatch.from_arrays(
-                            [docs.slice(done, len(out)), pa.array(n, pa.int64()), pa.array(i), pa.array(d),
-                             pa.array(ids_of, pa.list_(pa.int32()))],
-                            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
-                        out, done, held = [], doc + 1, 0
     return run
 
 
@@ -193,11 +232,13 @@ def byte_bpe(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bool = Fal
     for piece, rank in ranks.items():
         pieces[rank] = piece
     literal = rank_literal(spark, ranks)
-    cut_up = texts(docs).mapInArrow(cut(pattern), BLOCK)
+    cut_up = staged(texts(docs).mapInArrow(cut(pattern), BLOCK), "bpe_blocks")
+    by_word = cut_up.filter("word is not null").select("word", "block", "place").repartition("word").sortWithinPartitions("word")
+    gathered = by_word.mapInArrow(gather, "words array<binary>, word_of array<int>, block array<long>, place array<int>")
     # explode of one element makes the literal a column; subqueries cannot stand in lambdas.
-    with_ranks = cut_up.select("*", F.explode(F.array(literal)).alias("ranks"))
-    encoded = with_ranks.select(
-        "doc_ids", "texts", "counts", "places",
-        F.transform("words", lambda w: encode_word(w, F.col("ranks"))).alias("ids"))
-    rows = encoded.mapInArrow(assemble(pieces, keep_ids), SCHEMA)
+    with_ranks = gathered.select("*", F.explode(F.array(literal)).alias("ranks"))
+    encoded = with_ranks.select("word_of", "block", "place", F.transform("words", lambda w: encode_word(w, F.col("ranks"))).alias("ids"))
+    word_ids = encoded.mapInArrow(spread, "block long, place int, ids array<int>")
+    documents = cut_up.filter("word is null").select("block", "doc_id", "text", "places")
+    rows = documents.groupBy("block").cogroup(word_ids.groupBy("block")).applyInArrow(assemble(pieces, keep_ids), SCHEMA)
     return rows if keep_ids else rows.drop("ids")
