@@ -32,11 +32,11 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, ragged, ready, staged, texts
+from ..config import scratch_path
+from .common import blocks, ragged, ready, texts
 
 BUCKETS = 1 << 15
 NO_RANK = 2 ** 31 - 1
@@ -48,9 +48,9 @@ BATCH_IDS = 1 << 20
 SLICE_BYTES = 2 << 20
 #: Words in one record batch of a block's words.
 WORD_ROWS = 10_000
-#: Rows of a block: its documents (text: number of the text in the block; places: its words,
-#: null in later rows of the same text) and its words (place, word).
-BLOCK = "block long, doc_id long, text int, places binary, place int, word binary"
+#: Rows of a block: its slices of documents (texts: each document's number of a text; counts:
+#: words per text; places: the words, packed) and its words (place, word).
+BLOCK = "block long, doc_ids array<long>, texts array<int>, counts array<int>, places binary, place int, word binary"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"
 
 
@@ -116,14 +116,32 @@ def encode_word(word: Column, literal: Column) -> Column:
     return _let(rank(word), lambda whole: F.when(whole < NO_RANK, F.array(whole)).otherwise(folded))
 
 
+def pack(numbers: np.ndarray) -> bytes:
+    """32-bit numbers by byte planes, compressed: most high bytes are zero."""
+    planes = np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    size = int.from_bytes(packed[:8], "little")
+    planes = np.frombuffer(pa.decompress(packed[8:], size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
+
+
 def cut(pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     names = [field.split()[0] for field in BLOCK.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+    types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.binary()]
 
     def rows(n: int, **columns: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array(columns[name], t) if name in columns else pa.nulls(n, t) for name, t in zip(names, types)], names=names)
 
+    def vocabulary_rows(block: int, vocabulary: dict[str, int]) -> Iterator[pa.RecordBatch]:
+        words = list(vocabulary)
+        for at in range(0, len(words), WORD_ROWS):
+            part = words[at:at + WORD_ROWS]
+            yield rows(len(part), block=[block] * len(part), place=range(at, at + len(part)), word=[w.encode() for w in part])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
         from pyspark import TaskContext
@@ -131,34 +149,26 @@ def cut(pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Record
         words_of = regex.compile(pattern).findall
         block = TaskContext.get().partitionId() << 33
         vocabulary: dict[str, int] = {}
-        size, text_of = 0, -1
-        last = None  # neighbouring rows of one text, as mixing makes them, share its words
+        size = 0
         for table in blocks(batches, limit=SLICE_BYTES):
-            ids, numbers, places = table.column("doc_id").to_pylist(), [], []
+            numbers, counts, places = [], [], [np.empty(0, np.int32)]
+            last = None  # neighbouring rows of one text, as mixing makes them, share its words
             for text in table.column("text").to_pylist():
-                if text == last:
-                    places.append(None)
-                else:
+                if text != last:
                     words = words_of(text)
                     for word in set(words).difference(vocabulary):
                         vocabulary[word] = len(vocabulary)
-                    places.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)).tobytes())
-                    text_of += 1
+                    places.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))
+                    counts.append(len(words))
                     last = text
                 size += len(words)
-                numbers.append(text_of)
-            yield rows(len(ids), block=[block] * len(ids), doc_id=ids, text=numbers, places=places)
+                numbers.append(len(counts) - 1)
+            yield rows(1, block=[block], doc_ids=[table.column("doc_id").to_pylist()], texts=[numbers], counts=[counts],
+                       places=[pack(np.concatenate(places))])
             if len(vocabulary) >= BLOCK_DISTINCT or size >= BLOCK_WORDS:
                 yield from vocabulary_rows(block, vocabulary)
-                block, vocabulary, size, text_of, last = block + 1, {}, 0, -1, None
+                block, vocabulary, size = block + 1, {}, 0
         yield from vocabulary_rows(block, vocabulary)
-
-    def vocabulary_rows(block: int, vocabulary: dict[str, int]) -> Iterator[pa.RecordBatch]:
-        words = list(vocabulary)
-        for at in range(0, len(words), WORD_ROWS):
-            part = words[at:at + WORD_ROWS]
-            yield rows(len(part), block=[block] * len(part), place=range(at, at + len(part)), word=[w.encode() for w in part])
-
     return run
 
 
@@ -174,13 +184,13 @@ def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids of each place from the ids of the distinct words."""
+    """Ids of each place, as their bytes, from the ids of the distinct words."""
     for batch in batches:
         for b in range(batch.num_rows):
             row = batch.slice(b, 1)
-            ids = row.column("ids").flatten().take(row.column("word_of").flatten())
-            yield pa.RecordBatch.from_arrays([row.column("block").flatten(), row.column("place").flatten(), ids],
-                                             names=["block", "place", "ids"])
+            ids = pa.array([np.asarray(i, "<u4").tobytes() for i in row.column("ids").flatten().to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([row.column("block").flatten(), row.column("place").flatten(),
+                                              ids.take(row.column("word_of").flatten())], names=["block", "place", "ids"])
 
 
 def assemble(pieces: list[bytes], keep_ids: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -188,41 +198,54 @@ def assemble(pieces: list[bytes], keep_ids: bool) -> Callable[[pa.Table, pa.Tabl
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
                         ("decoded_sha256", pa.string()), ("ids", pa.list_(pa.int32()))])
 
-    def run(documents: pa.Table, words: pa.Table) -> pa.Table:
+    def run(slices: pa.Table, words: pa.Table) -> pa.Table:
         order = np.argsort(words.column("place").to_numpy())
-        per_word = words.column("ids").combine_chunks().take(pa.array(order)) if len(order) else pa.array([], pa.list_(pa.int32()))
-        lengths = pc.list_value_length(per_word).to_numpy(zero_copy_only=False).astype(np.int64)
-        flat = per_word.flatten().to_numpy(zero_copy_only=False)
+        per_word = words.column("ids").to_pylist()
+        per_word = [per_word[i] for i in order]
+        lengths = np.fromiter(map(len, per_word), np.int64, len(per_word)) // 4
+        flat = np.frombuffer(b"".join(per_word), "<u4")
         start = np.cumsum(lengths) - lengths
-        places = documents.column("places")
-        # The row with a text's words comes before the other rows of that text.
-        order = np.lexsort((places.is_null().to_numpy(), documents.column("text").to_numpy()))
-        documents = documents.take(pa.array(order))
         out: list[pa.RecordBatch] = []
-        ids_of, n, sha, decoded_sha, held, done = [], [], [], [], 0, 0
-        doc_ids = documents.column("doc_id").combine_chunks()
-        for row, at in enumerate(documents.column("places")):
-            if at.is_valid:
-                places_of = np.frombuffer(at.as_buffer(), np.int32)
-                run_of, offset = ragged(lengths[places_of])
-                ids = flat[start[places_of][run_of] + offset].astype("<u4") if len(places_of) else np.empty(0, "<u4")
-                decoded = b"".join(map(pieces.__getitem__, ids.tolist()))
-                digests = hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest()
-            n.append(len(ids))
-            sha.append(digests[0])
-            decoded_sha.append(digests[1])
-            ids_of.append(ids.astype(np.int32) if keep_ids else None)
-            held += len(ids)
-            if held >= BATCH_IDS or row + 1 == len(doc_ids):
-                out.append(pa.RecordBatch.from_arrays(
-                    [doc_ids.slice(done, len(n)), pa.array(n, pa.int64()), pa.array(sha, pa.string()),
-                     pa.array(decoded_sha, pa.string()), pa.array(ids_of, pa.list_(pa.int32()))], schema=schema))
-                ids_of, n, sha, decoded_sha, held, done = [], [], [], [], 0, row + 1
+
+        def encoded(places: np.ndarray) -> tuple:
+            run_of, offset = ragged(lengths[places])
+            ids = flat[start[places][run_of] + offset] if len(places) else np.empty(0, "<u4")
+            decoded = b"".join(map(pieces.__getitem__, ids.tolist()))
+            return (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest(),
+                    ids.astype(np.int32) if keep_ids else None)
+
+        for s in range(slices.num_rows):
+            docs, text_of, counts = (slices.column(c)[s].values for c in ("doc_ids", "texts", "counts"))
+            begin = np.concatenate([[0], np.cumsum(counts.to_numpy())])
+            places = unpack(slices.column("places")[s].as_py())
+            found, held, done, known = [], 0, 0, None
+            for doc, text in enumerate(text_of.to_pylist()):
+                if text != known:
+                    row, known = encoded(places[begin[text]:begin[text + 1]]), text
+                found.append(row)
+                held += row[0]
+                if held >= BATCH_IDS or doc + 1 == len(docs):
+                    n, ids_sha, decoded_sha, ids = zip(*found)
+                    out.append(pa.RecordBatch.from_arrays(
+                        [docs.slice(done, len(found)), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
+                         pa.array(decoded_sha, pa.string()), pa.array(ids, pa.list_(pa.int32()))], schema=schema))
+                    found, held, done = [], 0, doc + 1
         return pa.Table.from_batches(out, schema)
 
     return run
 
 
+def bucketed(rows: DataFrame) -> DataFrame:
+    """``rows`` written to the shared folder in buckets by block, so that they are not shuffled
+    again to meet the ids of their words. A task holds few blocks, so its files are few."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, "bpe_blocks")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.write.option("path", path).option("compression", "zstd").bucketBy(n, "block").saveAsTable(name)
+    return spark.table(name)
+
+
 def byte_bpe(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids)."""
     spark = docs.sparkSession
@@ -232,13 +255,13 @@ def byte_bpe(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bool = Fal
     for piece, rank in ranks.items():
         pieces[rank] = piece
     literal = rank_literal(spark, ranks)
-    cut_up = staged(texts(docs).mapInArrow(cut(pattern), BLOCK), "bpe_blocks")
+    cut_up = bucketed(texts(docs).mapInArrow(cut(pattern), BLOCK))
     by_word = cut_up.filter("word is not null").select("word", "block", "place").repartition("word").sortWithinPartitions("word")
     gathered = by_word.mapInArrow(gather, "words array<binary>, word_of array<int>, block array<long>, place array<int>")
     # explode of one element makes the literal a column; subqueries cannot stand in lambdas.
     with_ranks = gathered.select("*", F.explode(F.array(literal)).alias("ranks"))
     encoded = with_ranks.select("word_of", "block", "place", F.transform("words", lambda w: encode_word(w, F.col("ranks"))).alias("ids"))
-    word_ids = encoded.mapInArrow(spread, "block long, place int, ids array<int>")
-    documents = cut_up.filter("word is null").select("block", "doc_id", "text", "places")
-    rows = documents.groupBy("block").cogroup(word_ids.groupBy("block")).applyInArrow(assemble(pieces, keep_ids), SCHEMA)
+    word_ids = encoded.mapInArrow(spread, "block long, place int, ids binary")
+    slices = cut_up.filter("word is null").select("block", "doc_ids", "texts", "counts", "places")
+    rows = slices.groupBy("block").cogroup(word_ids.groupBy("block")).applyInArrow(assemble(pieces, keep_ids), SCHEMA)
     return rows if keep_ids else rows.drop("ids")
