@@ -10,7 +10,8 @@ Encoding has four steps:
    starts as an array of one-byte binaries; each step of the fold joins the leftmost
    neighbouring pair of the smallest rank, looked up in a literal rank map, until no pair
    has a rank. What is shuffled is one row per block and distinct word.
-3. The words' ids go back to their blocks.
+3. The words' ids go back to their blocks, packed per block (blocks are stored in buckets, so
+   that only the ids are shuffled).
 4. The indices are replaced by the ids; decoding concatenates the binary pieces of the ids.
 
 The rank map is a literal (a scalar subquery over the rank file, whose size is that of the
@@ -32,6 +33,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +50,8 @@ BATCH_IDS = 1 << 20
 SLICE_BYTES = 2 << 20
 #: Words in one record batch of a block's words.
 WORD_ROWS = 10_000
+#: Words of blocks that are folded in one row, about.
+GATHERED = 50_000
 #: Rows of a block: its slices of documents (texts: each document's number of a text; counts:
 #: words per text; places: the words, packed) and its words (place, word).
 BLOCK = "block long, doc_ids array<long>, texts array<int>, counts array<int>, places binary, place int, word binary"
@@ -173,24 +177,46 @@ def cut(pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Record
 
 
 def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A batch of (word, block, place) as one row: its distinct words, and each place with the
-    number of its word. The literal rank map is then copied once per batch, not per word."""
+    """Rows of (word, block, place), many as one row: the distinct words, and each place with the
+    number of its word. The literal rank map is then copied once per such row, not per word."""
+    def row(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        words = table.column("word").combine_chunks().dictionary_encode()
+        columns = [words.dictionary, words.indices, *(table.column(c).combine_chunks() for c in ("block", "place"))]
+        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(c)], c) for c in columns],
+                                          names=["words", "word_of", "block", "place"])
+
+    held, size = [], 0
     for batch in batches:
-        if batch.num_rows:
-            words = batch.column("word").dictionary_encode()
-            columns = [words.dictionary, words.indices, batch.column("block"), batch.column("place")]
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(c)], c) for c in columns],
-                                             names=["words", "word_of", "block", "place"])
+        held.append(batch)
+        size += batch.num_rows
+        if size >= GATHERED:
+            yield row(held)
+            held, size = [], 0
+    if size:
+        yield row(held)
 
 
 def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids of each place, as their bytes, from the ids of the distinct words."""
+    """The ids of the distinct words dealt to their blocks, a row per block: the number of
+    words, then the places, the numbers of ids and the ids, packed."""
     for batch in batches:
         for b in range(batch.num_rows):
             row = batch.slice(b, 1)
-            ids = pa.array([np.asarray(i, "<u4").tobytes() for i in row.column("ids").flatten().to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([row.column("block").flatten(), row.column("place").flatten(),
-                                              ids.take(row.column("word_of").flatten())], names=["block", "place", "ids"])
+            ids = row.column("ids").flatten()
+            length = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
+            flat = ids.flatten().to_numpy(zero_copy_only=False)
+            start = np.cumsum(length) - length
+            block, place, word_of = (row.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("block", "place", "word_of"))
+            order = np.lexsort((place, block))
+            block, place, word_of = block[order], place[order], word_of[order]
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]]).tolist()
+            packed = []
+            for lo, hi in zip(edges, edges[1:]):
+                n = length[word_of[lo:hi]]
+                run_of, offset = ragged(n)
+                packed.append(pack(np.concatenate([[hi - lo], place[lo:hi], n, flat[start[word_of[lo:hi]][run_of] + offset]])))
+            yield pa.RecordBatch.from_arrays([pa.array(block[edges[:-1]]), pa.array(packed, pa.binary())], names=["block", "ids"])
 
 
 def assemble(pieces: list[bytes], keep_ids: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -199,12 +225,18 @@ def assemble(pieces: list[bytes], keep_ids: bool) -> Callable[[pa.Table, pa.Tabl
                         ("decoded_sha256", pa.string()), ("ids", pa.list_(pa.int32()))])
 
     def run(slices: pa.Table, words: pa.Table) -> pa.Table:
-        order = np.argsort(words.column("place").to_numpy())
-        per_word = words.column("ids").to_pylist()
-        per_word = [per_word[i] for i in order]
-        lengths = np.fromiter(map(len, per_word), np.int64, len(per_word)) // 4
-        flat = np.frombuffer(b"".join(per_word), "<u4")
-        start = np.cumsum(lengths) - lengths
+        place, length, flat = [np.empty(0, np.int32)], [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+        for chunk in words.column("ids"):
+            numbers = unpack(chunk.as_py())
+            n = numbers[0]
+            place.append(numbers[1:n + 1])
+            length.append(numbers[n + 1:2 * n + 1])
+            flat.append(numbers[2 * n + 1:])
+        place, length, flat = map(np.concatenate, (place, length, flat))
+        # Words by place: their numbers of ids, and where their ids begin.
+        lengths, start = np.zeros((2, len(place)), np.int64)
+        lengths[place], start[place] = length, np.cumsum(length) - length
+        flat = flat.astype("<u4")
         out: list[pa.RecordBatch] = []
 
         def encoded(places: np.ndarray) -> tuple:
@@ -261,7 +293,7 @@ def byte_bpe(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bool = Fal
     # explode of one element makes the literal a column; subqueries cannot stand in lambdas.
     with_ranks = gathered.select("*", F.explode(F.array(literal)).alias("ranks"))
     encoded = with_ranks.select("word_of", "block", "place", F.transform("words", lambda w: encode_word(w, F.col("ranks"))).alias("ids"))
-    word_ids = encoded.mapInArrow(spread, "block long, place int, ids binary")
+    word_ids = encoded.mapInArrow(spread, "block long, ids binary")
     slices = cut_up.filter("word is null").select("block", "doc_ids", "texts", "counts", "places")
     rows = slices.groupBy("block").cogroup(word_ids.groupBy("block")).applyInArrow(assemble(pieces, keep_ids), SCHEMA)
     return rows if keep_ids else rows.drop("ids")
