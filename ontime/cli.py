@@ -24,11 +24,11 @@ from .config import cluster_defaults, scratch_path
 from .operators.lookups import lookup, lookup_pairs
 from .plans import batch
 from .plans.ingest import ingest
-from .plans.load import load
+from .plans.load import load, load_changes
 from .plans.lookups import LOOKUP_COLUMN
 from .sinks.replay import replay
 from .sinks.results import read_itineraries, read_result, write_itineraries, write_result
-from .sources.lake import read_flights_table
+from .sources.lake import read_flights_table, register_flights_table
 from .sources.streams import file_stream, kafka_stream, message_stream, parse_messages, rate_cap
 from .streaming.runner import start_all, start_together
 
@@ -55,7 +55,13 @@ def cmd_ingest(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def cmd_load(spark: SparkSession, a: argparse.Namespace) -> None:
-    table = load(spark, a.lake, a.table, a.name, a.format)
+    if a.ledger:
+        report = load_changes(spark, a.lake, a.table, a.ledger, a.format)
+        for r in report.groupBy("status").count().orderBy("status").collect():
+            print(f"{r['count']} months {r.status}")
+        table = register_flights_table(spark, a.name, a.table) if a.name else read_flights_table(spark, a.table)
+    else:
+        table = load(spark, a.lake, a.table, a.name, a.format)
     print(f"flights table at {a.table}: {table.count()} rows")
 
 
@@ -130,6 +136,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--table", required=True)
     s.add_argument("--name")
     s.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    s.add_argument("--ledger", help="folder of the loaded files' ledger: only changed months are loaded")
 
     s = sub.add_parser("batch")
     s.add_argument("--table", required=True)

@@ -11,13 +11,13 @@ from ..config import INT_FIELDS, SELECTED_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS
 from ..sinks.lake import lake_rows, write_day_files, write_lake, write_lines
 from ..sinks.replay import replay
 from ..sources.archives import BAD_BYTE, CUT_SHORT, write_archives, write_broken_archives
-from ..sources.lake import lake_bad_records, month_statistics, read_delimited_flights
+from ..sources.lake import lake_bad_records, month_statistics, read_delimited_flights, read_flights_table
 from ..sources.streams import file_stream
 from ..sources.testdata import stored_flights
 from ..streaming.aggregates import AGGREGATES
 from ..streaming.runner import run_available
 from .ingest import ingest, lake_day_summary
-from .load import load, profile
+from .load import load, load_changes, profile
 from .streams import TOPICS, build_lake, stream_oracles
 
 
@@ -168,11 +168,31 @@ def load_stats_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month_statistics(spark, name)
 
 
+#: The day that is delivered again, without its cancelled flights.
+CHANGED_DAY = (2000, 6, 15)
+
+
+def load_again_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake loaded, one of its days delivered again and the lake loaded again: the table's
+    months, and whether the second load wrote them."""
+    rows = lake_rows(stored_flights(spark, sf_dir))
+    base = scratch_path(spark, "load_again")
+    write_lake(rows, f"{base}/lake")
+    load_changes(spark, f"{base}/lake", f"{base}/table", f"{base}/ledger")
+    year, month, day = CHANGED_DAY
+    again = rows.where(f"Yeard = '{year}' AND Monthd = '{month:02d}' AND Dayd = '{day:02d}' AND Cancelled = '0'")
+    write_lake(again, f"{base}/lake")
+    report = load_changes(spark, f"{base}/lake", f"{base}/table", f"{base}/ledger")
+    written = report.select(F.col("Yeard").cast("int").alias("year"), F.col("Monthd").cast("int").alias("month"),
+                            (F.col("status") != "kept").alias("reloaded"))
+    return _scan_summary(read_flights_table(spark, f"{base}/table")).join(written, ["year", "month"])
+
+
 def pipeline_jobs() -> dict:
     return {"ing": ingest_job, "load": load_job, "ing_manifest": ingest_manifest_job,
             "ing_quarantine": ingest_quarantine_job, "scan_csv": scan_csv_job, "replay_csv": replay_csv_job,
             "load_stats": load_stats_job, "scan_csv_split": scan_csv_split_job, "csv_bad": csv_bad_job,
-            "load_day_files": load_day_files_job, "replay_day_files": replay_day_files_job, **{f"s{n}_csv": csv_stream_job(n) for n in AGGREGATES}}
+            "load_day_files": load_day_files_job, "load_again": load_again_job, "replay_day_files": replay_day_files_job, **{f"s{n}_csv": csv_stream_job(n) for n in AGGREGATES}}
 
 
 def pipeline_oracles(flights_cte: str) -> dict[str, str]:
@@ -186,15 +206,20 @@ def pipeline_oracles(flights_cte: str) -> dict[str, str]:
     number = "CAST(FlightNum AS BIGINT)"
     short, bad, no_day = (x.replace("FlightNum", number) for x in (SHORT, BAD, NO_DAY))
     streams = stream_oracles(f)
-    scan = f + """SELECT Yeard AS year, Monthd AS month, count(*) AS n_flights, sum(ArrDelay) AS arr_delay_sum,
+    def scan_sql(more: str = "", where: str = "") -> str:
+        return f + f"""SELECT Yeard AS year, Monthd AS month, count(*) AS n_flights, sum(ArrDelay) AS arr_delay_sum,
   count(DISTINCT Origin || '>' || Dest) AS n_routes, max(UniqueCarrier) AS last_carrier,
-  min(coalesce(DepTime, '')) AS first_departure
-FROM flights GROUP BY Yeard, Monthd"""
+  min(coalesce(DepTime, '')) AS first_departure{more}
+FROM flights {where} GROUP BY Yeard, Monthd"""
+
+    year, month, day = CHANGED_DAY
+    on_day = f"Year = {year} AND Month = {month} AND DayofMonth = {day}"
     return {
         **{f"s{n}_csv": streams[f"k{n}"] for n in AGGREGATES},
         "replay_csv": streams["replay"],
         "replay_day_files": streams["replay"],
-        **dict.fromkeys(["scan_csv_split", "load_day_files", "scan_csv"], scan),
+        **dict.fromkeys(["scan_csv_split", "load_day_files", "scan_csv"], scan_sql()),
+        "load_again": scan_sql(f", Yeard = {year} AND Monthd = {month} AS reloaded", f"WHERE NOT ({on_day} AND Cancelled <> 0)"),
         "csv_bad": f + f"""SELECT Yeard AS year, Monthd AS month, 'malformed record' AS reason, count(*) AS n_records
 FROM flights WHERE {short} GROUP BY Yeard, Monthd""",
         "load_stats": f + "SELECT Yeard, Monthd, count(*) AS n_rows FROM flights GROUP BY Yeard, Monthd",

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..config import scratch_path
+from .versions import newest, read_version, write_version
 
 # --- Fixed values: result table layouts (internal name -> external name) ------------
 RESULT_TABLES: dict[str, dict] = {
@@ -56,9 +56,10 @@ def write_result(df: DataFrame, table: str, path: str, mode: str = "overwrite",
                  keys: Sequence[str] | None = None) -> None:
     """Store ``df`` (internal names) as result table ``table`` at ``path``.
 
-    Every write is a new version folder of the table; readers take the newest complete one,
-    so they see the old rows or the new ones, never a mixture. ``upsert`` stages the new rows
-    once and adds the old rows whose key is not among them (a ``left_anti`` join).
+    Every write publishes a new version (``sinks/versions.py``); readers take the newest one, so
+    they see the old rows or the new ones, never a mixture, and of two writers neither undoes the
+    other's upsert. ``upsert`` stages the new rows once and adds the old rows whose key is not
+    among them (a ``left_anti`` join).
     """
     spec = RESULT_TABLES[table]
     columns = spec["columns"]
@@ -66,37 +67,28 @@ def write_result(df: DataFrame, table: str, path: str, mode: str = "overwrite",
         raise ValueError(f"mode must be 'overwrite' or 'upsert', not {mode!r}")
     new = _external(df, columns)
     spark = df.sparkSession
-    version = _newest(spark, path)
-    if mode == "upsert" and version is not None:
+    if mode == "upsert" and newest(spark, path) is not None:
         stage = scratch_path(spark, "upsert")
         new.write.parquet(stage)
         new = spark.read.parquet(stage)
-        key_ext = [columns[k] for k in (keys or spec["keys"])]
-        old = spark.read.parquet(f"{path}/{VERSION}={version}").select(*new.columns)
-        new = new.unionByName(old.join(new.select(*key_ext), key_ext, "left_anti").select(*new.columns))
-    number = 0 if version is None else version + 1
-    new.write.mode("overwrite").parquet(f"{path}/{VERSION}={number}")
-    spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/{DONE}/{number}")
+    key_ext = [columns[k] for k in (keys or spec["keys"])]
 
+    def rows(base: int | None) -> DataFrame:
+        if mode == "overwrite" or base is None:
+            return new
+        old = read_version(spark, path, base).select(*new.columns)
+        return new.unionByName(old.join(new.select(*key_ext), key_ext, "left_anti").select(*new.columns))
 
-VERSION, DONE = "version", "_done"
-
-
-def _newest(spark: SparkSession, path: str) -> int | None:
-    """Number of the newest complete version (marked as done after its write)."""
-    try:
-        marks = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                 .option("recursiveFileLookup", True).load(f"{path}/{DONE}").select("path"))
-    except AnalysisException:
-        return None
-    number = F.regexp_extract("path", rf"/{DONE}/([0-9]+)/[^/]+$", 1).try_cast("int")
-    return marks.agg(F.max(number)).first()[0]
+    write_version(spark, path, rows)
 
 
 def read_result(spark: SparkSession, table: str, path: str) -> DataFrame:
     """Read a result table's newest version back under its internal column names."""
     columns = RESULT_TABLES[table]["columns"]
-    df = spark.read.parquet(f"{path}/{VERSION}={_newest(spark, path) or 0}")
+    number = newest(spark, path)
+    if number is None:
+        raise ValueError(f"no version of result table {table} at {path}")
+    df = read_version(spark, path, number)
     return df.select(*[F.col(e).alias(i) for i, e in columns.items()])
 
 

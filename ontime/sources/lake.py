@@ -39,19 +39,37 @@ def position_group(path: Column) -> Column:
     return F.when(path.rlike(DAY_FOLDER), F.regexp_replace(path, r"/[^/]+$", "")).otherwise(path)
 
 
-def read_lake(spark: SparkSession, path: str, fmt: str = "parquet", split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """The clean lake as text columns plus its day partitions.
+def with_day(files: DataFrame) -> DataFrame:
+    """Files with the day keys that their paths tell."""
+    return files.select("*", *(c.alias(k) for c, k in zip(day_of_path(), LAKE_PARTITIONS)))
+
+
+def lake_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The lake's files: path, length, modificationTime, day keys. Contents are not read."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}")
+             .option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime"))
+    return with_day(files)
+
+
+def read_lake(spark: SparkSession, path: str, fmt: str = "parquet", split_bytes: int = SPLIT_BYTES,
+              part: Column | None = None) -> DataFrame:
+    """The clean lake as text columns plus its day partitions, or the ``part`` of its files that
+    a condition on the day keys names (other files are not read).
 
     CSV files are bound by header name, whatever their column order; empty fields stay ``''``.
     The day comes from the path, in any layout of ``day_of_path``, and where that tells no
     day, from the record's own Year, Month and DayofMonth.
     """
     if fmt == "csv":
-        rows = csv_rows(list_files(spark, path, "*.csv"), split_bytes)
+        files = list_files(spark, path, "*.csv")
+        if part is not None:
+            files = with_day(files).where(part).select("path", "length")
+        rows = csv_rows(files, split_bytes)
         own = [F.lpad(F.col(c).try_cast("int").cast("string"), w, "0") for c, w in (("Year", 4), ("Month", 2), ("DayofMonth", 2))]
         return rows.select(*SELECTED_FIELDS, *(F.coalesce(told, kept).alias(k)
                                                for told, kept, k in zip(day_of_path(), own, LAKE_PARTITIONS)))
-    return spark.read.schema(LAKE_PARTITIONED_SCHEMA).format(fmt).load(path)
+    rows = spark.read.schema(LAKE_PARTITIONED_SCHEMA).format(fmt).load(path)
+    return rows if part is None else rows.where(part)
 
 
 def lake_bad_records(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
@@ -131,7 +149,7 @@ def register_flights_table(spark: SparkSession, name: str, path: str,
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     if compute_stats:
         spark.sql(f"ANALYZE TABLE {name} PARTITION ({', '.join(TABLE_PARTITIONS)}) COMPUTE STATISTICS")
-        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+        # Counts the table's rows as well.
         spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
     return spark.table(name)
 
