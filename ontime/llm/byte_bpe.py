@@ -4,7 +4,8 @@ Encoding has four steps:
 
 1. A task cuts its documents into words with the tokenizer's pattern and gathers them in
    blocks of bounded size: the distinct words of a block, and each document as indices into
-   them. Both are written to the shared folder as rows.
+   them. Both are written to the shared folder as rows. A word that is itself an entry of the
+   rank file has its id at once; there is nothing to fold.
 2. The words of all blocks are brought together by word, so that Spark folds each distinct
    word of the corpus once (again only where a word's rows go on in the next batch). A word
    starts as an array of one-byte binaries; each step of the fold joins the leftmost
@@ -53,7 +54,8 @@ WORD_ROWS = 10_000
 #: Words of blocks that are folded in one row, about.
 GATHERED = 50_000
 #: Rows of a block: its slices of documents (texts: each document's number of a text; counts:
-#: words per text; places: the words, packed) and its words (place, word).
+#: words per text; places: the words, packed), its words that are entries of the rank file (a row
+#: without doc_ids; packed as ``spread`` does) and its other words (place, word).
 BLOCK = "block long, doc_ids array<long>, texts array<int>, counts array<int>, places binary, place int, word binary"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"
 
@@ -132,7 +134,7 @@ def unpack(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
 
 
-def cut(pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def cut(pattern: str, ranks: dict[bytes, int]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     names = [field.split()[0] for field in BLOCK.split(", ")]
     types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.binary()]
 
@@ -140,11 +142,23 @@ def cut(pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Record
         return pa.RecordBatch.from_arrays(
             [pa.array(columns[name], t) if name in columns else pa.nulls(n, t) for name, t in zip(names, types)], names=names)
 
-    def vocabulary_rows(block: int, vocabulary: dict[str, int]) -> Iterator[pa.RecordBatch]:
-        words = list(vocabulary)
-        for at in range(0, len(words), WORD_ROWS):
-            part = words[at:at + WORD_ROWS]
-            yield rows(len(part), block=[block] * len(part), place=range(at, at + len(part)), word=[w.encode() for w in part])
+    def block_rows(block: int, vocabulary: dict[str, int], slices: list[dict]) -> Iterator[pa.RecordBatch]:
+        # Frequent words get small numbers, which pack well.
+        count = np.bincount(np.concatenate([s["places"] for s in slices]), minlength=len(vocabulary))
+        order = np.argsort(-count, kind="stable")
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order))
+        for s in slices:
+            yield rows(1, block=[block], **{k: [pack(number[v]) if k == "places" else v] for k, v in s.items()})
+        known = list(vocabulary)
+        words = [known[i].encode() for i in order.tolist()]
+        ids = np.array([ranks.get(word, -1) for word in words], np.int32)
+        whole = np.flatnonzero(ids >= 0)
+        yield rows(1, block=[block], places=[pack(np.concatenate([[len(whole)], whole, np.ones(len(whole), np.int32), ids[whole]]))])
+        rest = np.flatnonzero(ids < 0).tolist()
+        for at in range(0, len(rest), WORD_ROWS):
+            part = rest[at:at + WORD_ROWS]
+            yield rows(len(part), block=[block] * len(part), place=part, word=[words[i] for i in part])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -153,7 +167,7 @@ def cut(pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Record
         words_of = regex.compile(pattern).findall
         block = TaskContext.get().partitionId() << 33
         vocabulary: dict[str, int] = {}
-        size = 0
+        slices, size = [], 0
         for table in blocks(batches, limit=SLICE_BYTES):
             numbers, counts, places = [], [], [np.empty(0, np.int32)]
             last = None  # neighbouring rows of one text, as mixing makes them, share its words
@@ -167,12 +181,12 @@ def cut(pattern: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Record
                     last = text
                 size += len(words)
                 numbers.append(len(counts) - 1)
-            yield rows(1, block=[block], doc_ids=[table.column("doc_id").to_pylist()], texts=[numbers], counts=[counts],
-                       places=[pack(np.concatenate(places))])
+            slices.append({"doc_ids": table.column("doc_id").to_pylist(), "texts": numbers, "counts": counts, "places": np.concatenate(places)})
             if len(vocabulary) >= BLOCK_DISTINCT or size >= BLOCK_WORDS:
-                yield from vocabulary_rows(block, vocabulary)
-                block, vocabulary, size = block + 1, {}, 0
-        yield from vocabulary_rows(block, vocabulary)
+                yield from block_rows(block, vocabulary, slices)
+                block, vocabulary, slices, size = block + 1, {}, [], 0
+        if slices:
+            yield from block_rows(block, vocabulary, slices)
     return run
 
 
@@ -226,8 +240,10 @@ def assemble(pieces: list[bytes], keep_ids: bool) -> Callable[[pa.Table, pa.Tabl
 
     def run(slices: pa.Table, words: pa.Table) -> pa.Table:
         place, length, flat = [np.empty(0, np.int32)], [np.empty(0, np.int32)], [np.empty(0, np.int32)]
-        for chunk in words.column("ids"):
-            numbers = unpack(chunk.as_py())
+        whole = slices.filter(pc.is_null(slices.column("doc_ids"))).column("places")
+        slices = slices.filter(pc.is_valid(slices.column("doc_ids")))
+        for packed in [*whole.to_pylist(), *words.column("ids").to_pylist()]:
+            numbers = unpack(packed)
             n = numbers[0]
             place.append(numbers[1:n + 1])
             length.append(numbers[n + 1:2 * n + 1])
@@ -287,7 +303,7 @@ def byte_bpe(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bool = Fal
     for piece, rank in ranks.items():
         pieces[rank] = piece
     literal = rank_literal(spark, ranks)
-    cut_up = bucketed(texts(docs).mapInArrow(cut(pattern), BLOCK))
+    cut_up = bucketed(texts(docs).mapInArrow(cut(pattern, ranks), BLOCK))
     by_word = cut_up.filter("word is not null").select("word", "block", "place").repartition("word").sortWithinPartitions("word")
     gathered = by_word.mapInArrow(gather, "words array<binary>, word_of array<int>, block array<long>, place array<int>")
     # explode of one element makes the literal a column; subqueries cannot stand in lambdas.
