@@ -125,7 +125,7 @@ def encode_word(word: Column, literal: Column) -> Column:
 def pack(numbers: np.ndarray) -> bytes:
     """32-bit numbers by byte planes, compressed: most high bytes are zero."""
     planes = np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
-    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+    return len(planes).to_bytes(8, "little") + pa.Codec("zstd", compression_level=6).compress(planes, asbytes=True)
 
 
 def unpack(packed: bytes) -> np.ndarray:
@@ -154,7 +154,7 @@ def cut(pattern: str, ranks: dict[bytes, int]) -> Callable[[Iterable[pa.RecordBa
         words = [known[i].encode() for i in order.tolist()]
         ids = np.array([ranks.get(word, -1) for word in words], np.int32)
         whole = np.flatnonzero(ids >= 0)
-        yield rows(1, block=[block], places=[pack(np.concatenate([[len(whole)], whole, np.ones(len(whole), np.int32), ids[whole]]))])
+        yield rows(1, block=[block], places=[pack(np.concatenate([[len(whole)], np.diff(whole, prepend=0), np.ones(len(whole), np.int32), ids[whole]]))])
         rest = np.flatnonzero(ids < 0).tolist()
         for at in range(0, len(rest), WORD_ROWS):
             part = rest[at:at + WORD_ROWS]
@@ -213,7 +213,7 @@ def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The ids of the distinct words dealt to their blocks, a row per block: the number of
-    words, then the places, the numbers of ids and the ids, packed."""
+    words, then the steps from place to place, the numbers of ids and the ids, packed."""
     for batch in batches:
         for b in range(batch.num_rows):
             row = batch.slice(b, 1)
@@ -229,7 +229,7 @@ def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for lo, hi in zip(edges, edges[1:]):
                 n = length[word_of[lo:hi]]
                 run_of, offset = ragged(n)
-                packed.append(pack(np.concatenate([[hi - lo], place[lo:hi], n, flat[start[word_of[lo:hi]][run_of] + offset]])))
+                packed.append(pack(np.concatenate([[hi - lo], np.diff(place[lo:hi], prepend=0), n, flat[start[word_of[lo:hi]][run_of] + offset]])))
             yield pa.RecordBatch.from_arrays([pa.array(block[edges[:-1]]), pa.array(packed, pa.binary())], names=["block", "ids"])
 
 
@@ -245,7 +245,7 @@ def assemble(pieces: list[bytes], keep_ids: bool) -> Callable[[pa.Table, pa.Tabl
         for packed in [*whole.to_pylist(), *words.column("ids").to_pylist()]:
             numbers = unpack(packed)
             n = numbers[0]
-            place.append(numbers[1:n + 1])
+            place.append(np.cumsum(numbers[1:n + 1]))
             length.append(numbers[n + 1:2 * n + 1])
             flat.append(numbers[2 * n + 1:])
         place, length, flat = map(np.concatenate, (place, length, flat))
