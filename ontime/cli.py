@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,7 @@ from .plans import batch
 from .plans.ingest import ingest
 from .plans.load import load, load_changes
 from .plans.lookups import LOOKUP_COLUMN
+from .plans.resume import ingest_changes
 from .sinks.replay import replay
 from .sinks.results import read_itineraries, read_result, write_itineraries, write_result
 from .sources.lake import read_flights_table, register_flights_table
@@ -46,6 +48,11 @@ def _spark(scale_defaults: bool) -> SparkSession:
 
 def cmd_ingest(spark: SparkSession, a: argparse.Namespace) -> None:
     work = a.work or scratch_path(spark, "ingest")
+    if a.ledger:  # a folder of its own for every run
+        report = ingest_changes(spark, a.source, a.lake, a.ledger, f"{work}/run-{uuid.uuid4().hex[:12]}", a.format)
+        for r in report.groupBy("action", "status").count().orderBy("action", "status").collect():
+            print(f"{r['count']} archives {r.action}: {r.status}")
+        return
     res = ingest(spark, a.source, a.lake, f"{work}/quarantine", f"{work}/stage", a.format)
     res.manifest.write.mode("overwrite").parquet(f"{work}/manifest")
     runs = {r.status: r.archives for r in res.runs.collect()}
@@ -129,6 +136,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--source", required=True)
     s.add_argument("--lake", required=True)
     s.add_argument("--work")
+    s.add_argument("--ledger", help="folder of the ingested archives' ledger: only new, failed and changed ones are read")
     s.add_argument("--format", default="parquet", choices=["parquet", "csv"])
 
     s = sub.add_parser("load")

@@ -254,6 +254,12 @@ def _local_or_uri(path: str):
     return pafs.FileSystem.from_uri(path)
 
 
+def open_input(path: str):
+    """A file as a stream of its bytes."""
+    fs, name = _local_or_uri(path)
+    return fs.open_input_stream(name)
+
+
 # Marks in test rows: a byte that is not UTF-8, and the end of a record that is cut short.
 BAD_BYTE, CUT_SHORT = "\x01", "\x02"
 
@@ -283,6 +289,27 @@ def write_broken_archives(spark: SparkSession, dest: str) -> DataFrame:
     return spark.range(2).mapInPandas(write, "archive string")
 
 
+def deliver_files(files: DataFrame, dest: str, damaged: str = "false") -> DataFrame:
+    """Copy files (a ``path`` column) to the folder ``dest``; of those that the condition
+    ``damaged`` names only the first half arrives. Returns the copies' paths."""
+    import pandas as pd
+
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        to, base = _local_or_uri(dest)
+        to.create_dir(base, recursive=True)
+        for path, length, cut in (r for b in batches for r in b.itertuples(index=False)):
+            name = f"{base.rstrip('/')}/{path.rsplit('/', 1)[1]}"
+            left = length // 2 if cut else length
+            with open_input(path) as source, to.open_output_stream(name) as out:
+                while left and (piece := source.read(min(left, CSV_BLOCK_BYTES))):
+                    out.write(piece)
+                    left -= len(piece)
+            yield pd.DataFrame({"path": [name]})
+
+    ship_package(files.sparkSession)
+    return files.select("path", "length", F.expr(damaged).alias("cut")).mapInPandas(copy, "path string")
+
+
 def write_archives(rows: DataFrame, dest: str, prefix: str = "flights") -> DataFrame:
     """Write each partition of ``rows`` (text columns) as one zip with one CSV member.
 
