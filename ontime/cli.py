@@ -28,6 +28,7 @@ from .plans.ingest import ingest
 from .plans.load import load, load_changes
 from .plans.lookups import LOOKUP_COLUMN
 from .plans.resume import ingest_changes
+from .plans.statistics import update_statistics
 from .sinks.replay import replay
 from .sinks.results import read_itineraries, read_result, write_itineraries, write_result
 from .sources.lake import read_flights_table, register_flights_table
@@ -69,6 +70,8 @@ def cmd_load(spark: SparkSession, a: argparse.Namespace) -> None:
         table = register_flights_table(spark, a.name, a.table) if a.name else read_flights_table(spark, a.table)
     else:
         table = load(spark, a.lake, a.table, a.name, a.format)
+    if a.stats:
+        print(f"statistics: {len(update_statistics(spark, a.table, a.stats))} months read")
     print(f"flights table at {a.table}: {table.count()} rows")
 
 
@@ -146,6 +149,8 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     s.add_argument("--ledger", help="folder of the loaded files' ledger: only changed months are loaded")
 
+    s.add_argument("--stats", help="folder of the stored statistics: those of changed months are made anew")
+
     s = sub.add_parser("batch")
     s.add_argument("--table", required=True)
     s.add_argument("--results", required=True)

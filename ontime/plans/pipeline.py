@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import INT_FIELDS, SELECTED_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS, built_once, scratch_path
+from ..operators.statistics import merged_statistics
 from ..sinks.lake import lake_rows, write_day_files, write_lake, write_lines
 from ..sinks.replay import replay
 from ..sources.archives import BAD_BYTE, CUT_SHORT, deliver_files, list_archives, write_archives, write_broken_archives
@@ -19,6 +20,7 @@ from ..streaming.runner import run_available
 from .ingest import ingest, lake_day_summary
 from .load import load, load_changes, profile
 from .resume import ingest_changes
+from .statistics import read_statistics, update_statistics
 from .streams import TOPICS, build_lake, stream_oracles
 
 
@@ -209,21 +211,41 @@ def load_again_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scan_summary(read_flights_table(spark, f"{base}/table")).join(written, ["year", "month"])
 
 
+def column_stats_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of a table whose one day was loaded again, merged from those stored per
+    month, and how many months the second update read."""
+    rows = lake_rows(stored_flights(spark, sf_dir))
+    base = scratch_path(spark, "column_stats")
+    write_lake(rows, f"{base}/lake")
+    load_changes(spark, f"{base}/lake", f"{base}/table", f"{base}/ledger")
+    update_statistics(spark, f"{base}/table", f"{base}/statistics")
+    year, month, day = CHANGED_DAY
+    write_lake(rows.where(f"Yeard = '{year}' AND Monthd = '{month:02d}' AND Dayd = '{day:02d}' AND Cancelled = '0'"), f"{base}/lake")
+    load_changes(spark, f"{base}/lake", f"{base}/table", f"{base}/ledger")
+    scanned = update_statistics(spark, f"{base}/table", f"{base}/statistics")
+    merged = merged_statistics(read_statistics(spark, f"{base}/statistics"))
+    return merged.select("column", "n_rows", "n_nulls", "min_value", "max_value", F.lit(len(scanned)).cast("long").alias("months_read"))
+
+
 def pipeline_jobs() -> dict:
     return {"ing": ingest_job, "load": load_job, "ing_manifest": ingest_manifest_job, "ing_resume": ingest_resume_job,
             "ing_quarantine": ingest_quarantine_job, "scan_csv": scan_csv_job, "replay_csv": replay_csv_job,
             "load_stats": load_stats_job, "scan_csv_split": scan_csv_split_job, "csv_bad": csv_bad_job,
-            "load_day_files": load_day_files_job, "load_again": load_again_job, "replay_day_files": replay_day_files_job, **{f"s{n}_csv": csv_stream_job(n) for n in AGGREGATES}}
+            "load_day_files": load_day_files_job, "load_again": load_again_job, "column_stats": column_stats_job, "replay_day_files": replay_day_files_job, **{f"s{n}_csv": csv_stream_job(n) for n in AGGREGATES}}
 
 
 def pipeline_oracles(flights_cte: str) -> dict[str, str]:
     f = flights_cte
-    parts = []
-    for c in TABLE_FIELDS + TABLE_PARTITIONS:
-        v = c if (c in INT_FIELDS or c in TABLE_PARTITIONS) else f"coalesce({c}, '')"
-        parts.append(f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) - count({v}) AS n_nulls, "
-                     f"CAST(min({v}) AS VARCHAR) AS min_value, CAST(max({v}) AS VARCHAR) AS max_value "
-                     f"FROM flights")
+
+    def profile_sql(more: str = "", where: str = "") -> str:
+        parts = []
+        for c in TABLE_FIELDS + TABLE_PARTITIONS:
+            v = c if (c in INT_FIELDS or c in TABLE_PARTITIONS) else f"coalesce({c}, '')"
+            parts.append(f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) - count({v}) AS n_nulls, "
+                         f"CAST(min({v}) AS VARCHAR) AS min_value, CAST(max({v}) AS VARCHAR) AS max_value{more} "
+                         f"FROM flights {where}")
+        return f + "\nUNION ALL\n".join(parts)
+
     number = "CAST(FlightNum AS BIGINT)"
     short, bad, no_day = (x.replace("FlightNum", number) for x in (SHORT, BAD, NO_DAY))
     streams = stream_oracles(f)
@@ -260,5 +282,6 @@ UNION ALL SELECT 'ERROR', 2, 0, 0, 0, 0""",
 FROM flights WHERE {short} OR {bad} OR {no_day} GROUP BY 1""",
         "ing_resume": days_sql(", true AS resumed"),
         "ing": days_sql(),
-        "load": f + "\nUNION ALL\n".join(parts),
+        "load": profile_sql(),
+        "column_stats": profile_sql(", CAST(1 AS BIGINT) AS months_read", f"WHERE NOT ({on_day} AND Cancelled <> 0)"),
     }
