@@ -118,10 +118,10 @@ def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> None:
         cap = rate_cap(a.rate, a.partitions, 2) if a.rate else None
         flights = parse_messages(kafka_stream(spark, a.brokers, a.topics.split(","), cap))
     elif a.messages:
-        flights = parse_messages(message_stream(spark, a.messages, a.max_files))
+        flights = parse_messages(message_stream(spark, a.messages, a.max_files, a.max_bytes))
     else:
         flights = file_stream(spark, a.files, "csv" if a.csv else "parquet",
-                              max_files_per_trigger=a.max_files)
+                              max_files_per_trigger=a.max_files, max_bytes_per_trigger=a.max_bytes)
     if a.brokers or a.messages:  # all measures on one trigger: one read of the input
         start_together(flights, a.checkpoints)
     else:
@@ -177,6 +177,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--messages", help="folder of replayed (topic, value) message files")
     s.add_argument("--csv", action="store_true")
     s.add_argument("--max-files", type=int)
+    s.add_argument("--max-bytes", type=int, help="cap of a batch in bytes of new files, instead of --max-files")
     s.add_argument("--brokers")
     s.add_argument("--topics", default="")
     s.add_argument("--rate", type=int, help="cap, in records/s per partition (default: none)")

@@ -18,7 +18,7 @@ from ..sinks.replay import replay
 from ..sources.streams import file_stream, message_stream, parse_messages
 from ..sources.testdata import flights, stored_flights
 from ..streaming.aggregates import AGGREGATES, report_order
-from ..streaming.runner import read_together, report, run_available, start_together
+from ..streaming.runner import read_together, report, run_available, start_together, stored_state
 
 # --- Replay parameters: the topics messages are spread over ------------------------
 TOPICS = ["flights-t1", "flights-t2", "flights-t3", "flights-t4"]
@@ -88,9 +88,9 @@ def message_stream_job(name: str):
     return run
 
 
-def restart_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+def restarted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     """1.1 over half of the messages, stopped, and started again when the rest is there: the
-    state comes back from the checkpoint."""
+    published state, and the checkpoint that it came back from."""
     messages = spark.read.parquet(replayed_messages(spark, sf_dir))
     base = scratch_path(spark, "restart")
     half = F.pmod(F.xxhash64("value"), F.lit(2))
@@ -98,7 +98,18 @@ def restart_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         messages.where(half == part).write.mode("append").parquet(f"{base}/files")
         agg = AGGREGATES["1_1"][0](parse_messages(message_stream(spark, f"{base}/files")))
         state = run_available(agg, "restart", f"{base}/checkpoint", f"{base}/state")
-    return state
+    return state, f"{base}/checkpoint"
+
+
+def restart_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return restarted(spark, sf_dir)[0]
+
+
+def stored_state_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The aggregation state in the checkpoint after a restart, beside the published one."""
+    published, checkpoint = restarted(spark, sf_dir)
+    stored = stored_state(spark, checkpoint).select("airport", F.col("state.count").alias("in_checkpoint"))
+    return published.join(stored, "airport", "full_outer")
 
 
 def running_together(spark: SparkSession, sf_dir: str) -> str:
@@ -126,7 +137,7 @@ def report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_jobs() -> dict:
-    jobs = {"s1_1_restart": restart_job, "k_all": all_job, "report_top10": report_job}
+    jobs = {"s1_1_restart": restart_job, "state_after_restart": stored_state_job, "k_all": all_job, "report_top10": report_job}
     for name in AGGREGATES:
         jobs[f"s{name}"] = file_stream_job(name)
         jobs[f"k{name}"] = message_stream_job(name)
@@ -155,6 +166,7 @@ WHERE airport IS NOT NULL GROUP BY airport"""
     weekday = mean("CAST(DayOfWeek AS VARCHAR)", "weekday")
     return {
         "s1_1_restart": traffic,
+        "state_after_restart": f + f"SELECT *, total_flights AS in_checkpoint FROM ({traffic.removeprefix(f)}) t",
         "k_all": f + "\nUNION ALL\n".join((one("1_1", traffic, "airport", "total_flights"),
                                            one("1_2", mean("UniqueCarrier", "airline"), "airline", "avg_delay"),
                                            one("1_3", weekday, "weekday", "avg_delay"))),

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
 from ..schema import LAKE_PARTITIONED_SCHEMA, MESSAGE_ROW_SCHEMA, MESSAGE_SCHEMA
@@ -16,19 +17,29 @@ from .archives import csv_rows
 FILES_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
+def _capped(reader: DataStreamReader, max_files: int | None, max_bytes: int | None) -> DataStreamReader:
+    if max_files and max_bytes:
+        raise ValueError("cap a batch by files or by bytes, not by both")
+    if max_files:
+        return reader.option("maxFilesPerTrigger", max_files)
+    return reader.option("maxBytesPerTrigger", max_bytes) if max_bytes else reader
+
+
 def file_stream(spark: SparkSession, path: str, fmt: str = "parquet",
                 schema: StructType | None = None, max_files_per_trigger: int | None = None,
-                glob: str | None = None) -> DataFrame:
+                glob: str | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """New files under ``path`` become rows.
 
     CSV files are bound to the lake's 18 text columns by their header, whatever their column
     order (the stream is one of file paths, which the executors open); empty fields stay
     ``''``. Nested ``YYYY/MM`` folders are searched recursively.
     Parquet lakes are read with their day partitions.
+
+    A batch takes new files up to ``max_files_per_trigger`` of them or ``max_bytes_per_trigger``
+    bytes (one file at least), so its size follows from the files, not from their number. Only
+    one of the two can be given.
     """
-    reader = spark.readStream
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = _capped(spark.readStream, max_files_per_trigger, max_bytes_per_trigger)
     if glob or fmt == "csv":
         reader = reader.option("pathGlobFilter", glob or "*.csv")
     if fmt == "csv":
@@ -65,11 +76,9 @@ KAFKA_MISSING = ("the Kafka connector (org.apache.spark:spark-sql-kafka-0-10) is
 
 
 def message_stream(spark: SparkSession, path: str,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Replayed messages stored as files (``topic, value``), read as a stream."""
-    reader = spark.readStream.schema(MESSAGE_ROW_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = _capped(spark.readStream.schema(MESSAGE_ROW_SCHEMA), max_files_per_trigger, max_bytes_per_trigger)
     return reader.parquet(path)
 
 

@@ -6,15 +6,17 @@ import time
 import uuid
 from collections.abc import Callable, Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from ..sinks.versions import newest, read_version, remove_old_versions, write_version
 from .aggregates import AGGREGATES, all_measures, measure_of, rejected, report_order
 
 REPORT_ROWS = 10
+#: Published versions of a running state that stay readable.
+STATE_VERSIONS = 3
 
 
 def report(batch: DataFrame, order: Sequence[Column], title: str,
@@ -27,21 +29,43 @@ def report(batch: DataFrame, order: Sequence[Column], title: str,
     return top
 
 
+def publish_state(batch: DataFrame, path: str) -> int:
+    """The state of one batch as the next version of the table at ``path``; versions
+    before the last three are deleted. Returns the version's number."""
+    number = write_version(batch.sparkSession, path, lambda _: batch)
+    remove_old_versions(batch.sparkSession, path, keep=STATE_VERSIONS)
+    return number
+
+
+def read_state(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The newest published state; without rows where no batch has been published."""
+    number = newest(spark, path)
+    return spark.createDataFrame([], schema) if number is None else read_version(spark, path, number)
+
+
+def stored_state(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """The aggregation state that a query's checkpoint holds (of its last batch), as key and
+    value columns: what a restart would go on from, read without starting the query."""
+    return (spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+            .select("key.*", F.col("value").alias("state")))
+
+
 def start(agg: DataFrame, name: str, checkpoint: str, result_path: str | None = None,
           order: Sequence[Column] | None = None, show: bool = False,
           trigger: dict | None = None) -> StreamingQuery:
     """Start one aggregate in complete mode.
 
-    Each micro-batch carries the whole (key-bounded) state: it is written over
-    ``result_path`` and/or reported (top 10 in ``order``). ``checkpoint`` holds the
-    offsets and the aggregation state, so a restart resumes where it stopped; every
-    query needs its own.
+    Each micro-batch carries the whole (key-bounded) state: it is published as the next
+    version of the table at ``result_path`` (read it with ``read_state``) and/or reported
+    (top 10 in ``order``). A reader sees the state of one batch, whole, also while the next is
+    written. ``checkpoint`` holds the offsets and the aggregation state, so a restart resumes
+    where it stopped (a batch that is done again is published again); every query needs its own.
     """
     def sink(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
             if result_path:
-                batch.write.mode("overwrite").parquet(result_path)
+                publish_state(batch, result_path)
             if show and order is not None:
                 stamp = time.strftime("%Y-%m-%d %H:%M:%S")
                 report(batch, order, f"{stamp} :: {name} :: batch {epoch_id}")
@@ -59,11 +83,7 @@ def run_available(agg: DataFrame, name: str, checkpoint: str, result_path: str)
     """Process everything available now, stop, and return the final state as a table."""
     q = start(agg, name, checkpoint, result_path)
     q.awaitTermination()
-    spark: SparkSession = agg.sparkSession
-    try:
-        return spark.read.parquet(result_path)
-    except AnalysisException:  # no input at all: no state was ever written
-        return spark.createDataFrame([], agg.schema)
+    return read_state(agg.sparkSession, result_path, agg.schema)
 
 
 def start_all(flights: DataFrame | Callable[[float], DataFrame], base_path: str, show: bool = True,
@@ -89,16 +109,13 @@ def start_all(flights: DataFrame | Callable[[float], DataFrame], base_path: str,
 def start_together(flights: DataFrame, base_path: str, show: bool = True, every: str = "2 seconds",
                    available_now: bool = False) -> StreamingQuery:
     """The three aggregates and the rejected rows as one query with one checkpoint: the input
-    is read and parsed once. Every batch writes the whole (key-bounded) state to
-    one of two folders in turn, so the state of the batch before can be read while one is
-    written. Read it with ``read_together``."""
+    is read and parsed once. Every batch publishes the whole (key-bounded) state as the next
+    version of one table. Read it with ``read_together``."""
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        # Two folders in turn: the one that readers may use is never the one being written.
-        path = f"{base_path}/state/slot={epoch_id % 2}"
-        batch.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite").parquet(path)
+        number = publish_state(batch, f"{base_path}/state")
         if show:
             stamp = time.strftime("%Y-%m-%d %H:%M:%S")
-            state = batch.sparkSession.read.parquet(path)
+            state = read_version(batch.sparkSession, f"{base_path}/state", number)
             for name in (*AGGREGATES, "rejected"):
                 report(measure_of(state, name), report_order(name), f"{stamp} :: running_{name} :: batch {epoch_id}")
 
@@ -109,16 +126,5 @@ def start_together(flights: DataFrame, base_path: str, show: bool = True, every:
 
 def read_together(spark: SparkSession, base_path: str, name: str) -> DataFrame:
     """One measure of the newest complete state that ``start_together`` has written."""
-    newest: tuple[int, DataFrame] | None = None
-    for slot in (0, 1):
-        try:
-            state = spark.read.parquet(f"{base_path}/state/slot={slot}")
-            epoch = state.agg(F.max("epoch")).first()[0]
-        except (PySparkException, Py4JJavaError):  # not written yet, or being replaced
-            continue
-        if epoch is not None and (newest is None or epoch > newest[0]):
-            newest = (epoch, state)
-    if newest is None:
-        empty = spark.createDataFrame([], "measure string, key string, sum_delay double, n_rows long")
-        return measure_of(empty, name)
-    return measure_of(newest[1], name)
+    schema = "measure string, key string, sum_delay double, n_rows long"
+    return measure_of(read_state(spark, f"{base_path}/state", schema), name)

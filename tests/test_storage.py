@@ -13,7 +13,7 @@ from ontime.sinks.lake import lake_rows, write_lake
 from ontime.sources.lake import (add_month_partition, month_statistics, read_delimited_flights, read_lake,
                                  register_flights_table, type_flights, write_flights_table)
 from ontime.sources.streams import file_stream
-from ontime.streaming.runner import start_all
+from ontime.streaming.runner import start_all, read_state
 
 
 def test_csv_lake_round_trip_and_header_check(spark, workdir):
@@ -91,8 +91,8 @@ def test_start_all_runs_three_queries_on_a_trigger(spark, workdir):
     finally:
         for q in qs:
             q.stop()
-    assert spark.read.parquet(os.path.join(workdir, "run", "state_1_3")).collect()[0].weekday == "3"
-    assert spark.read.parquet(os.path.join(workdir, "run", "state_1_1")).count() == 2
+    assert read_state(spark, os.path.join(workdir, "run", "state_1_3"), "").collect()[0].weekday == "3"
+    assert read_state(spark, os.path.join(workdir, "run", "state_1_1"), "").count() == 2
 
 
 def test_file_stream_rate_cap_splits_batches(spark, workdir):

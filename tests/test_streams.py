@@ -130,3 +130,59 @@ def test_all_measures_in_one_query_with_one_read(spark, workdir):
         expected, got = fn(whole), read_together(spark, base, name)
         assert got.columns == expected.columns
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_state_is_published_whole_and_can_be_read_from_the_checkpoint(spark, workdir):
+    from ontime.sinks.versions import versions
+    from ontime.streaming.runner import STATE_VERSIONS, read_state, stored_state
+
+    src, ck, out = (os.path.join(workdir, x) for x in ("in", "ck", "out"))
+    fn = AGGREGATES["1_1"][0]
+    schema = "Origin string, Dest string"
+    os.makedirs(src)
+    assert read_state(spark, out, "airport string, total_flights long").count() == 0
+    rocks = {"spark.sql.streaming.stateStore.providerClass":
+             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+             "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    for k, v in rocks.items():
+        spark.conf.set(k, v)
+    try:
+        for n in range(1, 6):  # five runs of a batch each; the state is the sum of all
+            spark.createDataFrame([("A", f"B{n}")] * n, schema).coalesce(1).write.parquet(os.path.join(src, f"f{n}"))
+            stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(src)
+            state = run_available(fn(stream), "state", ck, out)
+            assert {r.airport: r.total_flights for r in state.collect()}["A"] == n * (n + 1) // 2
+        stored = {r.airport: r.state["count"] for r in stored_state(spark, ck).collect()}
+    finally:
+        for k in rocks:
+            spark.conf.unset(k)
+    assert stored == {r.airport: r.total_flights for r in read_state(spark, out, "").collect()}
+    assert len(versions(spark, out)) == STATE_VERSIONS
+    assert not [f for f in os.listdir(out) if f.startswith("_writing")]
+
+
+def test_byte_cap_makes_batches_in_proportion_to_the_files(spark, workdir):
+    import pytest
+
+    src = os.path.join(workdir, "in")
+    rows = [{"Origin": f"O{i}", "Dest": f"D{i}", "UniqueCarrier": "X"} for i in range(40)]
+
+    def add(names):
+        for n in names:
+            _write_csv_batch(flights_df(spark, rows), os.path.join(src, "2008", f"{n:02d}", "f"))
+
+    def batches(run, cap):
+        stream = file_stream(spark, src, "csv", max_bytes_per_trigger=cap)
+        query = (AGGREGATES["1_2"][0](stream).writeStream.outputMode("complete").format("noop")
+                 .option("checkpointLocation", os.path.join(workdir, run)).trigger(availableNow=True).start())
+        query.awaitTermination()
+        return len([p for p in query.recentProgress if p.numInputRows])
+
+    add(range(1, 5))
+    size = max(os.path.getsize(os.path.join(folder, f)) for folder, _, files in os.walk(src) for f in files if f.endswith(".csv"))
+    assert batches("a", 2 * size) == 2 and batches("b", 1) == 4  # a file larger than the cap is a batch
+    add(range(5, 9))
+    assert batches("c", 2 * size) == 4
+    assert batches("a", 2 * size) == 2  # what came since then
+    with pytest.raises(ValueError, match="not by both"):
+        file_stream(spark, src, "csv", max_files_per_trigger=1, max_bytes_per_trigger=1)
