@@ -45,6 +45,8 @@ BUCKETS = 1 << 15
 NO_RANK = 2 ** 31 - 1
 #: A block ends when it has this many distinct words, or words.
 BLOCK_DISTINCT, BLOCK_WORDS = 400_000, 4_000_000
+#: The same where the ids are returned: one task then holds a block's ids, those of copies included.
+KEPT_WORDS = 2_000_000
 #: Ids in one record batch of the result, about.
 BATCH_IDS = 1 << 20
 #: Bytes of text that are cut at once.
@@ -134,7 +136,7 @@ def unpack(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
 
 
-def cut(pattern: str, ranks: dict[bytes, int]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def cut(pattern: str, ranks: dict[bytes, int], block_words: int = BLOCK_WORDS) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     names = [field.split()[0] for field in BLOCK.split(", ")]
     types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.binary()]
 
@@ -182,7 +184,7 @@ def cut(pattern: str, ranks: dict[bytes, int]) -> Callable[[Iterable[pa.RecordBa
                 size += len(words)
                 numbers.append(len(counts) - 1)
             slices.append({"doc_ids": table.column("doc_id").to_pylist(), "texts": numbers, "counts": counts, "places": np.concatenate(places)})
-            if len(vocabulary) >= BLOCK_DISTINCT or size >= BLOCK_WORDS:
+            if len(vocabulary) >= BLOCK_DISTINCT or size >= block_words:
                 yield from block_rows(block, vocabulary, slices)
                 block, vocabulary, slices, size = block + 1, {}, [], 0
         if slices:
@@ -278,6 +280,8 @@ def assemble(pieces: list[bytes], keep_ids: bool) -> Callable[[pa.Table, pa.Tabl
                         [docs.slice(done, len(found)), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
                          pa.array(decoded_sha, pa.string()), pa.array(ids, pa.list_(pa.int32()))], schema=schema))
                     found, held, done = [], 0, doc + 1
+        # What this block took and gave back goes to the system before the next one.
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_batches(out, schema)
 
     return run
@@ -303,7 +307,7 @@ def byte_bpe(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bool = Fal
     for piece, rank in ranks.items():
         pieces[rank] = piece
     literal = rank_literal(spark, ranks)
-    cut_up = bucketed(texts(docs).mapInArrow(cut(pattern, ranks), BLOCK))
+    cut_up = bucketed(texts(docs).mapInArrow(cut(pattern, ranks, KEPT_WORDS if keep_ids else BLOCK_WORDS), BLOCK))
     by_word = cut_up.filter("word is not null").select("word", "block", "place").repartition("word").sortWithinPartitions("word")
     gathered = by_word.mapInArrow(gather, "words array<binary>, word_of array<int>, block array<long>, place array<int>")
     # explode of one element makes the literal a column; subqueries cannot stand in lambdas.
