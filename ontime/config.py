@@ -10,7 +10,7 @@ import zipfile
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # --- Fixed values (must equal the on-time-performance data layout) -----------------
 # The 18 columns kept from a raw on-time record, in the order cleaning writes them.
@@ -109,6 +109,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+#: Partition files that a task holds open, at most, before it sorts what is left by partition,
+#: and the MB of heap that each is reckoned at.
+OPEN_WRITERS, WRITER_MB = 250, 5
+
+
+def open_writers(spark: SparkSession) -> int:
+    """Partition files that a task may hold open: by its share of an executor's heap."""
+    sc = spark.sparkContext
+    local = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+    heap = sc.getConf().get("spark.driver.memory" if local else "spark.executor.memory", "1g")
+    mb = sc._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsMb(heap)
+    # The driver is listed among the executors.
+    executors = 1 if local else max(1, len(sc._jsc.sc().statusTracker().getExecutorInfos()) - 1)
+    cores = int(sc.getConf().get("spark.executor.cores", "0")) or -(-sc.defaultParallelism // executors)
+    return min(OPEN_WRITERS, mb // max(1, cores) // WRITER_MB)
+
+
+def write_partitioned(rows: DataFrame, path: str, fmt: str, keys: list[str], **options: str) -> None:
+    """Write ``rows`` partitioned by ``keys``; partitions written again replace only those.
+
+    The writer's default sorts all rows of a task by partition, in memory many times the size
+    of the files, and spills from some size on. A task that meets few partitions needs no sort."""
+    conf, key = rows.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, str(open_writers(rows.sparkSession)))
+    try:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options)
+         .partitionBy(*keys).format(fmt).save(path))
+    finally:
+        conf.set(key, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for one job's outputs."""
     return f"{checkpoint_dir(spark)}/ontime/{name}-{uuid.uuid4().hex[:12]}"

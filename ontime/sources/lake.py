@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import INT_FIELDS, LAKE_PARTITIONS, SELECTED_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS
+from ..config import INT_FIELDS, LAKE_PARTITIONS, SELECTED_FIELDS, TABLE_FIELDS, TABLE_PARTITIONS, write_partitioned
 from ..functions import keep_string, pad_hhmm, to_int
 from ..schema import FLIGHTS_SCHEMA, LAKE_PARTITIONED_SCHEMA
 from .archives import csv_bad, csv_rows, list_files
@@ -126,8 +126,7 @@ def write_flights_table(flights: DataFrame, path: str, shuffle: bool = True) ->
     """
     if shuffle:
         flights = flights.hint("rebalance", *TABLE_PARTITIONS)
-    (flights.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*TABLE_PARTITIONS).parquet(path))
+    write_partitioned(flights, path, "parquet", TABLE_PARTITIONS)
 
 
 def read_flights_table(spark: SparkSession, path: str) -> DataFrame:

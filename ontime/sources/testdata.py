@@ -77,11 +77,12 @@ def _mapped_columns() -> dict[str, Column]:
 
 
 def flights(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None,
-            lineitem: DataFrame | None = None) -> DataFrame:
+            lineitem: DataFrame | None = None, by_month: bool = False) -> DataFrame:
     """The flights table over the driver's tables, restricted to ``columns``.
 
     ``lineitem`` may be given (for example a streaming read of it); the dimension
-    tables are always read statically from ``sf_dir``.
+    tables are always read statically from ``sf_dir``. ``by_month`` brings the rows of a month
+    together, before they are mapped: what is shuffled are the few columns they come from.
     """
     wanted = list(dict.fromkeys(columns)) if columns is not None else list(ALL_COLUMNS)
     unknown = [c for c in wanted if c not in ALL_COLUMNS]
@@ -112,6 +113,9 @@ def flights(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = No
         df = df.join(carrier, "l_partkey")
 
     mapped = _mapped_columns()
+    if by_month:
+        month = [mapped[c].alias(c) for c in TABLE_PARTITIONS]
+        df = df.select("*", *month).hint("rebalance", *TABLE_PARTITIONS)
     return df.select(*[mapped[c].alias(c) for c in wanted])
 
 
@@ -140,7 +144,7 @@ def stored_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
             except AnalysisException:  # the scratch copy was removed: build it again
                 del _STORED[key]
         path = scratch_path(spark, "flights_table")
-        write_flights_table(flights(spark, sf_dir), path)
+        write_flights_table(flights(spark, sf_dir, by_month=True), path, shuffle=False)
         _STORED[key] = path
     return read_flights_table(spark, path)
 
