@@ -55,10 +55,11 @@ def build_lake(spark: SparkSession, sf_dir: str) -> str:
     """Write the driver-table flights as a clean lake once per application; its path.
 
     The lake is derived data (like a materialised view of the tables): replay, the
-    message streams and the load all read the same copy.
+    message streams and the load all read the same copy. The stored flights lie by month, so
+    their days are written where they are.
     """
     path = built_once(spark, sf_dir, "lake",
-                      lambda base: write_lake(lake_rows(stored_flights(spark, sf_dir)), f"{base}/lake"))
+                      lambda base: write_lake(lake_rows(stored_flights(spark, sf_dir)), f"{base}/lake", shuffle=False))
     return f"{path}/lake"
 
 
@@ -95,7 +96,7 @@ def restarted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     base = scratch_path(spark, "restart")
     half = F.pmod(F.xxhash64("value"), F.lit(2))
     for part in (0, 1):
-        messages.where(half == part).write.mode("append").parquet(f"{base}/files")
+        messages.where(half == part).write.mode("append").option("compression", "zstd").parquet(f"{base}/files")
         agg = AGGREGATES["1_1"][0](parse_messages(message_stream(spark, f"{base}/files")))
         state = run_available(agg, "restart", f"{base}/checkpoint", f"{base}/state")
     return state, f"{base}/checkpoint"

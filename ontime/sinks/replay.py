@@ -34,7 +34,8 @@ def lake_with_positions(spark: SparkSession, lake_path: str, fmt: str = "parquet
     earlier = Window.partitionBy("_day").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     files = (df.groupBy("_file").agg(F.max("_index").alias("_last")).withColumn("_day", position_group(F.col("_file")))
              .select("_file", F.coalesce(F.sum(F.col("_last") + 1).over(earlier), F.lit(0)).alias("_before")))
-    return df.join(files, "_file").withColumn("_pos", F.col("_before") + F.col("_index"))
+    # A row per file: broadcast, or a lake of some size would be shuffled and sorted whole for it.
+    return df.join(F.broadcast(files), "_file").withColumn("_pos", F.col("_before") + F.col("_index"))
 
 
 def to_messages(lake: DataFrame, topics: Sequence[str]) -> DataFrame:
@@ -68,7 +69,7 @@ def write_messages(messages: DataFrame, path: str | None = None,
                 raise RuntimeError(KAFKA_MISSING) from exc
             raise
     elif path:
-        messages.write.mode("overwrite").parquet(path)
+        messages.write.mode("overwrite").option("compression", "zstd").parquet(path)
     else:
         raise ValueError("give a path or brokers")
 
