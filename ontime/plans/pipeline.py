@@ -175,7 +175,7 @@ def csv_stream_job(name: str):
 
 def replay_csv_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = built_once(spark, sf_dir, "csv_lake",
-                      lambda base: write_lake(lake_rows(stored_flights(spark, sf_dir)), f"{base}/lake", "csv"))
+                      lambda base: write_lake(lake_rows(stored_flights(spark, sf_dir)), f"{base}/lake", "csv", shuffle=False))
     return replay(spark, f"{path}/lake", TOPICS, out_path=scratch_path(spark, "messages"), fmt="csv")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import groupby
 from operator import itemgetter
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import LAKE_PARTITIONS, SELECTED_FIELDS, ship_package
+from ..config import LAKE_PARTITIONS, SELECTED_FIELDS, ship_package, write_partitioned
 from ..functions import keep_string
 
 
@@ -37,7 +38,7 @@ def write_lake(rows: DataFrame, path: str, fmt: str = "parquet", shuffle: bool =
     ``shuffle=True``: ``REBALANCE`` on the day keys groups each day into one task -- so
     a normal day is one file, as in a day-file lake -- while AQE splits a hot day over
     several tasks and packs small days together. ``shuffle=False``: each task writes
-    the days it holds (the writer sorts by day inside the task), no exchange at all;
+    the days it holds (sorted only where they are many), no exchange at all;
     a day then has one file per task that held it -- the right choice when the input
     is already grouped by period, as rows unpacked from monthly archives are.
     Dynamic partition overwrite replaces exactly the days present in ``rows`` (a later
@@ -47,12 +48,8 @@ def write_lake(rows: DataFrame, path: str, fmt: str = "parquet", shuffle: bool =
         rows = lake_rows(rows)
     if shuffle:
         rows = rows.hint("rebalance", *LAKE_PARTITIONS)
-    writer = (rows.write.mode("overwrite")
-                  .option("partitionOverwriteMode", "dynamic")
-                  .partitionBy(*LAKE_PARTITIONS))
-    if fmt == "csv":
-        writer = writer.option("header", True).option("emptyValue", "")
-    writer.format(fmt).save(path)
+    options = {"header": "true", "emptyValue": ""} if fmt == "csv" else {}
+    write_partitioned(rows, path, fmt, LAKE_PARTITIONS, **options)
 
 
 def write_day_files(rows: DataFrame, path: str) -> DataFrame:
@@ -72,9 +69,45 @@ def write_lines(lines: DataFrame, header: str) -> DataFrame:
     """Text files of the lines (path, line), each after the header; returns (path, rows).
 
     Lines are dealt by path and sorted by it inside a task, which streams one file after the
-    other, so memory does not grow with a file. A retried task writes the same files."""
+    other, so memory does not grow with a file. They travel as packed pieces of a file, so that
+    neither the path nor the sort takes up room per line. A retried task writes the same files."""
     ship_package(lines.sparkSession)
-    return lines.repartition("path").sortWithinPartitions("path").mapInArrow(_write_lines(header), "path string, rows long")
+    packed = lines.select("path", "line").mapInArrow(_pack_lines, "path string, lines binary, rows long")
+    return packed.repartition("path").sortWithinPartitions("path").mapInArrow(_write_lines(header), "path string, rows long")
+
+
+#: Bytes of text in a packed piece of a file, and those that a task holds before it sends all.
+PIECE_BYTES, HELD_BYTES = 32 << 10, 16 << 20
+
+
+def _pack_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[str, list[str]] = {}
+    sizes: dict[str, int] = {}
+    total = 0
+
+    def packed(paths: list[str]) -> pa.RecordBatch:
+        lines = [held.pop(p) for p in paths]
+        for p in paths:
+            del sizes[p]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(paths, pa.string()),
+             pa.array([zlib.compress("".join(f"{row}\n" for row in rows).encode(), 1) for rows in lines], pa.binary()),
+             pa.array([len(rows) for rows in lines], pa.int64())], names=["path", "lines", "rows"])
+
+    for batch in batches:
+        rows = zip(batch.column("path").to_pylist(), batch.column("line").to_pylist())
+        for path, line in rows:
+            held.setdefault(path, []).append(line)
+            sizes[path] = sizes.get(path, 0) + len(line)
+            total += len(line)
+            if sizes[path] >= PIECE_BYTES:
+                total -= sizes[path]
+                yield packed([path])
+        if total >= HELD_BYTES:
+            yield packed(list(held))
+            total = 0
+    if held:
+        yield packed(list(held))
 
 
 def _write_lines(header: str):
@@ -83,8 +116,8 @@ def _write_lines(header: str):
 
         path, out, counts = None, None, {}
         for batch in batches:
-            paths, rows = batch.column("path").to_pylist(), batch.column("line").to_pylist()
-            for here, group in groupby(zip(paths, rows), key=itemgetter(0)):
+            columns = [batch.column(c).to_pylist() for c in ("path", "lines", "rows")]
+            for here, group in groupby(zip(*columns), key=itemgetter(0)):
                 if here != path:
                     if out:
                         out.close()
@@ -93,9 +126,9 @@ def _write_lines(header: str):
                     path, out = here, fs.open_output_stream(name)
                     counts[path] = 0
                     out.write(f"{header}\n".encode())
-                text = [row for _, row in group]
-                out.write("".join(f"{row}\n" for row in text).encode())
-                counts[path] += len(text)
+                for _, lines, rows in group:
+                    out.write(zlib.decompress(lines))
+                    counts[path] += rows
         if out:
             out.close()
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
