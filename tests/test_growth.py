@@ -9,7 +9,9 @@ import pyarrow as pa
 
 from ontime import config
 from ontime.config import LAKE_PARTITIONS, SELECTED_FIELDS
+from ontime.operators import dealing
 from ontime.plans.ingest import ingest
+from ontime.plans.pipeline import by_period
 from ontime.plans.resume import _spread
 from ontime.sinks.lake import _pack_lines, write_lake, write_lines
 from ontime.sinks.replay import lake_with_positions
@@ -111,3 +113,49 @@ def test_months_are_brought_together_before_mapping(spark):
     plan = table._jdf.queryExecution().optimizedPlan().toString()
     assert "FlightDate" in plan and "FlightDate" not in plan[plan.index("RebalancePartitions"):]
     assert table.exceptAll(flights(spark, SF)).count() == 0 and table.count() == flights(spark, SF).count()
+
+
+def test_periods_travel_packed(spark, monkeypatch):
+    monkeypatch.setattr(dealing, "PIECE_BYTES", 4000)
+    raw = _records(spark, 28, 40).union(spark.createDataFrame([(None,) * len(SELECTED_FIELDS)], _records(spark, 1).schema))
+    dealt = by_period(spark, raw)
+    assert sorted(dealt.collect(), key=str) == sorted(raw.collect(), key=str) and dealt.schema == raw.schema
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    packed = plan[plan.index("Repartition"):].splitlines()[1]
+    assert "MapInArrow" in packed and "[part#" in packed and " piece#" in packed
+    days = [[int(r["DayofMonth"] or 0) for r in part] for part in dealt.rdd.glom().collect()]
+    held = [(min(p), max(p)) for p in days if p]
+    assert len(held) > 4 and all(a[1] <= b[0] for a, b in zip(held, held[1:]))
+    # a day with many rows spans several partitions, and no rows are no error
+    sizes = [len(p) for p in by_period(spark, _records(spark, 1, 800)).rdd.glom().collect()]
+    assert sum(sizes) == 800 and max(sizes) < 400
+    assert by_period(spark, raw.where("false")).count() == 0
+
+
+def test_lines_of_archives_are_those_of_pandas():
+    plain = pa.RecordBatch.from_pydict({"a": ["1", "", None, "ä\x01"], "b": ["x y", None, "", "\x02"], "c": ["", "", "", "z"]})
+    for text in (None, 'a "b"', "a,b", "a\nb", "a\rb"):
+        rows = pa.RecordBatch.from_pydict({c: [*plain.column(c).to_pylist(), text] for c in "abc"}) if text else plain
+        assert archives._csv_lines(rows) == rows.to_pandas().to_csv(index=False, header=False, lineterminator="\n").encode()
+    assert archives._csv_lines(plain.select(["a"])) == b'1\n""\n""\n\xc3\xa4\x01\n'
+
+
+def test_nations_are_looked_up_last(spark):
+    plan = flights(spark, SF, by_month=True)._jdf.queryExecution().optimizedPlan().toString()
+    moved = plan[plan.index("RebalancePartitions"):].splitlines()[1]
+    assert "s_nationkey" in moved and "c_nationkey" in moved
+    assert not any(c in moved for c in ("Origin", "Dest", "n_name", "l_shipdate", "l_orderkey"))
+
+
+def test_shuffle_files_go_with_the_write(spark, tmp_path):
+    def files() -> set[str]:
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    before = files()
+    write_lake(_records(spark, 4).repartition(3, "DayofMonth"), str(tmp_path / "lake"))
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert read_lake(spark, str(tmp_path / "lake")).count() == 12
