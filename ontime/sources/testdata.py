@@ -128,8 +128,8 @@ def flights(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = No
         month = [mapped[c].alias(c) for c in TABLE_PARTITIONS]
         df = df.select("*", *month).hint("rebalance", *TABLE_PARTITIONS)
     for name, key in names.items():
-        of = F.broadcast(nation.select(F.col("n_nationkey").alias(key), F.col("n_name").alias(name)))
-        df = df.join(of, key)
+        of = nation.select(F.col("n_nationkey").alias(key), F.col("n_name").alias(name))
+        df = df.join(F.broadcast(of) if by_month else of, key)  # the rows of a month stay together
     return df.select(*[mapped[c].alias(c) for c in wanted])
 
 
